@@ -9,14 +9,19 @@ from clicktally.schemas import (
     ANONYMOUS_USER,
     DATE_FORMAT,
     DATE_TIME_FORMAT,
-    EPOCH_SECONDS_PATTERN,
     KEY_SEPARATOR,
+    MAX_EPOCH_SECONDS,
 )
 
 
 def epoch_seconds(text: Column) -> Column:
-    """Text of up to ten digits as BIGINT, anything else as null."""
-    return F.when(text.rlike(EPOCH_SECONDS_PATTERN), text.try_cast("bigint"))
+    """A whole number of up to ten digits as BIGINT, anything else as null.
+
+    Longer numbers are no seconds but milliseconds or worse. One of them, read as a far future,
+    would move a stream's watermark past all real time.
+    """
+    seconds = text.try_cast("bigint")
+    return F.when(seconds.between(-MAX_EPOCH_SECONDS, MAX_EPOCH_SECONDS), seconds)
 
 
 def epoch_timestamp(text: Column) -> Column:

@@ -37,8 +37,11 @@ def province_top_ads(region_counts: DataFrame, n: int = 3) -> DataFrame:
 
 
 def with_region(counts: DataFrame, regions: DataFrame) -> DataFrame:
-    """Add ``province, city`` to rows with a ``userid``; users without a region are left out."""
-    return hot_key_join(counts, regions, ["userid"], "inner")
+    """Add ``province, city`` to counts per user; users without a region are left out.
+
+    Give counts, not clicks: a busy user is then one row per day and ad and no hot key.
+    """
+    return counts.join(regions, "userid")
 
 
 def users_over(user_ad: DataFrame, threshold: int) -> DataFrame:

@@ -28,7 +28,7 @@ ANONYMOUS_USER = "-99"
 KEY_SEPARATOR = "|"
 DATE_FORMAT = "yyyy-MM-dd"
 DATE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-EPOCH_SECONDS_PATTERN = "^[+-]?[0-9]{1,10}$"
+MAX_EPOCH_SECONDS = 9_999_999_999  # ten digits
 
 # A feed record as it arrives: the text key and value of a message.
 FEED = _struct(key=_TEXT, value=_TEXT)

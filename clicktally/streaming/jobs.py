@@ -39,7 +39,7 @@ def _stored_near(batch: DataFrame, table: ResultTable, before: tuple[int, int])
 def write_counts(
     batch: DataFrame, batch_id: int, table: ResultTable, run: int = 0, skip_unchanged: bool = True
 ) -> None:
-    """Upsert one micro-batch of counts, leaving out those the table already holds.
+    """Upsert one micro-batch of counts, at will without those the table already holds.
 
     The comparison leaves out this very batch, so a repeated delivery finds and writes the same.
     """
@@ -64,7 +64,7 @@ def start_click_counts(
     daily: bool = False,
     lateness_days: int = 1,
     run: int = 0,
-    skip_unchanged: bool = True,
+    skip_unchanged: bool | None = None,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Keep ``index_gid_click_count`` up to date from a feed of click records.
@@ -73,11 +73,16 @@ def start_click_counts(
     and so also repairs rows that were changed in the table. ``daily`` lets go of the state of past
     days and works with ``update`` only.
 
+    ``skip_unchanged`` leaves out counts the table already holds. It is on for ``complete`` and off
+    for ``update``, where each count that comes is a new one and a write needs to read nothing.
+
     Counts go on from the checkpoint. A new checkpoint would count from zero and overwrite larger
     counts, so it is refused for a table that already holds rows.
     """
     if daily and mode != "update":
         raise ValueError("daily counts need mode='update'")
+    if skip_unchanged is None:
+        skip_unchanged = mode == "complete"
     spark = feed.sparkSession
     started = if_exists(lambda: spark.read.text(f"{checkpoint}/metadata"))
     if started is None and not is_empty(spark, table):
