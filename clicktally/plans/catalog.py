@@ -424,9 +424,20 @@ def publish_value_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STREAM_BATCHES = 3
 
 
-def _run_available(spark: SparkSession, folder: str, table: ResultTable, **options) -> None:
-    source = {k: options.pop(k) for k in list(options) if k == "maxFilesPerTrigger"}
-    feed = feeds.read_clicks(spark, "parquet", source, path=f"{folder}/feed")
+def _stream_session(spark: SparkSession) -> SparkSession:
+    """A session with one shuffle partition per core: their number is fixed with the checkpoint."""
+    session = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        session.conf.set(name, spark.conf.get(name))
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return session
+
+
+def _run_available(
+    spark: SparkSession, folder: str, table: ResultTable, files_per_batch: int | None = None, **options
+) -> None:
+    source = {"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {}
+    feed = feeds.read_clicks(_stream_session(spark), "parquet", source, path=f"{folder}/feed")
     query = jobs.start_click_counts(
         feed,
         table,
@@ -452,8 +463,8 @@ def click_count_stream_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed.write.option("maxRecordsPerFile", per_file).parquet(f"{folder}/feed")
     files = len(spark.read.parquet(f"{folder}/feed").inputFiles())
     table = ResultTable(INDEX_CLICK_COUNT, f"{folder}/table")
-    per_batch = str(math.ceil(files / _STREAM_BATCHES))
-    _run_available(spark, folder, table, mode="complete", maxFilesPerTrigger=per_batch)
+    files_per_batch = math.ceil(files / _STREAM_BATCHES)
+    _run_available(spark, folder, table, files_per_batch, mode="complete")
     return tables.read_table(spark, table)
 
 
@@ -476,8 +487,9 @@ def daily_clicks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_run_dir(spark, "stream")
     rows = fixtures.events(spark, sf_dir)
     table = ResultTable(INDEX_CLICK_COUNT, f"{folder}/table")
-    day = F.dayofmonth("ts")
-    for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
+    first, last = rows.agg(F.min("ts").cast("double"), F.max("ts").cast("double")).first()
+    third = F.floor((F.col("ts").cast("double") - first) / (last - first) * _STREAM_BATCHES)
+    for part in (third < 1, third == 1, third > 1):
         _arrive(rows.filter(part), folder)
         _run_available(spark, folder, table, daily=True)
     return tables.read_table(spark, table)

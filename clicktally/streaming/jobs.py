@@ -124,9 +124,14 @@ def start_rejects(
     return writer.start()
 
 
-def start_console(df: DataFrame, mode: str = "update") -> StreamingQuery:
+def start_console(
+    df: DataFrame, mode: str = "update", trigger: Mapping[str, object] | None = None
+) -> StreamingQuery:
     """Print a stream's rows, for looking at it by hand."""
-    return df.writeStream.outputMode(mode).format("console").option("truncate", "false").start()
+    writer = df.writeStream.outputMode(mode).format("console").option("truncate", "false")
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
 
 
 def enriched(feed: DataFrame, rules: Iterable[Rule]) -> DataFrame:

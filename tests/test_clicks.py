@@ -10,21 +10,21 @@ from clicktally.operators import clicks
 from clicktally.schemas import CLICK_RECORD
 from tests.conftest import rows
 
-# An authentic record of the feed, with neutral addresses.
+# A record with every field of the feed.
 SAMPLE = {
-    "user_id": 2279,
+    "user_id": 42,
     "user_ipaddress": "192.0.2.1",
     "timestamp": 1568190112,
     "referer": "",
-    "url": "https://example.org/h5/#/product?id=10930",
+    "url": "https://example.org/product?id=7",
     "location": "app",
     "device": "ANDROID",
     "content": {
-        "user_id": 2279,
+        "user_id": 42,
         "click_position": "app_restart",
-        "deviceID": "9d62528edc909ba9",
-        "gid": "8d2c0f04-42ad-46ba-b2dd-96daa23d9e20",
-        "ver": "0.4.1",
+        "deviceID": "device-1",
+        "gid": "group-1",
+        "ver": "1.0",
     },
 }
 
@@ -49,14 +49,14 @@ def reasons(spark, *values):
 
 def test_full_record_is_counted(spark):
     text = json.dumps(SAMPLE)
-    assert counted(spark, text, text) == [("2019-09-11", "app_restart", "2279", 2)]
+    assert counted(spark, text, text) == [("2019-09-11", "app_restart", "42", 2)]
 
 
 def test_whole_record_schema(spark):
     df = spark.createDataFrame([(json.dumps(SAMPLE),)], "value STRING")
     row = clicks.read_json(df, CLICK_RECORD).first()
-    assert row.content.deviceID == "9d62528edc909ba9"
-    assert (row.user_id, row.timestamp, row.device) == ("2279", "1568190112", "ANDROID")
+    assert row.content.deviceID == "device-1"
+    assert (row.user_id, row.timestamp, row.device) == ("42", "1568190112", "ANDROID")
 
 
 @pytest.mark.parametrize("user", ["", None, "missing"])

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from clicktally.config import new_run_dir, shared_dir
-from clicktally.operators.clicks import countable, parse_clicks, running_clicks
+from clicktally.operators.clicks import countable, hourly_pv, parse_clicks, running_clicks
 from clicktally.operators.enrich import Rule, parse_vehicles
 from clicktally.schemas import INDEX_CLICK_COUNT
 from clicktally.sources import feed as feeds
@@ -236,6 +236,23 @@ def test_rejects_stream(spark, job):
     assert rows(got) == [(*d, r) for d, r in zip(data, ("malformed", "no_content", "bad_timestamp"))]
 
 
+def test_hourly_pv_runs_on(spark, job):
+    """One running count per hour over two batches."""
+    job.arrive((D1, "a", 1), (D1 + 3599, "b", 1))
+    job.arrive((D1 + 60, "a", 2), (D1 + 3600, "a", 1))
+    views = hourly_pv(countable(parse_clicks(job.feed(maxFilesPerTrigger="1")), None))
+    writer = views.writeStream.outputMode("complete").format("memory").queryName("hourly")
+    writer.option("checkpointLocation", job.checkpoint).trigger(**ONCE).start().awaitTermination()
+    assert rows(spark.table("hourly")) == [("2024-01-01 00", 3), ("2024-01-01 01", 1)]
+
+
+def test_console(job):
+    job.arrive((D1, "a", 1))
+    query = jobs.start_console(countable(parse_clicks(job.feed()), "a"), trigger=ONCE)
+    query.awaitTermination()
+    assert query.exception() is None
+
+
 def test_batch_ranges(job):
     job.arrive((D1, "a", 1))
     query = job.run()
