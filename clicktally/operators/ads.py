@@ -50,5 +50,6 @@ def users_over(user_ad: DataFrame, threshold: int) -> DataFrame:
 
 
 def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """The clicks of users that are not on the blacklist."""
-    return hot_key_join(clicks, blacklist.select("userid").distinct(), ["userid"], "left_anti")
+    """The clicks of users that are not on the blacklist; user ids may be numbers or text."""
+    listed = blacklist.select(F.col("userid").cast(clicks.schema["userid"].dataType)).distinct()
+    return hot_key_join(clicks, listed, ["userid"], "left_anti")

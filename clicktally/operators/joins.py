@@ -29,7 +29,8 @@ def hot_key_join(
 
     A right side that is counted and found small is broadcast, so the left side is not shuffled.
     A larger one is repeated once per salt and the left rows of one key are spread over the salts
-    by the partition they come from. Each left row still meets every right row of its key.
+    by the partition they come from. Each left row still meets every right row of its key. The
+    size is checked when the join is built.
     """
     if fits_broadcast(right, max_broadcast_rows):
         return left.join(F.broadcast(right), list(on), how)

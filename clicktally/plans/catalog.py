@@ -50,8 +50,13 @@ def _new_table(spark: SparkSession, spec: TableSpec) -> ResultTable:
     return ResultTable(spec, new_run_dir(spark, spec.name))
 
 
-def _parsed(spark: SparkSession, sf_dir: str, position: str | None = None) -> DataFrame:
-    feed = fixtures.click_feed(fixtures.events(spark, sf_dir)).drop("ts")
+def _parsed(
+    spark: SparkSession,
+    sf_dir: str,
+    position: str | None = None,
+    part: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    feed = fixtures.click_feed(part(fixtures.events(spark, sf_dir))).drop("ts")
     return clicks.countable(clicks.parse_clicks(feed), position)
 
 
@@ -59,10 +64,6 @@ def _ad_clicks(spark: SparkSession, sf_dir: str, position: str | None = "click")
     return clicks.filter_position(fixtures.ad_clicks(fixtures.events(spark, sf_dir)), position)
 
 
-def _index_counts(rows: DataFrame) -> DataFrame:
-    return clicks.running_clicks(rows)
-
-
 def _region_counts(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     """Counts per user come first, so a busy user is one row per day and ad before the join."""
     per_user = ads.user_ad_counts(rows)
@@ -164,10 +165,13 @@ def click_key_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@registered(f"""
+_REJECTS = f"""
     SELECT event_id, CASE WHEN k < 20 THEN 'malformed' WHEN k < 40 THEN 'no_content'
                           WHEN k < 60 THEN 'malformed' ELSE 'bad_timestamp' END AS reason
-    FROM ({_EVENTS}) WHERE event_type = 'error' AND k < 80""")
+    FROM ({_EVENTS}) WHERE event_type = 'error' AND k < 80"""
+
+
+@registered(_REJECTS)
 def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = fixtures.damaged_feed(fixtures.events(spark, sf_dir))
     return clicks.rejects(clicks.parse_clicks(feed), "error").select("event_id", "reason")
@@ -210,13 +214,13 @@ def province_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _morning_index(spark: SparkSession, sf_dir: str) -> ResultTable:
     table = _new_table(spark, INDEX_CLICK_COUNT)
-    counts = _index_counts(fixtures.morning(_parsed(spark, sf_dir)))
+    counts = clicks.running_clicks(_parsed(spark, sf_dir, part=fixtures.morning))
     tables.upsert_overwrite(counts, table, batch=0, unique=True)
     return table
 
 
 def _afternoon_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _index_counts(fixtures.afternoon(_parsed(spark, sf_dir)))
+    return clicks.running_clicks(_parsed(spark, sf_dir, part=fixtures.afternoon))
 
 
 @registered(f"""
@@ -227,7 +231,7 @@ def _afternoon_index(spark: SparkSession, sf_dir: str) -> DataFrame:
           AND b.clickCount = n.clickCount)""")
 def changed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _morning_index(spark, sf_dir)
-    counts = _index_counts(_parsed(spark, sf_dir))
+    counts = clicks.running_clicks(_parsed(spark, sf_dir))
     return stored.changed_only(counts, tables.read_table(spark, table), table.spec.keys)
 
 
@@ -270,9 +274,8 @@ def upsert_overwrite_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"{_index_sql(_MORNING)} UNION ALL {_index_sql(_AFTERNOON)}")
 def append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _new_table(spark, INDEX_CLICK_COUNT_ROWS)
-    rows = _parsed(spark, sf_dir)
-    tables.append(_index_counts(fixtures.morning(rows)), table, batch=0)
-    tables.append(_index_counts(fixtures.afternoon(rows)), table, batch=1)
+    for batch, part in enumerate((fixtures.morning, fixtures.afternoon)):
+        tables.append(clicks.running_clicks(_parsed(spark, sf_dir, part=part)), table, batch)
     return tables.read_table(spark, table)
 
 
@@ -481,6 +484,24 @@ def click_count_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, table)
 
 
+@registered(_REJECTS)
+def rejects_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records with their text, kept in files by a stream."""
+    folder = new_run_dir(spark, "rejects")
+    feed = fixtures.damaged_feed(fixtures.events(spark, sf_dir))
+    feed.select("key", "value").write.parquet(f"{folder}/feed")
+    query = jobs.start_rejects(
+        feeds.read_clicks(spark, "parquet", path=f"{folder}/feed"),
+        f"{folder}/rejects",
+        f"{folder}/checkpoint",
+        "error",
+        {"availableNow": True},
+    )
+    query.awaitTermination()
+    kept = spark.read.parquet(f"{folder}/rejects")
+    return kept.select(F.col("key").cast("bigint").alias("event_id"), "reason")
+
+
 @registered(_INDEX_CLICKS)
 def daily_clicks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed arrives in the order of time, so no record is late when past days are let go."""

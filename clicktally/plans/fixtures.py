@@ -52,7 +52,7 @@ def damaged_feed(rows: DataFrame) -> DataFrame:
     error = F.col("event_type") == "error"
     k = F.col("k")
     value = (
-        F.when(error & (k < 20), F.expr("left({0}, length({0}) - 1)".format("good")))
+        F.when(error & (k < 20), F.concat(F.lit("{"), F.col("good")))
         .when(error & (k < 40), F.col("no_content"))
         .when(error & (k < 60), F.col("text_content"))
         .when((error & (k < 80)) | ((F.col("event_type") == "view") & (k < 10)), F.col("bad_time"))
@@ -67,7 +67,7 @@ def damaged_feed(rows: DataFrame) -> DataFrame:
         text_content.alias("text_content"),
         bad_time.alias("bad_time"),
     )
-    return texts.select("event_id", value.alias("value"))
+    return texts.select("event_id", F.col("event_id").cast("string").alias("key"), value.alias("value"))
 
 
 def ad_clicks(rows: DataFrame) -> DataFrame:

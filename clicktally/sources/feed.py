@@ -33,6 +33,10 @@ def kafka_options(
     return options
 
 
+def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
 def read_clicks(
     spark: SparkSession,
     fmt: str = "kafka",

@@ -37,20 +37,20 @@ def _stored_near(batch: DataFrame, table: ResultTable, before: tuple[int, int])
 
 
 def write_counts(
-    batch: DataFrame, batch_id: int, table: ResultTable, run: int = 0, skip_unchanged: bool = True
+    batch: DataFrame, batch_id: int, table: ResultTable, skip_unchanged: bool = True
 ) -> None:
     """Upsert one micro-batch of counts, at will without those the table already holds.
 
     The comparison leaves out this very batch, so a repeated delivery finds and writes the same.
     """
     if not skip_unchanged:
-        upsert_overwrite(batch, table, batch_id, run, unique=True)
+        upsert_overwrite(batch, table, batch_id, unique=True)
         return
     cached = batch.persist()
     try:
-        stored = _stored_near(cached, table, (run, batch_id))
+        stored = _stored_near(cached, table, before=(0, batch_id))
         changed = changed_only(cached, stored, table.spec.keys)
-        upsert_overwrite(changed, table, batch_id, run, unique=True)
+        upsert_overwrite(changed, table, batch_id, unique=True)
     finally:
         cached.unpersist()
 
@@ -63,7 +63,6 @@ def start_click_counts(
     mode: str = "update",
     daily: bool = False,
     lateness_days: int = 1,
-    run: int = 0,
     skip_unchanged: bool | None = None,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
@@ -94,7 +93,7 @@ def start_click_counts(
     counts = daily_clicks(clicks, lateness_days) if daily else running_clicks(clicks)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_counts(batch, batch_id, table, run, skip_unchanged)
+        write_counts(batch, batch_id, table, skip_unchanged)
 
     writer = (
         counts.writeStream.outputMode(mode)

@@ -61,6 +61,12 @@ def test_drop_blacklisted_with_repeated_ids(spark):
     assert Counter(r.userid for r in left.collect()) == {2: 2, 3: 2}
 
 
+def test_drop_blacklisted_with_text_users(spark):
+    clicks = spark.createDataFrame([("1",), ("-99",), (" ",), ("x",), (None,)], "userid STRING")
+    listed = spark.createDataFrame([(1,), (-99,)], "userid BIGINT")
+    assert rows(ads.drop_blacklisted(clicks, listed)) == [(" ",), ("x",), (None,)]
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("max_rows", [0, 1000])
 def test_hot_key_join_equals_a_plain_join(spark, how, max_rows):

@@ -158,6 +158,14 @@ def test_hourly_pv(spark):
     assert rows(clicks.hourly_pv(good)) == [("1970-01-01 00", 2), ("1970-01-01 01", 1)]
 
 
+def test_daily_clicks_of_a_batch(spark, zone):
+    values = [record(timestamp=t, user_id=t % 3) for t in range(1568100000, 1568300000, 7000)]
+    for name in ("UTC", "Asia/Shanghai"):
+        with zone(name):
+            good = clicks.countable(parsed(spark, *values))
+            assert rows(clicks.daily_clicks(good)) == rows(clicks.running_clicks(good))
+
+
 def test_page_pv_uv(spark):
     values = [record(user_id=u) for u in (1, 1, 2, "", None)]
     counts = clicks.running_clicks(clicks.countable(parsed(spark, *values)))

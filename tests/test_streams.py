@@ -7,7 +7,7 @@ from zoneinfo import ZoneInfo
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from clicktally.config import new_run_dir, shared_dir
+from clicktally.config import CLUSTER_CONF, new_run_dir, shared_dir
 from clicktally.operators.clicks import countable, hourly_pv, parse_clicks, running_clicks
 from clicktally.operators.enrich import Rule, parse_vehicles
 from clicktally.schemas import INDEX_CLICK_COUNT
@@ -253,6 +253,19 @@ def test_console(job):
     assert query.exception() is None
 
 
+def test_cluster_settings(spark, job):
+    session = spark.newSession()
+    for name, value in {**CLUSTER_CONF, "spark.sql.shuffle.partitions": "2"}.items():
+        session.conf.set(name, value)
+    job.spark = session
+    job.arrive((D1, "a", 1))
+    job.run(daily=True)
+    job.arrive((D1, "a", 1), (D1, "a", 2))
+    query = job.run(daily=True)
+    assert "rocksdbCommitCheckpointLatency" in query.lastProgress["stateOperators"][0]["customMetrics"]
+    assert job.stored() == job.batch_result()
+
+
 def test_batch_ranges(job):
     job.arrive((D1, "a", 1))
     query = job.run()
@@ -266,6 +279,8 @@ def test_kafka_options():
     saved = feeds.kafka_options("host:1", "clicks", saved={1: 20, 0: 10})
     assert json.loads(saved["startingOffsets"]) == {"clicks": {"0": 10, "1": 20}}
     assert saved["failOnDataLoss"] == "false"
+    sink = feeds.kafka_sink_options("host:1", "out")
+    assert sink == {"kafka.bootstrap.servers": "host:1", "topic": "out"}
 
 
 VEHICLES = [

@@ -177,8 +177,7 @@ def test_date_filter_reaches_the_partitions(spark, kept):
     assert rows(one_day) == [data[1]]
 
 
-@pytest.mark.parametrize("batches", [1, 3])
-@pytest.mark.parametrize("again", [False, True])
+@pytest.mark.parametrize("batches, again", [(1, False), (3, True)])
 def test_compact_keeps_the_rows(spark, kept, batches, again):
     d = "2024-01-01"
     for spec, write, data in (
