@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktally.operators.clicks import count_clicks
-from clicktally.operators.joins import hot_key_join
+from clicktally.operators.joins import fits_broadcast, hot_key_join
 from clicktally.schemas import AD_CLICK_TREND, AD_STAT, AD_USER_CLICK_COUNT
 
 
@@ -50,6 +50,9 @@ def users_over(user_ad: DataFrame, threshold: int) -> DataFrame:
 
 
 def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """The clicks of users that are not on the blacklist; user ids may be numbers or text."""
+    """The clicks of users that are not on the blacklist; user ids may be numbers or text.
+
+    The list is counted when the join is built, before its repeats are combined.
+    """
     listed = blacklist.select(F.col("userid").cast(clicks.schema["userid"].dataType)).distinct()
-    return hot_key_join(clicks, listed, ["userid"], "left_anti")
+    return hot_key_join(clicks, listed, ["userid"], "left_anti", small=fits_broadcast(blacklist))

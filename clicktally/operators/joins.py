@@ -13,8 +13,8 @@ SALTS = 16
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; stops counting soon after the limit."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows. For a table this reads file footers only."""
+    return df.count() <= max_rows
 
 
 def hot_key_join(
@@ -22,17 +22,17 @@ def hot_key_join(
     right: DataFrame,
     on: Sequence[str],
     how: str,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    small: bool,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``left`` to a narrow ``right``, for ``inner``, ``left``, ``left_semi`` or ``left_anti``.
 
-    A right side that is counted and found small is broadcast, so the left side is not shuffled.
-    A larger one is repeated once per salt and the left rows of one key are spread over the salts
-    by the partition they come from. Each left row still meets every right row of its key. The
-    size is checked when the join is built.
+    A right side known to be ``small`` (see :func:`fits_broadcast`) is broadcast, so the left side is
+    not shuffled. Otherwise the right side is repeated once per salt and the left rows of one key are
+    spread over the salts by the partition they come from. Each left row still meets every right row
+    of its key.
     """
-    if fits_broadcast(right, max_broadcast_rows):
+    if small:
         return left.join(F.broadcast(right), list(on), how)
     salted_left = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

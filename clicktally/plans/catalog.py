@@ -509,7 +509,7 @@ def daily_clicks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.events(spark, sf_dir)
     table = ResultTable(INDEX_CLICK_COUNT, f"{folder}/table")
     first, last = rows.agg(F.min("ts").cast("double"), F.max("ts").cast("double")).first()
-    third = F.floor((F.col("ts").cast("double") - first) / (last - first) * _STREAM_BATCHES)
+    third = F.floor((F.col("ts").cast("double") - first) / max(last - first, 1.0) * _STREAM_BATCHES)
     for part in (third < 1, third == 1, third > 1):
         _arrive(rows.filter(part), folder)
         _run_available(spark, folder, table, daily=True)

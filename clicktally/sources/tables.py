@@ -121,10 +121,16 @@ def _checked(rows: DataFrame, failure: Column, text: str) -> DataFrame:
 
 
 def append(new: DataFrame, table: ResultTable, batch: int, run: int = 0) -> None:
-    """Add rows as they are. A repeated delivery of a batch does not add them again."""
+    """Add rows as they are. A repeated delivery of a batch does not add them again.
+
+    Key parts may be null; an empty date is refused, as a partition it would come back as null.
+    """
     _require_merge(table, "append")
     _require_number(run, batch)
-    _write(new.select(*table.spec.schema.names), table, run, batch)
+    rows = new.select(*table.spec.schema.names)
+    if table.spec.partition_columns:
+        rows = _checked(rows, F.col("date") == "", f"{table.spec.name}: empty date")
+    _write(rows, table, run, batch)
 
 
 def upsert_overwrite(

@@ -61,6 +61,14 @@ def test_drop_blacklisted_with_repeated_ids(spark):
     assert Counter(r.userid for r in left.collect()) == {2: 2, 3: 2}
 
 
+def test_a_long_blacklist_is_salted(spark, monkeypatch):
+    monkeypatch.setattr(ads, "fits_broadcast", lambda _list: False)
+    listed = spark.createDataFrame([(1,), (1,), (9,)], "userid BIGINT")
+    left = ads.drop_blacklisted(ad_clicks(spark), listed)
+    assert "_salt" in left._jdf.queryExecution().executedPlan().toString()
+    assert Counter(r.userid for r in left.collect()) == {2: 2, 3: 2}
+
+
 def test_drop_blacklisted_with_text_users(spark):
     clicks = spark.createDataFrame([("1",), ("-99",), (" ",), ("x",), (None,)], "userid STRING")
     listed = spark.createDataFrame([(1,), (-99,)], "userid BIGINT")
@@ -68,19 +76,19 @@ def test_drop_blacklisted_with_text_users(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_hot_key_join_equals_a_plain_join(spark, how, max_rows):
+@pytest.mark.parametrize("small", [True, False])
+def test_hot_key_join_equals_a_plain_join(spark, how, small):
     """A third of the left rows have one key; the right side repeats some keys."""
     left = spark.range(0, 900, 1, 6).selectExpr("IF(id % 3 = 0, 7, id % 40) AS userid", "id")
     right = spark.range(30).selectExpr("id AS userid", "'a' AS tag").union(
         spark.range(5, 9).selectExpr("id AS userid", "'b' AS tag")
     )
-    got = hot_key_join(left, right, ["userid"], how, max_broadcast_rows=max_rows, salts=4)
+    got = hot_key_join(left, right, ["userid"], how, small=small, salts=4)
     expected = left.join(right, "userid", how)
     assert got.columns == expected.columns
     assert rows(got) == rows(expected)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert ("_salt" in plan) == (max_rows == 0)
+    assert ("_salt" in plan) == (not small)
 
 
 def test_salts_spread_a_hot_key(spark):
@@ -89,7 +97,7 @@ def test_salts_spread_a_hot_key(spark):
     try:
         left = spark.range(0, 900, 1, 6).selectExpr("IF(id < 600, 7, id) AS userid", "id")
         right = spark.createDataFrame([(1,)], "userid BIGINT")
-        got = hot_key_join(left, right, ["userid"], "left_anti", max_broadcast_rows=0, salts=4)
+        got = hot_key_join(left, right, ["userid"], "left_anti", small=False, salts=4)
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert plan.count("hashpartitioning(userid") == 2
         assert all("_salt" in part[:60] for part in plan.split("hashpartitioning(userid")[1:])

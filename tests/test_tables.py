@@ -106,6 +106,15 @@ def test_append_of_counts_does_not_merge(spark, kept):
     assert rows(tables.read_table(spark, table)) == [row, row]
 
 
+def test_append_takes_null_key_parts_but_no_empty_date(spark, kept):
+    table = kept(INDEX_CLICK_COUNT_ROWS)
+    data = [(None, "a", "1", 5), ("2024-01-01", None, None, None)]
+    tables.append(frame(spark, table.spec, *data), table, 0)
+    assert rows(tables.read_table(spark, table)) == sorted(data, key=repr)
+    with pytest.raises(PySparkException, match="empty date"):
+        tables.append(frame(spark, table.spec, ("", "a", "1", 5)), table, 1)
+
+
 def test_replace_groups(spark, kept):
     table = kept(AD_PROVINCE_TOP3)
     d1, d2 = "2024-01-01", "2024-01-02"
