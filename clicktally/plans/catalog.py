@@ -252,7 +252,11 @@ def upsert_overwrite_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, table)
 
 
-@registered(_overwrite_sql(_region_sql(_AD_CLICKS, _MORNING), _region_sql(_AD_CLICKS, _AFTERNOON), AD_STAT.keys))
+@registered(
+    _overwrite_sql(
+        _region_sql(_AD_CLICKS, _MORNING), _region_sql(_AD_CLICKS, _AFTERNOON), AD_STAT.keys
+    )
+)
 def upsert_overwrite_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _new_table(spark, AD_STAT)
     rows = _ad_clicks(spark, sf_dir)
@@ -261,7 +265,11 @@ def upsert_overwrite_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, table)
 
 
-@registered(_overwrite_sql(_trend_sql("second(ts) < 30"), _trend_sql("second(ts) >= 30"), AD_CLICK_TREND.keys))
+@registered(
+    _overwrite_sql(
+        _trend_sql("second(ts) < 30"), _trend_sql("second(ts) >= 30"), AD_CLICK_TREND.keys
+    )
+)
 def upsert_overwrite_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All positions, in two batches a minute: keys hold the minute."""
     table = _new_table(spark, AD_CLICK_TREND)

@@ -13,6 +13,7 @@ table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -196,6 +197,13 @@ def compact(spark: SparkSession, table: ResultTable, target_path: str) -> Result
     return target
 
 
-def export(df: DataFrame, fmt: str, mode: str = "overwrite", **options: str) -> None:
-    """Hand a result to another system by Spark's writer, such as ``jdbc`` with ``batchsize``."""
-    df.write.format(fmt).options(**options).mode(mode).save()
+def export(
+    df: DataFrame, fmt: str, mode: str = "overwrite", partition_by: Sequence[str] = (), **options: str
+) -> None:
+    """Hand a result on by one of Spark's writers: plain files, or ``jdbc`` with ``batchsize``."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.format(fmt).options(**options).mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save()

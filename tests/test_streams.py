@@ -14,7 +14,7 @@ from clicktally.schemas import INDEX_CLICK_COUNT
 from clicktally.sources import feed as feeds
 from clicktally.sources import tables
 from clicktally.sources.tables import ResultTable
-from clicktally.streaming import jobs
+from clicktally.streaming import jobs, main
 from tests.conftest import rows
 
 ONCE = {"availableNow": True}
@@ -266,6 +266,25 @@ def test_cluster_settings(spark, job):
     assert job.stored() == job.batch_result()
 
 
+def test_program(spark, job):
+    job.arrive((D1, "a", 1), (D1, "a", 1), ("soon", "a", 2))
+    rejects = f"{job.folder}/rejects"
+    argv = f"--format parquet --path {job.folder}/feed --position a --once --daily --rejects {rejects}"
+    argv += f" --table {job.table.path} --checkpoint {job.checkpoint}"
+    for query in main.start(spark, main.arguments(argv.split())):
+        query.awaitTermination()
+    assert job.stored() == [("2024-01-01", "a", "1", 2)]
+    assert [r.reason for r in spark.read.parquet(rejects).collect()] == ["bad_timestamp"]
+
+
+def test_program_arguments():
+    args = main.arguments("--servers s:1 --topic t --table x --checkpoint y".split())
+    assert (args.position, args.mode, args.every, args.daily) == ("app_restart", "update", "5 seconds", False)
+    for wrong in ("--table x --checkpoint y", "--format json --table x --checkpoint y", "--servers s:1"):
+        with pytest.raises(SystemExit):
+            main.arguments(wrong.split())
+
+
 def test_batch_ranges(job):
     job.arrive((D1, "a", 1))
     query = job.run()
