@@ -13,7 +13,8 @@ table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,15 +86,35 @@ def batch_rows(spark: SparkSession, table: ResultTable, batch: int, run: int = 0
     return log.filter((F.col("run") == run) & (F.col("batch") == batch)).count()
 
 
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for one write. Spark turns it off for streams with state, and with it the
+    rebalance of what their batches write, which would leave a file per shuffle partition and date.
+    """
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _write(rows: DataFrame, table: ResultTable, run: int, batch: int) -> None:
+    """Replace the folder of one batch.
+
+    One date may hold most rows: the rebalance splits it into files of normal size and brings small
+    dates together in one task each.
+    """
+    path = f"{table.path}/run={run}/batch={batch}"
     parts = table.spec.partition_columns
-    if parts:
-        # One date may hold most rows: a rebalance splits it and joins small dates into one file.
-        rows = rows.hint("rebalance", *parts)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(f"{table.path}/run={run}/batch={batch}")
+    with _adaptive(rows.sparkSession):
+        if parts:
+            rows = rows.hint("rebalance", *parts)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if parts:
+            writer = writer.partitionBy(*parts)
+        writer.parquet(path)
 
 
 def _require_merge(table: ResultTable, merge: str) -> None:

@@ -81,6 +81,15 @@ def test_stream_equals_batch_over_several_batches_and_restarts(job, mode, daily)
     assert ("2024-01-02", "a", "-99", 2) in job.stored()
 
 
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_a_batch_writes_one_file_a_date(spark, job, mode):
+    """Not one per shuffle partition, though a stream with state runs without adaptive execution."""
+    job.arrive(*((D1 + day * DAY, "a", user) for day in (0, 1) for user in range(40)))
+    job.run(mode=mode)
+    files = spark.read.parquet(job.table.path).inputFiles()
+    assert len(files) == 2
+
+
 def test_nothing_new_changes_nothing(job):
     job.arrive((D1, "a", 1))
     job.run()
