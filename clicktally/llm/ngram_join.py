@@ -5,6 +5,8 @@ Links are pairs of shingle sets with ``100 * |A and B| >= 80 * |A or B|``. The j
 1. Documents with equal sets form a class; its smallest id stands for it.
 2. Shingles are put in one global order, rare ones first. Two linked sets share a shingle among the
    first ``n - ceil(0.8 n) + 1`` of each, and two shingles among the first ``n - ceil(0.8 n) + 2``.
+   An entry at place i of such a prefix says that at most the n - i shingles from there on are shared,
+   if it is the first shared one; a pair of entries that leaves less than 4/9 of both sizes is none.
 3. Light sets, up to a boundary size, are joined on the two-element subsets of that longer prefix;
    heavy sets are found by scanning the inverted lists of single shingles. The boundary is the one
    with the least cost: subsets written against list entries written and scanned.
@@ -40,8 +42,10 @@ SHINGLE = 5
 ORDERED = 1 << 18
 #: A list of up to so many members gives all its pairs at once.
 SHORT_LIST = 12
+#: A candidate costs so many times what a list entry costs.
+VERIFY_COST = 20
 #: Times that a long list gets another first member before all pairs between components are taken.
-ROUNDS = 3
+ROUNDS = 2
 BOUNDARIES = (3, 6, 9, 12, 16, 20, 25, 32, 40, 50, 64, 80, 100, 128)
 
 _CHUNK = 1 << 21
@@ -121,7 +125,10 @@ def _repeats(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _boundary(classes: DataFrame, scan: float) -> int:
-    """The largest light size, by the cost of subsets and of list entries written and scanned."""
+    """The largest light size, by the cost of subsets and of list entries written and scanned.
+
+    ``scan`` is the cost of scanning behind one entry, as a multiple of writing it.
+    """
     n = F.col("n")
     prefix = n - F.floor((4 * n + 4) / 5) + 1
     costs = [
@@ -133,12 +140,11 @@ def _boundary(classes: DataFrame, scan: float) -> int:
 
 
 def _entries(order, boundary: int, size: int) -> Callable:
-    """List entries ``key, n, doc`` of a task's sets."""
-    at = np.triu_indices(_prefix(boundary) + 1, 1)
+    """List entries ``key, n, rest, doc`` of a task's sets; ``rest`` bounds what can be shared."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, ranks = order.value
-        keys, sizes, ids, held = [], [], [], 0
+        keys, rests, sizes, ids, held = [], [], [], [], 0
 
         def entries() -> pa.RecordBatch:
             lengths = [len(k) for k in keys]
@@ -146,6 +152,7 @@ def _entries(order, boundary: int, size: int) -> Callable:
                 {
                     "key": np.concatenate(keys).view(np.int64),
                     "n": np.repeat(np.array(sizes, dtype=np.int64), lengths),
+                    "rest": np.concatenate(rests),
                     "doc": np.repeat(np.array(ids, dtype=np.int64), lengths),
                 }
             )
@@ -158,19 +165,22 @@ def _entries(order, boundary: int, size: int) -> Callable:
                 last = found[heavy][np.argsort(ranks[place[heavy]], kind="stable")]
                 found = np.concatenate([found[~heavy], last])
             prefix = _prefix(n)
-            own = []
+            own, rest = [], []
             if 5 * n > 4 * boundary:
                 own.append(found[:prefix])
+                rest.append(np.arange(n, n - prefix, -1))
             if n <= boundary:
-                i, j = at if n == boundary else np.triu_indices(prefix + 1, 1)
+                i, j = np.triu_indices(prefix + 1, 1)
                 own.append(mix(found[i] * _FIRST + mix(found[j]) + _SUBSET))
+                rest.append(n - j + 1)
             keys.append(np.concatenate(own))
+            rests.append(np.concatenate(rest))
             sizes.append(n)
             ids.append(doc)
             held += len(keys[-1])
             if held > 200_000:
                 yield entries()
-                keys, sizes, ids, held = [], [], [], 0
+                keys, rests, sizes, ids, held = [], [], [], [], 0
         if keys:
             yield entries()
 
@@ -180,7 +190,15 @@ def _entries(order, boundary: int, size: int) -> Callable:
 def _candidates(short: int) -> Callable:
     """From entries sorted by key and size: pairs (kind 0) and the entries of long lists (kind 1)."""
 
-    def lists(key: np.ndarray, n: np.ndarray, doc: np.ndarray, goes_on: bool) -> pa.RecordBatch | None:
+    def lists(key: np.ndarray, n: np.ndarray, rest: np.ndarray, doc: np.ndarray, goes_on: bool) -> pa.RecordBatch | None:
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        smallest = n[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+        if goes_on:  # smaller members came before
+            smallest[key == key[0]] = 0
+        useful = 9 * rest >= 4 * (n + np.maximum((4 * n + 4) // 5, smallest))
+        key, n, rest, doc = key[useful], n[useful], rest[useful], doc[useful]
+        if not len(key):
+            return None
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         length = np.diff(np.append(start, len(key)))
         is_long = length > short
@@ -195,10 +213,12 @@ def _candidates(short: int) -> Callable:
             low, high = start[s], start[s] + length[s]
             while low < high:  # sizes grow: a first member reaches up to 5/4 of its own
                 stop = low + int(np.searchsorted(4 * n[low:high], 5 * n[low], "right"))
-                pairs.append((np.full(stop - low - 1, low), np.arange(low + 1, stop)))
+                head = low + int(np.argmax(rest[low:stop]))
+                pairs.append((np.full(stop - low, head), np.arange(low, stop)))
                 low = stop
         i, j = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 2
-        fits = (4 * n[j] <= 5 * n[i]) & (doc[i] != doc[j])
+        fits = (4 * np.maximum(n[i], n[j]) <= 5 * np.minimum(n[i], n[j])) & (doc[i] != doc[j])
+        fits &= 9 * np.minimum(rest[i], rest[j]) >= 4 * (n[i] + n[j])
         a, b = doc[i[fits]], doc[j[fits]]
         both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         if not len(both) and not len(long):
@@ -209,13 +229,15 @@ def _candidates(short: int) -> Callable:
                 "a": np.concatenate([both[:, 0], key[long]]),
                 "b": np.concatenate([both[:, 1], doc[long]]),
                 "n": np.concatenate([np.zeros(len(both), dtype=np.int64), n[long]]),
+                "rest": np.concatenate([np.zeros(len(both), dtype=np.int64), rest[long]]),
             }
         )
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, goes_on = [np.zeros(0, np.int64)] * 3, False
+        columns = ("key", "n", "rest", "doc")
+        held, goes_on = [np.zeros(0, np.int64)] * 4, False
         for batch in batches:
-            held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("key", "n", "doc"), strict=True)]
+            held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, columns, strict=True)]
             key = held[0]
             if not len(key):
                 continue
@@ -266,18 +288,20 @@ def _open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
 
 def _star(lists: DataFrame, turn: int) -> DataFrame:
     """Pairs of a list's first member, another one in each turn, with those of other components."""
-    first = F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "component"))
+    first = F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "rest", "component"))
     heads = lists.groupBy("key").agg(first.alias("head"))
     return lists.join(heads, "key").where(
         "component <> head.component AND 4 * greatest(n, head.n) <= 5 * least(n, head.n)"
+        " AND 9 * least(rest, head.rest) >= 4 * (n + head.n)"
     ).select(F.least("doc", "head.doc").alias("a"), F.greatest("doc", "head.doc").alias("b")).distinct()
 
 
 def _across(lists: DataFrame) -> DataFrame:
     """All pairs of a list's members in different components."""
-    other = lists.select("key", *(F.col(c).alias(f"{c}2") for c in ("doc", "n", "component")))
+    other = lists.select("key", *(F.col(c).alias(f"{c}2") for c in ("doc", "n", "rest", "component")))
     return lists.join(other, "key").where(
         "component < component2 AND 4 * greatest(n, n2) <= 5 * least(n, n2)"
+        " AND 9 * least(rest, rest2) >= 4 * (n + n2)"
     ).select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b")).distinct()
 
 
@@ -300,16 +324,15 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
     tokens, weights = heaviest["token"].to_numpy().view(np.uint64), heaviest["weight"].to_numpy()
     by_token = np.argsort(tokens)
     order = spark.sparkContext.broadcast((tokens[by_token], weights[by_token]))
-    least = int(weights.min()) if len(weights) == ordered else 1
-    scanned = repeats.where(F.col("weight") < least).agg(F.sum(F.col("weight") * F.col("weight"))).first()[0] or 0
+    shared = repeats.agg(F.sum("weight")).first()[0] or 0
     total = classes.agg(F.sum("n")).first()[0] or 1
-    boundary = _boundary(classes, scanned / total)
+    boundary = _boundary(classes, VERIFY_COST * shared / total)
 
-    entries = docs.mapInArrow(_entries(order, boundary, size), "key bigint, n bigint, doc bigint")
+    entries = docs.mapInArrow(_entries(order, boundary, size), "key bigint, n bigint, rest bigint, doc bigint")
     found = stored(
         entries.repartition("key")
         .sortWithinPartitions("key", "n", "doc")
-        .mapInArrow(_candidates(short), "kind tinyint, a bigint, b bigint, n bigint"),
+        .mapInArrow(_candidates(short), "kind tinyint, a bigint, b bigint, n bigint, rest bigint"),
         "candidates",
     )
 
@@ -320,8 +343,8 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
     pairs = found.where("kind = 0").select("a", "b").distinct()
     pairs = representatives(representatives(pairs, "a"), "b").where("a <> b")
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    lists = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc"), "n")
-    lists = stored(representatives(lists, "doc").select("key", "doc", "n").distinct(), "lists")
+    lists = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc"), "n", "rest")
+    lists = stored(representatives(lists, "doc").select("key", "doc", "n", "rest").distinct(), "lists")
 
     wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
     wanted = wanted.unionByName(lists.select("doc")).distinct()
@@ -344,7 +367,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
         links = links.unionByName(stored(_verify(more, texts, size), "links"))
         tried = tried.unionByName(more)
         joined = stored(components(links), "components")
-        lists = lists.select("key", "doc", "n")
+        lists = lists.select("key", "doc", "n", "rest")
 
     top = member.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     of_set = top.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
