@@ -305,6 +305,31 @@ def _across(lists: DataFrame) -> DataFrame:
     ).select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b")).distinct()
 
 
+def close_lists(
+    lists: DataFrame, texts: DataFrame, size: int, tried: DataFrame | None = None, links: DataFrame | None = None
+) -> DataFrame:
+    """Components of all links between members of a list, each ``node`` with its ``component``.
+
+    ``lists`` has ``key, doc, n, rest``; pairs that were ``tried`` before and the ``links`` among them
+    are taken over. Only pairs between what is not yet together are verified.
+    """
+    spark = lists.sparkSession
+    nothing = spark.createDataFrame([], "a bigint, b bigint")
+    tried, links = tried if tried is not None else nothing, links if links is not None else nothing
+    joined = components(links)
+    for turn in range(ROUNDS + 1):
+        lists = stored(_open_lists(lists, joined), "open")
+        if lists.isEmpty():
+            break
+        more = _star(lists, turn) if turn < ROUNDS else _across(lists)
+        more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionByName(stored(_verify(more, texts, size), "links"))
+        tried = tried.unionByName(more)
+        joined = stored(components(links), "components")
+        lists = lists.select("key", "doc", "n", "rest")
+    return joined
+
+
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDERED, short: int = SHORT_LIST) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
     spark = docs.sparkSession
@@ -356,18 +381,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
     several = member.groupBy("doc").agg(F.count("*").alias("sets")).where("sets > 1").select("doc")
     same = member.join(several, "doc", "left_semi").where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
     links = stored(_verify(pairs, texts, size).unionByName(same), "links")
-    tried = pairs
-    joined = components(links)
-    for turn in range(ROUNDS + 1):
-        lists = stored(_open_lists(lists, joined), "open")
-        if lists.isEmpty():
-            break
-        more = _star(lists, turn) if turn < ROUNDS else _across(lists)
-        more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(stored(_verify(more, texts, size), "links"))
-        tried = tried.unionByName(more)
-        joined = stored(components(links), "components")
-        lists = lists.select("key", "doc", "n", "rest")
+    joined = close_lists(lists, texts, size, pairs, links)
 
     top = member.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     of_set = top.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
