@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktally.llm import decontaminate, ngram_join
+from clicktally.llm import (
+    decontaminate,
+    fingerprints,
+    html_extract,
+    language,
+    license_scan,
+    mixing,
+    ngram_join,
+    quality,
+    secret_scan,
+    url_filter,
+)
+from clicktally.llm.store import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +31,48 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score."""
+    measured = stored(quality.statistics(_table(spark, sf_dir, "documents")), "statistics")
+    return quality.score(measured, quality.fit(measured, _table(spark, sf_dir, "labels")))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the secrets in it."""
+    return secret_scan.report(_table(spark, sf_dir, "documents"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside that of its edited text and of the next document."""
+    return fingerprints.edits(_table(spark, sf_dir, "documents"))
+
+
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licences it names."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its leading language."""
+    docs = _table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the mixture of sources."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items that occur in it."""
     found = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -35,7 +89,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_quality": op2_quality,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_html_extract": op5_html_extract,
+    "op6_url_filter": op6_url_filter,
+    "op7_license_scan": op7_license_scan,
+    "op8_language": op8_language,
+    "op9_mixing": op9_mixing,
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_url_filter": url_filter.verdict_sql()}
