@@ -178,7 +178,7 @@ def detections(docs: DataFrame) -> DataFrame:
         (passed - F.col("inside") - 1).alias("start"),
         passed.alias("end"),
     )
-    by_place = Window.partitionBy("doc_id", "mark").orderBy("start", F.desc("end"), "priority", "rule")
+    by_place = Window.partitionBy("doc_id", "mark", "base").orderBy("start", F.desc("end"), "priority", "rule")
     reach = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     whole = placed.withColumn("reach", reach).where(F.col("base") | F.col("reach").isNull() | (F.col("reach") < F.col("end")))
     better = F.struct("priority", (F.col("start") - F.col("end")).alias("length"), "rule")
