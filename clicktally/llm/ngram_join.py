@@ -272,8 +272,12 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                     good.append(100 * shared >= 80 * (len(x) + len(y) - shared))
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left = pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-    both = left.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
+    def of(side: str) -> DataFrame:
+        """Texts of one side; with few pairs only these are moved."""
+        named = texts.select(F.col("doc").alias(side), F.col("text").alias(f"text_{side}"))
+        return named.join(pairs.select(side).distinct(), side, "left_semi").hint("merge")
+
+    both = pairs.join(of("b"), "b").join(of("a"), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
@@ -374,7 +378,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
     wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
     wanted = wanted.unionByName(lists.select("doc")).distinct()
     texts = stored(
-        docs.withColumnRenamed("doc_id", "doc").join(wanted, "doc", "left_semi"), "texts"
+        docs.withColumnRenamed("doc_id", "doc").join(wanted.hint("merge"), "doc", "left_semi"), "texts"
     )
 
     # an id that comes with several sets links their classes
