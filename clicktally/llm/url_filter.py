@@ -78,7 +78,7 @@ class Automaton:
                 masks[byte, word] |= one
             accept.append(bit(at))
             at += 1
-        return cls(starts, loops, np.array([(w, int(b).bit_length() - 1) for w, b in accept]).reshape(-1, 2), masks)
+        return cls(starts, loops, np.array([(w, int(b).bit_length() - 1) for w, b in accept], dtype=np.int64).reshape(-1, 2), masks)
 
     def matches(self, texts: pa.Array) -> np.ndarray:
         """Which texts (rows) match which globs (columns), as a whole."""
