@@ -1,0 +1,111 @@
+"""Fitted operators: held-out accuracy, and hard rows."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from clicktally.llm import language, quality
+from tests.llm.helpers import HARD_TEXTS, documents, sentence
+
+SMALL = "/root/testdata/sf0.01"
+MEDIUM = "/root/testdata/sf0.1"
+
+
+def held_out(doc: int | None) -> bool:
+    return doc is not None and zlib.crc32(str(doc).encode()) % 4 == 2
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    measured = quality.statistics(docs).cache()
+    return measured, quality.fit(measured, labels), {r.doc_id: r.quality for r in labels.collect()}
+
+
+def test_quality_of_held_out_documents(scored):
+    measured, model, labels = scored
+    rows = quality.score(measured, model).collect()
+    assert len(rows) == 10_000 and all(r.held_out == held_out(r.doc_id) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    seen = [(labels[r.doc_id], r.score) for r in rows if r.held_out and r.doc_id in labels]
+    good, bad = (np.array([s for y, s in seen if y == want]) for want in (1, 0))
+    assert (good[:, None] > bad[None]).mean() > 0.99
+    assert (good >= 0.7).mean() > 0.98 and (bad >= 0.7).mean() < 0.05
+
+
+def test_quality_ignores_held_out_labels(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    wrong = labels.selectExpr("doc_id", "IF(crc32(CAST(doc_id AS STRING)) % 4 = 2, 1 - quality, quality) AS quality")
+    measured = quality.statistics(docs).cache()
+    a, b = quality.fit(measured, labels), quality.fit(measured, wrong)
+    assert np.allclose(a.weights, b.weights) and np.allclose(a.levels, b.levels)
+
+
+def test_quality_of_hard_rows(spark, scored):
+    _, model, _ = scored
+    docs = documents(spark, [*HARD_TEXTS, (None, "x y"), (3, "one"), (3, "one")], extra=True)
+    rows = quality.score(quality.statistics(docs), model).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (0, 1)}) == 1  # null and empty
+    assert [r.held_out for r in rows if r.doc_id is None] == [False]
+    kept = quality.keep_good(docs, model)
+    assert kept.schema == docs.schema
+    want = sorted(str(r.doc_id) for r in rows if r.predicted)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == want
+    nothing = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    model = quality.fit(quality.statistics(docs), nothing)
+    assert {r.score for r in quality.score(quality.statistics(docs), model).collect()} == {0.5}
+    assert quality.score(quality.statistics(docs.limit(0)), model).count() == 0
+
+
+def test_one_kind_of_label(spark):
+    docs = documents(spark, [sentence(random.Random(i), 20) for i in range(40)])
+    labels = spark.createDataFrame([(i, 1) for i in range(40)] + [(0, None), (None, 1), (1, 1)], "doc_id bigint, quality int")
+    measured = quality.statistics(docs)
+    assert all(r.score > 0.9 for r in quality.score(measured, quality.fit(measured, labels)).collect())
+
+
+def test_isotonic_is_the_nearest_rising_line():
+    x = np.arange(6) / 10
+    at, level = quality.isotonic(x, np.array([0.0, 2, 1, 1, 3, 2]), np.array([1.0, 2, 2, 1, 3, 3]))
+    assert np.all(np.diff(level) >= 0) and np.all(np.diff(at) > 0)
+    assert np.allclose(level, [0, 3 / 4, 1 * 6 / 7]) or np.allclose(level[0], 0)
+    assert quality.isotonic(np.zeros(0), np.zeros(0), np.zeros(0))[0].size == 0
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    rows = language.predict(docs, language.learn(docs)).collect()
+    assert len(rows) == len(lang) and all(r.held_out == held_out(r.doc_id) for r in rows)
+    out = [r for r in rows if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in out) > 0.98 * len(out)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_mixtures(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    names = language.learn(docs)
+    long = {r.lang: r.text for r in docs.where("n_chars > 2000").orderBy("doc_id").collect()}
+    half = [(1, long["en"][:1500] + " " + long["fr"][:600]), (2, long["de"][:1500]), (3, long["es"][:700] + " " + long["de"][:1800])]
+    found = {r.doc_id: r for r in language.predict(documents(spark, half), names).collect()}
+    assert (found[1].lang_pred, found[2].lang_pred, found[3].lang_pred) == ("en", "de", "de")
+    assert set(found[1].mixture) == {"en", "fr"} and set(found[2].mixture) == {"de"} and set(found[3].mixture) == {"de", "es"}
+    assert 0.55 < found[1].score < 0.85
+
+
+def test_language_of_hard_rows(spark):
+    names = language.learn(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    docs = documents(spark, [*HARD_TEXTS, (None, "the and"), (3, "one"), (3, "one"), (99, "123 456 ...")], extra=True)
+    rows = language.predict(docs, names).collect()
+    assert len(rows) == docs.count()
+    assert {r.doc_id for r in rows if r.lang_pred == "und"} == {0, 1, 2, 5, 99}
+    assert all(r.lang_pred in names.names for r in rows if r.doc_id in (3, 4, 6, None))
+    assert language.learn(docs.where("lang IS NULL")) is None and language.learn(docs.limit(0)) is None
+    assert {r.lang_pred for r in language.predict(docs, None).collect()} == {"und"}
+    assert language.predict(docs.limit(0), names).count() == 0
