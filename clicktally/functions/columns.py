@@ -15,10 +15,9 @@ from clicktally.schemas import (
 
 
 def epoch_seconds(text: Column) -> Column:
-    """A whole number of up to ten digits as BIGINT, anything else as null.
+    """A whole number as BIGINT; null if it is none or no TIMESTAMP can hold it.
 
-    Longer numbers are no seconds but milliseconds or worse. One of them, read as a far future,
-    would move a stream's watermark past all real time.
+    Milliseconds are taken as the far future that they say; they are counted under that date.
     """
     seconds = text.try_cast("bigint")
     return F.when(seconds.between(-MAX_EPOCH_SECONDS, MAX_EPOCH_SECONDS), seconds)
@@ -29,13 +28,18 @@ def epoch_timestamp(text: Column) -> Column:
     return F.timestamp_seconds(epoch_seconds(text))
 
 
+def _plain_year(text: Column) -> Column:
+    """Spark writes years of more than four digits with a plus sign."""
+    return F.ltrim(text, F.lit("+"))
+
+
 def date_text(ts: Column) -> Column:
     """Calendar date in the session time zone."""
-    return F.date_format(ts, DATE_FORMAT)
+    return _plain_year(F.date_format(ts, DATE_FORMAT))
 
 
 def date_time_text(ts: Column) -> Column:
-    return F.date_format(ts, DATE_TIME_FORMAT)
+    return _plain_year(F.date_format(ts, DATE_TIME_FORMAT))
 
 
 def user_or_anonymous(user: Column) -> Column:

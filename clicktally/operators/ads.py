@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktally.operators.clicks import count_clicks
-from clicktally.operators.joins import fits_broadcast, hot_key_join
+from clicktally.operators.joins import SALTS, hot_key_join
 from clicktally.schemas import AD_CLICK_TREND, AD_STAT, AD_USER_CLICK_COUNT
 
 
@@ -37,22 +37,31 @@ def province_top_ads(region_counts: DataFrame, n: int = 3) -> DataFrame:
 
 
 def with_region(counts: DataFrame, regions: DataFrame) -> DataFrame:
-    """Add ``province, city`` to counts per user; users without a region are left out.
+    """Add ``province, city`` to counts per user; users without a region are left out, see
+    :func:`without_region`.
 
     Give counts, not clicks: a busy user is then one row per day and ad and no hot key.
     """
     return counts.join(regions, "userid")
 
 
+def without_region(counts: DataFrame, regions: DataFrame) -> DataFrame:
+    """The counts that :func:`with_region` leaves out, as rejects."""
+    return counts.join(regions.select("userid"), "userid", "left_anti")
+
+
 def users_over(user_ad: DataFrame, threshold: int) -> DataFrame:
     """Users with more than ``threshold`` clicks on one ad in one day."""
     return user_ad.filter(F.col("clickCount") > threshold).select("userid").distinct()
 
 
-def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
+def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame, salts: int = SALTS) -> DataFrame:
     """The clicks of users that are not on the blacklist; user ids may be numbers or text.
 
-    The list is counted when the join is built, before its repeats are combined.
+    A stream would go on with the list as it was at its start: it is refused here. Streams read the
+    list anew for each batch, see ``clicktally.streaming.jobs.start_table``.
     """
+    if clicks.isStreaming:
+        raise ValueError("a stream needs the list anew for each batch: use start_table(..., blacklist=...)")
     listed = blacklist.select(F.col("userid").cast(clicks.schema["userid"].dataType)).distinct()
-    return hot_key_join(clicks, listed, ["userid"], "left_anti", small=fits_broadcast(blacklist))
+    return hot_key_join(clicks, listed, ["userid"], "left_anti", salts)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clicktally.functions.columns import date_text, epoch_timestamp, user_or_anonymous
-from clicktally.schemas import APP_RESTART, CLICK_FIELDS
+from clicktally.schemas import APP_RESTART, CLICK_FIELDS, HOURLY_PV
 
 
 def read_json(df: DataFrame, schema: StructType, value: str = "value", **options: str) -> DataFrame:
@@ -89,24 +89,18 @@ def running_clicks(clicks: DataFrame) -> DataFrame:
     return count_clicks(clicks, "date", "position", "userid")
 
 
-def daily_clicks(clicks: DataFrame, lateness_days: int = 1) -> DataFrame:
-    """As :func:`running_clicks`, but a stream forgets a day ``lateness_days`` after it has ended.
-
-    The event time is the start of the local day, so the zone's own midnight (and its days of 23
-    or 25 hours) is what counts. A day ends one day after it starts, hence the extra day of delay.
-    Use output mode ``update``: ``complete`` would keep all state.
-    """
-    by_day = clicks.withColumn("day", F.date_trunc("day", F.col("ts"))).withWatermark(
-        "day", f"{lateness_days + 1} days"
-    )
-    counts = count_clicks(by_day, "day", "position", "userid")
-    return counts.select(date_text(F.col("day")).alias("date"), "position", "userid", "clickCount")
+def _datehour() -> Column:
+    return F.concat(date_text(F.col("ts")), F.date_format(F.col("ts"), " HH"))
 
 
 def hourly_pv(clicks: DataFrame) -> DataFrame:
     """Page views per ``yyyy-MM-dd HH``."""
-    datehour = F.date_format(F.col("ts"), "yyyy-MM-dd HH").alias("datehour")
-    return clicks.groupBy(datehour).agg(F.count(F.lit(1)).alias("pv"))
+    return clicks.groupBy(_datehour().alias("datehour")).agg(F.count(F.lit(1)).alias("pv"))
+
+
+def hourly_counts(clicks: DataFrame) -> DataFrame:
+    """The rows of the kept table of hourly page views, ``clickCount`` being the views."""
+    return count_clicks(clicks.withColumn("datehour", _datehour()), *HOURLY_PV.keys)
 
 
 def page_pv_uv(counts: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clicktally.operators.clicks import read_json
 from clicktally.schemas import DATE_TIME_FORMAT, VEHICLE_RECORD
@@ -20,9 +21,37 @@ class Rule(NamedTuple):
     value: str
 
 
+# Fields of a record that the schema does not name, as they came.
+UNDECLARED = "undeclared"
+
+
+def read_vehicles(df: DataFrame, value: str = "value") -> DataFrame:
+    """Enrichment records from JSON text, next to the other columns, with a ``reason`` for bad ones.
+
+    ``malformed`` is a text that is no JSON object, ``wrong_type`` an object with a field that is not
+    of the declared type. ``undeclared`` holds all other fields.
+    """
+    schema = StructType([*VEHICLE_RECORD.fields, StructField("_corrupt_record", StringType())])
+    declared = VEHICLE_RECORD.names
+    every = F.from_json(F.col(value), "map<string,variant>")
+    both = df.withColumn("_every", every)
+    fields = read_json(both, schema, value, timestampFormat=DATE_TIME_FORMAT)
+    reason = F.when(F.col("_every").isNull(), "malformed").when(F.col("_corrupt_record").isNotNull(), "wrong_type")
+    others = F.map_filter("_every", lambda k, _: ~k.isin(*declared))
+    named = fields.withColumns({UNDECLARED: others, "reason": reason})
+    return named.drop("_every", "_corrupt_record")
+
+
 def parse_vehicles(df: DataFrame, value: str = "value") -> DataFrame:
-    """Enrichment records from JSON text, next to the other columns."""
-    return read_json(df, VEHICLE_RECORD, value, timestampFormat=DATE_TIME_FORMAT)
+    """The good enrichment records from JSON text, next to the other columns; see :func:`vehicle_rejects`."""
+    return read_vehicles(df, value).filter(F.col("reason").isNull()).drop("reason")
+
+
+def vehicle_rejects(df: DataFrame, value: str = "value") -> DataFrame:
+    """The records that are no good, with their text and a ``reason``, next to the other columns."""
+    kept = read_vehicles(df.withColumn("_text", F.col(value)), value).filter(F.col("reason").isNotNull())
+    others = [c for c in df.columns if c != value]
+    return kept.select(*others, F.col("_text").alias(value), "reason")
 
 
 def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
@@ -35,7 +64,15 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
 
 def to_json_value(df: DataFrame, *keep: str) -> DataFrame:
-    """All columns but ``keep`` as JSON text in ``value``, with times to the second."""
-    fields = [c for c in df.columns if c not in keep]
+    """All columns but ``keep`` as JSON text in ``value``, with times to the second; fields that were
+    not declared follow as they came."""
+    fields = [c for c in df.columns if c not in (*keep, UNDECLARED)]
     text = F.to_json(F.struct(*fields), {"timestampFormat": DATE_TIME_FORMAT})
+    if UNDECLARED in df.columns:
+        more = F.to_json(F.col(UNDECLARED))
+        text = (
+            F.when(F.coalesce(F.size(UNDECLARED), F.lit(0)) <= 0, text)
+            .when(text == "{}", more)
+            .otherwise(F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(","), F.substring(more, F.lit(2), F.length(more))))
+        )
     return df.select(*keep, text.alias("value"))

@@ -7,33 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of narrow rows that is worth copying to every executor.
-BROADCAST_ROWS = 500_000
 SALTS = 16
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. For a table this reads file footers only."""
-    return df.count() <= max_rows
-
-
-def hot_key_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str,
-    small: bool,
-    salts: int = SALTS,
-) -> DataFrame:
+def hot_key_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
     """Join ``left`` to a narrow ``right``, for ``inner``, ``left``, ``left_semi`` or ``left_anti``.
 
-    A right side known to be ``small`` (see :func:`fits_broadcast`) is broadcast, so the left side is
-    not shuffled. Otherwise the right side is repeated once per salt and the left rows of one key are
-    spread over the salts by the partition they come from. Each left row still meets every right row
-    of its key.
+    The right side is repeated once per salt, and the left rows of one key are spread over the salts
+    by a hash of their other columns, whatever layout they come in. Each left row still meets every
+    right row of its key. Rows that are equal in all columns share a salt. A right side that Spark
+    knows to be small is broadcast by it, and the left side is then not moved.
+
+    A task gets about a ``salts``-th of a hot key: choose them by its size.
     """
-    if small:
-        return left.join(F.broadcast(right), list(on), how)
-    salted_left = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    others = [F.col(f"`{c}`") for c in left.columns if c not in on]
+    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)) if others else F.lit(0).cast("bigint"))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")

@@ -13,17 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktally.config import new_run_dir
-from clicktally.functions.columns import click_key, click_key_part
+from clicktally.functions.columns import click_key, click_key_part, date_text
 from clicktally.operators import ads, clicks, enrich, stored
 from clicktally.plans import fixtures
 from clicktally.schemas import (
     AD_BLACKLIST,
     AD_CLICK_TREND,
+    AD_CLICK_TREND_SUM,
     AD_PROVINCE_TOP3,
     AD_STAT,
+    AD_STAT_SUM,
     AD_USER_CLICK_COUNT,
+    HOURLY_PV,
     INDEX_CLICK_COUNT,
     INDEX_CLICK_COUNT_ROWS,
+    INDEX_CLICK_COUNT_SUM,
+    VEHICLE_RECORD,
     TableSpec,
 )
 from clicktally.sources import feed as feeds
@@ -315,6 +320,17 @@ def drop_blacklisted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.drop_blacklisted(rows, blacklist)
 
 
+@registered(ORACLE["drop_blacklisted"])
+def drop_blacklisted_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list is not broadcast, and all clicks of a user lie in one partition."""
+    session = _stream_session(spark)
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    blacklist = tables.read_table(session, _blacklist(session, sf_dir))
+    rows = _ad_clicks(session, sf_dir).select("event_id", "date", "userid", "adid")
+    return ads.drop_blacklisted(rows.repartition("userid"), blacklist)
+
+
 def _user_ad_table(spark: SparkSession, *batches: DataFrame) -> ResultTable:
     table = _new_table(spark, AD_USER_CLICK_COUNT)
     for batch, rows in enumerate(batches):
@@ -344,7 +360,8 @@ def lookup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""
     WITH base AS ({_top3_sql(_AD_CLICKS)}),
-         new AS ({_top3_sql(_AD_EVENTS, "date >= '2024-01-16'")})
+         half AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS middle FROM events),
+         new AS ({_top3_sql(_AD_EVENTS, "date > (SELECT strftime(middle, '%Y-%m-%d') FROM half)")})
     SELECT * FROM new UNION ALL
     SELECT b.* FROM base AS b WHERE NOT EXISTS (
         SELECT 1 FROM new WHERE new.date = b.date AND new.province = b.province)""")
@@ -353,7 +370,10 @@ def province_top3_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _new_table(spark, AD_PROVINCE_TOP3)
     base = ads.province_top_ads(_region_counts(spark, sf_dir, _ad_clicks(spark, sf_dir)))
     tables.replace_groups(base, table, batch=0)
-    recent = _ad_clicks(spark, sf_dir, position=None).filter(F.col("ts") >= "2024-01-16")
+    every = _ad_clicks(spark, sf_dir, position=None)
+    first, last = every.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    middle = date_text(F.timestamp_micros(F.lit(first + (last - first) // 2)))
+    recent = every.filter(F.col("date") > middle)
     tables.replace_groups(ads.province_top_ads(_region_counts(spark, sf_dir, recent)), table, batch=1)
     return tables.read_table(spark, table)
 
@@ -391,7 +411,7 @@ _VEHICLES_SQL = f"""
     FROM ({_EVENTS})"""
 
 
-def _vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _vehicle_feed(spark: SparkSession, sf_dir: str, plate: bool = False) -> DataFrame:
     rows = fixtures.events(spark, sf_dir)
     records = rows.select(
         F.col("event_id").cast("string").alias("key"),
@@ -400,6 +420,7 @@ def _vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k").cast("double").alias("lat"),
         F.col("event_type").alias("speaker"),
         F.col("user_id").cast("string").alias("mnetworkcode"),
+        *([F.concat(F.lit("p"), F.col("event_id").cast("string")).alias("plate")] if plate else []),
     )
     return enrich.to_json_value(records, "key")
 
@@ -407,16 +428,16 @@ def _vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(_VEHICLES_SQL)
 def enrich_rules_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = enrich.parse_vehicles(jobs.enriched(_vehicle_feed(spark, sf_dir), VEHICLE_RULES))
-    return out.select(F.col("key").cast("bigint").alias("event_id"), *out.columns[1:]).withColumn(
+    return out.select(F.col("key").cast("bigint").alias("event_id"), *VEHICLE_RECORD.names).withColumn(
         "gpstime", F.col("gpstime").cast("timestamp_ntz")
     )
 
 
-@registered(f"SELECT gpstime, lon, lat, speaker, mnetworkcode FROM ({_VEHICLES_SQL})")
+@registered(f"SELECT gpstime, lon, lat, speaker, mnetworkcode, 'p' || event_id AS plate FROM ({_VEHICLES_SQL})")
 def publish_value_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The enrichment stream from files to files, values only, read back."""
+    """The enrichment stream from files to files, values only, read back, with a field of no schema."""
     folder = new_run_dir(spark, "enrichment")
-    _vehicle_feed(spark, sf_dir).write.parquet(f"{folder}/feed")
+    _vehicle_feed(spark, sf_dir, plate=True).write.parquet(f"{folder}/feed")
     query = jobs.start_enrichment(
         feeds.read_clicks(spark, "parquet", path=f"{folder}/feed"),
         VEHICLE_RULES,
@@ -427,7 +448,27 @@ def publish_value_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     out = enrich.parse_vehicles(spark.read.text(f"{folder}/topic"))
-    return out.withColumn("gpstime", F.col("gpstime").cast("timestamp_ntz"))
+    plate = F.variant_get(F.element_at(enrich.UNDECLARED, "plate"), "$", "string").alias("plate")
+    return out.select(F.col("gpstime").cast("timestamp_ntz"), *VEHICLE_RECORD.names[1:], plate)
+
+
+@registered(f"""
+    SELECT event_id, CASE WHEN k < 20 THEN 'malformed' ELSE 'wrong_type' END AS reason
+    FROM ({_EVENTS}) WHERE k < 30""")
+def enrichment_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken, array and wrong-type records out of a stream; those with a field more are good."""
+    folder = new_run_dir(spark, "enrichment")
+    feed = fixtures.damaged_vehicles(fixtures.events(spark, sf_dir))
+    feed.select("key", "value").write.parquet(f"{folder}/feed")
+    query = jobs.start_enrichment_rejects(
+        feeds.read_clicks(spark, "parquet", path=f"{folder}/feed"),
+        f"{folder}/rejects",
+        f"{folder}/checkpoint",
+        {"availableNow": True},
+    )
+    query.awaitTermination()
+    kept = spark.read.parquet(f"{folder}/rejects").join(feed.select("key", "value"), ["key", "value"])
+    return kept.select(F.col("key").cast("bigint").alias("event_id"), "reason")
 
 
 # --- streams --------------------------------------------------------------------------------------
@@ -512,13 +553,86 @@ def rejects_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(_INDEX_CLICKS)
 def daily_clicks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed arrives in the order of time, so no record is late when past days are let go."""
+    """The feed arrives in the order of time, and each part is added to the counts of its days."""
     folder = new_run_dir(spark, "stream")
     rows = fixtures.events(spark, sf_dir)
-    table = ResultTable(INDEX_CLICK_COUNT, f"{folder}/table")
+    table = ResultTable(INDEX_CLICK_COUNT_SUM, f"{folder}/table")
     first, last = rows.agg(F.min("ts").cast("double"), F.max("ts").cast("double")).first()
     third = F.floor((F.col("ts").cast("double") - first) / max(last - first, 1.0) * _STREAM_BATCHES)
     for part in (third < 1, third == 1, third > 1):
         _arrive(rows.filter(part), folder)
-        _run_available(spark, folder, table, daily=True)
+        _run_available(spark, folder, table)
     return tables.read_table(spark, table)
+
+
+# A click in the year 9000 and a time in milliseconds, both good.
+_FAR = ((221845392000, "9000-01-01"), (1704067200000, "55969-09-28"))
+_LATE_SQL = f"""
+    {_INDEX_CLICKS} UNION ALL
+    SELECT date, 'click' AS position, 'far' AS userid, count(*) AS clickCount
+    FROM (VALUES {", ".join(f"('{date}')" for _, date in _FAR)}) AS f(date), (SELECT count(*) AS n FROM events)
+    WHERE n > 0 GROUP BY date"""
+
+
+@registered(_LATE_SQL)
+def click_count_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days arrive out of order, times of a far future come first, and one batch is delivered twice."""
+    folder = new_run_dir(spark, "stream")
+    rows = fixtures.events(spark, sf_dir)
+    table = ResultTable(INDEX_CLICK_COUNT_SUM, f"{folder}/table")
+    times = F.explode(F.array(*(F.lit(seconds) for seconds, _ in _FAR)))
+    content = F.struct(F.lit("click").alias("click_position"))
+    far = rows.limit(1).select(F.lit("far").alias("key"), times.alias("timestamp")).select(
+        "key", F.to_json(F.struct(F.col("key").alias("user_id"), "timestamp", content.alias("content"))).alias("value")
+    )
+    far.write.parquet(f"{folder}/feed")
+    for part in (F.dayofmonth("ts") % 3 == 2, F.dayofmonth("ts") % 3 == 0, F.dayofmonth("ts") % 3 == 1):
+        _arrive(rows.filter(part), folder)
+        _run_available(spark, folder, table)
+    again = clicks.running_clicks(_parsed(spark, sf_dir, "click", lambda r: r.filter(F.dayofmonth("ts") % 3 == 1)))
+    tables.upsert_accumulate(again, table, batch=_STREAM_BATCHES - 1)
+    return tables.read_table(spark, table)
+
+
+def _table_stream(spark: SparkSession, sf_dir: str, spec: TableSpec, counts, position: str | None = "click", **options) -> DataFrame:
+    """Ad clicks arrive in three parts, the job is started again for each; what the table then holds."""
+    folder = new_run_dir(spark, spec.name)
+    rows = _ad_clicks(spark, sf_dir, position)
+    table = ResultTable(spec, f"{folder}/table")
+    hour = F.hour("ts")
+    for part in (hour >= 16, hour < 8, (hour >= 8) & (hour < 16)):
+        rows.filter(part).write.mode("append").parquet(f"{folder}/feed")
+        feed = _stream_session(spark).readStream.schema(rows.schema).parquet(f"{folder}/feed")
+        query = jobs.start_table(feed, counts, table, f"{folder}/checkpoint", trigger={"availableNow": True}, **options)
+        query.awaitTermination()
+    return tables.read_table(spark, table)
+
+
+@registered(_user_ad_sql())
+def user_ad_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table_stream(spark, sf_dir, AD_USER_CLICK_COUNT, ads.user_ad_counts)
+
+
+@registered(_trend_sql("event_type = 'click'"))
+def minute_ad_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table_stream(spark, sf_dir, AD_CLICK_TREND_SUM, ads.minute_ad_counts)
+
+
+@registered(ORACLE["hourly_pv"])
+def hourly_pv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored_views = _table_stream(spark, sf_dir, HOURLY_PV, clicks.hourly_counts, position=None)
+    return stored_views.select("datehour", F.col("clickCount").alias("pv"))
+
+
+@registered(_top3_sql(_AD_CLICKS))
+def province_top3_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch adds to the counts per region, and the top ads of its dates are taken anew."""
+    top = _new_table(spark, AD_PROVINCE_TOP3)
+    _table_stream(
+        spark,
+        sf_dir,
+        AD_STAT_SUM,
+        lambda batch: _region_counts(batch.sparkSession, sf_dir, batch),
+        top=top,
+    )
+    return tables.read_table(spark, top)

@@ -84,14 +84,27 @@ def ad_clicks(rows: DataFrame) -> DataFrame:
     )
 
 
+def damaged_vehicles(rows: DataFrame) -> DataFrame:
+    """Enrichment records of which some are no JSON, no object, of a wrong type or have a field more."""
+    k, n = F.col("k"), F.col("value").cast("string")
+    text = (
+        F.when(k < 10, F.concat(F.lit("no json "), n))
+        .when(k < 20, F.concat(F.lit("["), n, F.lit("]")))
+        .when(k < 30, F.concat(F.lit('{"lat":1.5,"lon":"east '), n, F.lit('"}')))
+        .when(k < 60, F.concat(F.lit('{"lat":1.5,"plate":"p'), k.cast("string"), F.lit('","seats":[1,2]}')))
+        .otherwise(F.concat(F.lit('{"lat":1.5,"speaker":"s'), k.cast("string"), F.lit('"}')))
+    )
+    return rows.select("event_id", F.col("event_id").cast("string").alias("key"), text.alias("value"))
+
+
 def user_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``userid, province, city`` of every customer. Nations and regions are fixed lists of 25 and 5."""
     nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
-    cities = nations.join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey"))
+    cities = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     cities = cities.select("n_nationkey", F.col("r_name").alias("province"), F.col("n_name").alias("city"))
     customers = table(spark, sf_dir, "customer")
-    return customers.join(F.broadcast(cities), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return customers.join(cities, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("userid"), "province", "city"
     )
 

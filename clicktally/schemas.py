@@ -28,7 +28,7 @@ ANONYMOUS_USER = "-99"
 KEY_SEPARATOR = "|"
 DATE_FORMAT = "yyyy-MM-dd"
 DATE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-MAX_EPOCH_SECONDS = 9_999_999_999  # ten digits
+MAX_EPOCH_SECONDS = 9_223_372_036_854  # the last whole second that a TIMESTAMP holds
 
 # A feed record as it arrives: the text key and value of a message.
 FEED = _struct(key=_TEXT, value=_TEXT)
@@ -98,6 +98,13 @@ INDEX_CLICK_COUNT = TableSpec(
 INDEX_CLICK_COUNT_ROWS = TableSpec(
     INDEX_CLICK_COUNT.name, INDEX_CLICK_COUNT.schema, INDEX_CLICK_COUNT.keys, "append"
 )
+# The same table kept by what each batch adds: no state, and a late record counts like any other.
+INDEX_CLICK_COUNT_SUM = TableSpec(
+    INDEX_CLICK_COUNT.name, INDEX_CLICK_COUNT.schema, INDEX_CLICK_COUNT.keys, "sum"
+)
+HOURLY_PV = TableSpec(
+    "hourly_pv", _struct(date=_TEXT, datehour=_TEXT, clickCount=_LONG), ("date", "datehour"), "sum"
+)
 AD_BLACKLIST = TableSpec("ad_blacklist", _struct(userid=_LONG), (), "append")
 AD_USER_CLICK_COUNT = TableSpec(
     "ad_user_click_count",
@@ -111,6 +118,7 @@ AD_STAT = TableSpec(
     ("date", "province", "city", "adid"),
     "latest",
 )
+AD_STAT_SUM = TableSpec(AD_STAT.name, AD_STAT.schema, AD_STAT.keys, "sum")
 AD_PROVINCE_TOP3 = TableSpec(
     "ad_province_top3",
     _struct(date=_TEXT, province=_TEXT, adid=_LONG, clickCount=_LONG),
@@ -123,6 +131,9 @@ AD_CLICK_TREND = TableSpec(
     ("date", "hour", "minute", "adid"),
     "latest",
 )
+AD_CLICK_TREND_SUM = TableSpec(
+    AD_CLICK_TREND.name, AD_CLICK_TREND.schema, AD_CLICK_TREND.keys, "sum"
+)
 
 TABLES = {
     spec.name: spec

@@ -13,6 +13,8 @@ table.
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -26,10 +28,15 @@ from clicktally.schemas import TableSpec
 
 # Batches per run; a run and a batch make one BIGINT version.
 _BATCHES = 10**12
+# Where a table and a checkpoint keep the id that ties them; hidden from Spark's readers.
+_OWNER = "_stream"
 # Compacted rows come before every run.
 _COMPACTED_RUN = -1
 
 
+_SETTING = threading.RLock()
+
+
 @dataclass(frozen=True)
 class ResultTable:
     """A table of a given kind at a path."""
@@ -86,18 +93,54 @@ def batch_rows(spark: SparkSession, table: ResultTable, batch: int, run: int = 0
     return log.filter((F.col("run") == run) & (F.col("batch") == batch)).count()
 
 
+def _mark(spark: SparkSession, path: str) -> str | None:
+    """The id that a stream has left in a folder."""
+    found = if_exists(lambda: spark.read.text(path))
+    row = found.first() if found is not None else None
+    return row[0] if row is not None else None
+
+
+def _leave_mark(spark: SparkSession, path: str, mark: str) -> None:
+    spark.range(1).select(F.lit(mark).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def bind(spark: SparkSession, table: ResultTable, checkpoint: str) -> None:
+    """Tie a table to the checkpoint of the stream that fills it; refuse any other pair.
+
+    A new checkpoint would count from zero over stored counts, and an old one with a new table would
+    leave out what it has counted before. Both folders keep the same id, and a compacted table takes
+    it along. An empty table and a new checkpoint are tied at the first start.
+    """
+    own, other = f"{table.path}/{_OWNER}", f"{checkpoint}/{_OWNER}"
+    in_table, in_checkpoint = _mark(spark, own), _mark(spark, other)
+    if in_table is not None and in_table == in_checkpoint:
+        return
+    started = in_checkpoint or if_exists(lambda: spark.read.text(f"{checkpoint}/metadata")) is not None
+    if started:
+        raise ValueError(f"{checkpoint} has counted into another table than {table.path}")
+    if not is_empty(spark, table):
+        raise ValueError(
+            f"{table.path} holds rows but {checkpoint} is new: give a new table path and read the "
+            "feed from its earliest position"
+        )
+    mark = uuid.uuid4().hex
+    _leave_mark(spark, own, mark)
+    _leave_mark(spark, other, mark)
+
+
 @contextmanager
 def _adaptive(spark: SparkSession) -> Iterator[None]:
     """Adaptive execution for one write. Spark turns it off for streams with state, and with it the
     rebalance of what their batches write, which would leave a file per shuffle partition and date.
     """
     name = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    with _SETTING:  # writes of one session take turns, so that none leaves it changed
+        before = spark.conf.get(name)
+        spark.conf.set(name, "true")
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
 
 
 def _write(rows: DataFrame, table: ResultTable, run: int, batch: int) -> None:
@@ -201,7 +244,8 @@ def compact(spark: SparkSession, table: ResultTable, target_path: str) -> Result
     """Copy a table to a new path with its merged rows in one batch folder.
 
     The newest batch, which a restarted stream may deliver again, stays a batch of its own. The
-    source is not touched; switch the writer over while it is stopped.
+    source is not touched; switch the writer over while it is stopped. The tie to the writer's
+    checkpoint goes along, as the last step.
     """
     target = ResultTable(table.spec, target_path)
     if not is_empty(spark, target):
@@ -215,6 +259,9 @@ def compact(spark: SparkSession, table: ResultTable, target_path: str) -> Result
         _write(read_table(spark, table, before=(run, batch)), target, _COMPACTED_RUN, 0)
     last = log.filter((F.col("run") == run) & (F.col("batch") == batch))
     _write(last.select(*table.spec.schema.names), target, run, batch)
+    owner = _mark(spark, f"{table.path}/{_OWNER}")
+    if owner is not None:
+        _leave_mark(spark, f"{target_path}/{_OWNER}", owner)
     return target
 
 

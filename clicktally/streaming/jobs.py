@@ -2,36 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from clicktally.config import if_exists
+from clicktally.operators.ads import drop_blacklisted, province_top_ads
 from clicktally.operators.clicks import (
     countable,
-    daily_clicks,
     parse_clicks,
     rejects,
     running_clicks,
 )
-from clicktally.operators.enrich import Rule, apply_rules, parse_vehicles, to_json_value
+from clicktally.operators.enrich import (
+    Rule,
+    apply_rules,
+    parse_vehicles,
+    to_json_value,
+    vehicle_rejects,
+)
 from clicktally.operators.stored import changed_only
 from clicktally.schemas import APP_RESTART
 from clicktally.sources.feed import publish
-from clicktally.sources.tables import ResultTable, is_empty, read_table, upsert_overwrite
-
-# A batch that spans more dates than this is compared with the whole table.
-_MAX_PRUNED_DATES = 366
+from clicktally.sources.tables import (
+    ResultTable,
+    bind,
+    change_log,
+    read_table,
+    replace_groups,
+    upsert_accumulate,
+    upsert_overwrite,
+)
 
 
 def _stored_near(batch: DataFrame, table: ResultTable, before: tuple[int, int]) -> DataFrame:
-    """The stored rows that a (cached) batch may meet: its dates and its keys only."""
+    """The stored rows that a (cached) batch may meet: its range of dates and its keys only."""
     stored = read_table(batch.sparkSession, table, before)
-    dates = batch.select("date").distinct().limit(_MAX_PRUNED_DATES + 1).collect()
-    if len(dates) <= _MAX_PRUNED_DATES:
-        stored = stored.filter(F.col("date").isin([row.date for row in dates]))
+    first, last = batch.agg(F.min("date"), F.max("date")).first()
+    stored = stored.filter(F.col("date").between(first, last))
     # With a small batch Spark broadcasts its keys and filters before the table is merged.
     return stored.join(batch.select(*table.spec.keys), list(table.spec.keys), "left_semi")
 
@@ -55,54 +64,98 @@ def write_counts(
         cached.unpersist()
 
 
+def _started(writer: DataStreamWriter, checkpoint: str, trigger: Mapping[str, object] | None) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def start_click_counts(
     feed: DataFrame,
     table: ResultTable,
     checkpoint: str,
     position: str | None = APP_RESTART,
-    mode: str = "update",
-    daily: bool = False,
-    lateness_days: int = 1,
+    mode: str | None = None,
+    rejects_path: str | None = None,
     skip_unchanged: bool | None = None,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Keep ``index_gid_click_count`` up to date from a feed of click records.
 
-    ``mode="update"`` hands on the keys a batch touched; ``"complete"`` hands on all keys each time
-    and so also repairs rows that were changed in the table. ``daily`` lets go of the state of past
-    days and works with ``update`` only.
+    ``mode="delta"``, the one for a table kept by sums, counts the records of each batch and adds them
+    to the table under the batch's number, so a batch that comes again adds nothing. There is no state
+    and no watermark: a record counts under its own date, however late or early it is. The same
+    parse of a batch gives its rejects, below ``rejects_path`` if that is named.
 
-    ``skip_unchanged`` leaves out counts the table already holds. It is on for ``complete`` and off
-    for ``update``, where each count that comes is a new one and a write needs to read nothing.
+    The other modes keep every key in the stream's state, for a table of newest counts: ``"update"``
+    hands on the keys a batch touched, ``"complete"`` all keys each time, which also repairs rows that
+    were changed in the table. ``skip_unchanged`` leaves out counts the table already holds. It is on
+    for ``complete`` and off for ``update``, where each count that comes is a new one and a write
+    needs to read nothing.
 
-    Counts go on from the checkpoint. A new checkpoint would count from zero and overwrite larger
-    counts, so it is refused for a table that already holds rows.
+    Counts go on from the checkpoint, which is tied to the table: see ``tables.bind``.
     """
-    if daily and mode != "update":
-        raise ValueError("daily counts need mode='update'")
+    sums = table.spec.merge == "sum"
+    mode = mode or ("delta" if sums else "update")
+    if (mode == "delta") != sums:
+        raise ValueError(f"mode {mode!r} does not go with a table kept by {table.spec.merge!r}")
+    if mode != "delta" and rejects_path is not None:
+        raise ValueError("with state, rejects are a stream of their own: use start_rejects")
+    bind(feed.sparkSession, table, checkpoint)
+    if mode == "delta":
+
+        def add(batch: DataFrame, batch_id: int) -> None:
+            parsed = parse_clicks(batch.withColumn("text", F.col("value"))).persist()
+            try:
+                upsert_accumulate(running_clicks(countable(parsed, position)), table, batch_id)
+                if rejects_path is not None:
+                    bad = rejects(parsed, position).select("key", F.col("text").alias("value"), "reason")
+                    bad.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+            finally:
+                parsed.unpersist()
+
+        return _started(feed.writeStream.foreachBatch(add), checkpoint, trigger)
     if skip_unchanged is None:
         skip_unchanged = mode == "complete"
-    spark = feed.sparkSession
-    started = if_exists(lambda: spark.read.text(f"{checkpoint}/metadata"))
-    if started is None and not is_empty(spark, table):
-        raise ValueError(
-            f"{table.path} holds rows but {checkpoint} is new: give a new table path and read the "
-            "feed from its earliest position"
-        )
-    clicks = countable(parse_clicks(feed), position)
-    counts = daily_clicks(clicks, lateness_days) if daily else running_clicks(clicks)
+    counts = running_clicks(countable(parse_clicks(feed), position))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_counts(batch, batch_id, table, skip_unchanged)
 
-    writer = (
-        counts.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
+    return _started(counts.writeStream.outputMode(mode).foreachBatch(write), checkpoint, trigger)
+
+
+def start_table(
+    rows: DataFrame,
+    counts: Callable[[DataFrame], DataFrame],
+    table: ResultTable,
+    checkpoint: str,
+    blacklist: ResultTable | None = None,
+    top: ResultTable | None = None,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Add the ``counts`` of each batch of streaming ``rows`` to a table kept by sums.
+
+    With a ``blacklist`` its users are left out, as the list is when the batch runs. With ``top``, for
+    counts per region, the top ads of the provinces are taken anew from the stored counts of the
+    batch's dates, and replace the groups there.
+    """
+    if table.spec.merge != "sum":
+        raise ValueError(f"a stream adds to a table kept by 'sum', not by {table.spec.merge!r}")
+    bind(rows.sparkSession, table, checkpoint)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if blacklist is not None:
+            batch = drop_blacklisted(batch, read_table(spark, blacklist))
+        upsert_accumulate(counts(batch), table, batch_id)
+        if top is not None:
+            added = change_log(spark, table).filter((F.col("run") == 0) & (F.col("batch") == batch_id))
+            first, last = added.agg(F.min("date"), F.max("date")).first()
+            stored = read_table(spark, table, before=(0, batch_id + 1)).filter(F.col("date").between(first, last))
+            dates = added.select("date").distinct()
+            replace_groups(province_top_ads(stored.join(dates, "date", "left_semi")), top, batch_id)
+
+    return _started(rows.writeStream.foreachBatch(add), checkpoint, trigger)
 
 
 def start_rejects(
@@ -147,7 +200,18 @@ def start_enrichment(
     path: str | None = None,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Parse, enrich and publish a feed; the key is not sent on."""
+    """Parse, enrich and publish the good records of a feed; the key is not sent on.
+
+    Bad records are kept by :func:`start_enrichment_rejects`; start both.
+    """
     return publish(
         enriched(feed, rules), fmt, options, path, checkpoint, with_key=False, trigger=trigger
     )
+
+
+def start_enrichment_rejects(
+    feed: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None
+) -> StreamingQuery:
+    """Keep the records that are not enriched, with their text and the reason, as parquet."""
+    writer = vehicle_rejects(feed).writeStream.format("parquet").option("path", path)
+    return _started(writer, checkpoint, trigger)

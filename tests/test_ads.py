@@ -3,9 +3,10 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from clicktally.operators import ads
-from clicktally.operators.joins import fits_broadcast, hot_key_join
+from clicktally.operators.joins import hot_key_join
 from tests.conftest import rows
 
 CLICK = "date STRING, hour STRING, minute STRING, userid BIGINT, province STRING, city STRING, adid BIGINT"
@@ -61,8 +62,7 @@ def test_drop_blacklisted_with_repeated_ids(spark):
     assert Counter(r.userid for r in left.collect()) == {2: 2, 3: 2}
 
 
-def test_a_long_blacklist_is_salted(spark, monkeypatch):
-    monkeypatch.setattr(ads, "fits_broadcast", lambda _list: False)
+def test_a_blacklist_is_salted(spark):
     listed = spark.createDataFrame([(1,), (1,), (9,)], "userid BIGINT")
     left = ads.drop_blacklisted(ad_clicks(spark), listed)
     assert "_salt" in left._jdf.queryExecution().executedPlan().toString()
@@ -76,19 +76,16 @@ def test_drop_blacklisted_with_text_users(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("small", [True, False])
-def test_hot_key_join_equals_a_plain_join(spark, how, small):
+def test_hot_key_join_equals_a_plain_join(spark, how):
     """A third of the left rows have one key; the right side repeats some keys."""
     left = spark.range(0, 900, 1, 6).selectExpr("IF(id % 3 = 0, 7, id % 40) AS userid", "id")
     right = spark.range(30).selectExpr("id AS userid", "'a' AS tag").union(
         spark.range(5, 9).selectExpr("id AS userid", "'b' AS tag")
     )
-    got = hot_key_join(left, right, ["userid"], how, small=small, salts=4)
+    got = hot_key_join(left, right, ["userid"], how, salts=4)
     expected = left.join(right, "userid", how)
     assert got.columns == expected.columns
     assert rows(got) == rows(expected)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert ("_salt" in plan) == (not small)
 
 
 def test_salts_spread_a_hot_key(spark):
@@ -97,7 +94,7 @@ def test_salts_spread_a_hot_key(spark):
     try:
         left = spark.range(0, 900, 1, 6).selectExpr("IF(id < 600, 7, id) AS userid", "id")
         right = spark.createDataFrame([(1,)], "userid BIGINT")
-        got = hot_key_join(left, right, ["userid"], "left_anti", small=False, salts=4)
+        got = hot_key_join(left, right, ["userid"], "left_anti", salts=4)
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert plan.count("hashpartitioning(userid") == 2
         assert all("_salt" in part[:60] for part in plan.split("hashpartitioning(userid")[1:])
@@ -106,6 +103,23 @@ def test_salts_spread_a_hot_key(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-def test_fits_broadcast(spark):
-    assert fits_broadcast(spark.range(10), 10)
-    assert not fits_broadcast(spark.range(11), 10)
+def test_a_hot_user_in_one_partition_reaches_several_salts(spark):
+    left = spark.range(1000).selectExpr("7L AS userid", "id").repartition("userid")
+    right = spark.createDataFrame([(7,)], "userid BIGINT")
+    got = hot_key_join(left, right, ["userid"], "inner", salts=16)
+    assert got.count() == 1000
+    salt = F.pmod(F.xxhash64("id"), F.lit(16))
+    assert left.select(salt).distinct().count() == 16
+
+
+def test_streams_are_refused_by_the_blacklist(spark):
+    stream = spark.readStream.format("rate").load().selectExpr("value AS userid")
+    with pytest.raises(ValueError, match="anew"):
+        ads.drop_blacklisted(stream, spark.createDataFrame([(1,)], "userid BIGINT"))
+
+
+def test_users_without_a_region_are_rejects(spark):
+    counts = spark.createDataFrame([(1, 5), (2, 6)], "userid BIGINT, clickCount BIGINT")
+    regions = spark.createDataFrame([(1, "p", "c")], "userid BIGINT, province STRING, city STRING")
+    assert rows(ads.with_region(counts, regions)) == [(1, 5, "p", "c")]
+    assert rows(ads.without_region(counts, regions)) == [(2, 6)]

@@ -109,12 +109,11 @@ def test_rejects(spark):
         record(timestamp=None),
         record(timestamp="soon"),
         record(timestamp=1568190112.5),
-        record(timestamp=1568190112000),  # milliseconds
         record(timestamp=10**30),
     ]
     assert reasons(spark, *values[:5]) == ["malformed"] * 5
     assert reasons(spark, *values[5:9]) == ["no_content"] * 4
-    assert reasons(spark, *values[9:]) == ["bad_timestamp"] * 5
+    assert reasons(spark, *values[9:]) == ["bad_timestamp"] * 4
     assert counted(spark, *values) == []
 
 
@@ -158,12 +157,19 @@ def test_hourly_pv(spark):
     assert rows(clicks.hourly_pv(good)) == [("1970-01-01 00", 2), ("1970-01-01 01", 1)]
 
 
-def test_daily_clicks_of_a_batch(spark, zone):
-    values = [record(timestamp=t, user_id=t % 3) for t in range(1568100000, 1568300000, 7000)]
-    for name in ("UTC", "Asia/Shanghai"):
-        with zone(name):
-            good = clicks.countable(parsed(spark, *values))
-            assert rows(clicks.daily_clicks(good)) == rows(clicks.running_clicks(good))
+def test_hourly_counts(spark):
+    values = [record(timestamp=t) for t in (0, 3599, 3600, 221845392000)]
+    good = clicks.countable(parsed(spark, *values))
+    want = [("1970-01-01", "1970-01-01 00", 2), ("1970-01-01", "1970-01-01 01", 1), ("9000-01-01", "9000-01-01 00", 1)]
+    assert rows(clicks.hourly_counts(good)) == want
+
+
+def test_far_times_are_counted_and_only_overflow_is_a_reject(spark):
+    last = 9223372036854
+    good = clicks.countable(parsed(spark, record(timestamp=1568190112000), record(timestamp=last)))
+    assert [r.date for r in good.select("date").orderBy("date").collect()] == ["294247-01-10", "51663-12-19"]
+    bad = [record(timestamp=last + 1), record(timestamp=10**19), record(timestamp="1.5")]
+    assert reasons(spark, *bad) == ["bad_timestamp"] * 3
 
 
 def test_page_pv_uv(spark):

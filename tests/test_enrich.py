@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 
-from clicktally.operators.enrich import Rule, apply_rules, parse_vehicles, to_json_value
+from clicktally.operators.enrich import Rule, apply_rules, parse_vehicles, to_json_value, vehicle_rejects
 from clicktally.sources.sql import query
 from tests.conftest import rows
 
@@ -20,12 +20,20 @@ def test_no_rules(spark):
     assert apply_rules(df, []) is df
 
 
+GOOD = '{"gpstime":"2024-01-01 10:00:00","lon":1.5,"lat":2.0,"speaker":"s","mnetworkcode":"m"}'
+MORE = '{"lat":2.0,"plate":"A","n":{"a":[1,2]},"s":"1","z":null}'
+BAD = {"{": "malformed", "not json": "malformed", "[1]": "malformed", '{"lon":"x"}': "wrong_type", '{"gpstime":"soon"}': "wrong_type"}
+
+
 def test_json_round_trip(spark):
-    text = '{"gpstime":"2024-01-01 10:00:00","lon":1.5,"lat":2.0,"speaker":"s","mnetworkcode":"m"}'
-    df = spark.createDataFrame([("k", text), ("bad", "{")], "key STRING, value STRING")
+    data = [("k", GOOD), ("more", MORE), ("none", "{}"), ("only", '{"plate":1}'), *((t, t) for t in BAD), ("null", None)]
+    df = spark.createDataFrame(data, "key STRING, value STRING")
     back = to_json_value(parse_vehicles(df), "key")
     got = {r.key: json.loads(r.value) for r in back.collect()}
-    assert got == {"k": json.loads(text), "bad": {}}
+    want = {"k": json.loads(GOOD), "more": json.loads(MORE), "none": {}, "only": {"plate": 1}}
+    assert got == want
+    bad = {r.value: r.reason for r in vehicle_rejects(df).collect()}
+    assert bad == {**BAD, None: "malformed"}
 
 
 def test_positional_parameters(spark):

@@ -1,16 +1,20 @@
 from __future__ import annotations
 
 import json
+import re
+import shutil
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from clicktally.config import CLUSTER_CONF, new_run_dir, shared_dir
 from clicktally.operators.clicks import countable, hourly_pv, parse_clicks, running_clicks
 from clicktally.operators.enrich import Rule, parse_vehicles
-from clicktally.schemas import INDEX_CLICK_COUNT
+from clicktally.operators import ads
+from clicktally.schemas import AD_BLACKLIST, AD_USER_CLICK_COUNT, INDEX_CLICK_COUNT, INDEX_CLICK_COUNT_SUM
 from clicktally.sources import feed as feeds
 from clicktally.sources import tables
 from clicktally.sources.tables import ResultTable
@@ -25,10 +29,11 @@ D1 = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp())
 class Job:
     """A feed folder, a table and a checkpoint, with runs that take in what has arrived."""
 
-    def __init__(self, spark, label="job"):
+    def __init__(self, spark, label="job", mode="update"):
         self.spark = spark
         self.folder = new_run_dir(spark, label)
-        self.table = ResultTable(INDEX_CLICK_COUNT, f"{self.folder}/table")
+        spec = INDEX_CLICK_COUNT_SUM if mode == "delta" else INDEX_CLICK_COUNT
+        self.table = ResultTable(spec, f"{self.folder}/table")
         self.checkpoint = f"{self.folder}/checkpoint"
 
     def arrive(self, *clicks):
@@ -68,14 +73,20 @@ def test_shared_folder_is_the_sessions(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
-@pytest.mark.parametrize("mode, daily", [("update", False), ("complete", False), ("update", True)])
-def test_stream_equals_batch_over_several_batches_and_restarts(job, mode, daily):
+@pytest.fixture
+def adding(spark):
+    return Job(spark, mode="delta")
+
+
+@pytest.mark.parametrize("mode", ["update", "complete", "delta"])
+def test_stream_equals_batch_over_several_batches_and_restarts(spark, mode):
+    job = Job(spark, mode=mode)
     job.arrive((D1, "a", 1), (D1, "a", 2), (D1, "b", 1))
     job.arrive((D1 + 9, "a", 1), (D1 + DAY, "a", 1))
-    job.run(files_per_batch=1, mode=mode, daily=daily)
+    job.run(files_per_batch=1, mode=mode)
     assert job.stored() == job.batch_result()
     job.arrive((D1 + 20, "a", 1), (D1 + DAY, "a", ""), (D1 + DAY, "a", None))
-    job.run(mode=mode, daily=daily)
+    job.run(mode=mode)
     assert job.stored() == job.batch_result()
     assert ("2024-01-01", "a", "1", 3) in job.stored()
     assert ("2024-01-02", "a", "-99", 2) in job.stored()
@@ -123,48 +134,57 @@ def test_repeated_delivery_of_a_batch(spark, job, skip_unchanged):
         assert job.stored() == rows(second)
 
 
-@pytest.mark.parametrize("limit", [1, 366])
-def test_unchanged_rows_are_left_out_however_many_dates(spark, job, monkeypatch, limit):
-    monkeypatch.setattr(jobs, "_MAX_PRUNED_DATES", limit)
-    counts = [(f"2024-01-0{i}", "a", "1", i) for i in range(1, 6)]
-    jobs.write_counts(spark.createDataFrame(counts[:4], INDEX_CLICK_COUNT.schema), 0, job.table)
-    changed = [("2024-01-02", "a", "1", 9), *counts[2:]]
-    jobs.write_counts(spark.createDataFrame(changed, INDEX_CLICK_COUNT.schema), 1, job.table)
-    assert tables.batch_rows(spark, job.table, 1) == 2
-    assert job.stored() == [counts[0], *changed]
-
-
-def test_late_clicks_do_not_lower_stored_counts_and_old_days_leave_the_state(job):
-    job.arrive((D1, "a", 1), (D1 + 5, "a", 1), (D1 + DAY, "a", 1))
-    job.run(daily=True)
-    job.arrive((D1 + 2 * DAY, "a", 1))  # one full day after the first day's end
-    query = job.run(daily=True)
-    state = query.lastProgress["stateOperators"][0]
-    assert state["numRowsTotal"] == 2  # the first day is gone
-    job.arrive((D1 + 7, "a", 1), (D1 + 2 * DAY, "a", 1))
-    job.run(daily=True)
-    assert job.stored() == [
-        ("2024-01-01", "a", "1", 2),
-        ("2024-01-02", "a", "1", 1),
-        ("2024-01-03", "a", "1", 2),
-    ]
-
-
-def test_clicks_within_the_lateness_are_counted(job):
-    job.arrive((D1, "a", 1), (D1 + 2 * DAY - 1, "a", 1))
-    job.run(daily=True)
-    job.arrive((D1 + 7, "a", 1))
-    job.run(daily=True)
-    assert job.stored() == job.batch_result()
-    assert ("2024-01-01", "a", "1", 2) in job.stored()
+@pytest.mark.parametrize("dates", [1, 1000])
+def test_unchanged_rows_are_compared_within_the_dates_of_the_batch(spark, job, dates):
+    counts = spark.range(dates).selectExpr(
+        "CAST(DATE'2024-01-01' + CAST(id AS INT) AS STRING) AS date", "'a' AS position", "'1' AS userid", "id AS clickCount"
+    )
+    other = spark.createDataFrame([("2023-01-01", "a", "1", 5)], INDEX_CLICK_COUNT.schema)
+    tables.upsert_overwrite(counts.unionByName(other).coalesce(1), job.table, 0)
+    near = jobs._stored_near(counts.cache(), job.table, (0, 1))
+    length = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", length)
+    filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+    assert any(re.search(r"date#\d+ >= 2024-01-01", f) and re.search(r"date#\d+ <= ", f) for f in filters), filters
+    assert near.count() == dates
+    changed = counts.withColumn("clickCount", F.expr("IF(date = '2024-01-01', 99L, clickCount)"))
+    jobs.write_counts(changed, 1, job.table)
+    assert tables.batch_rows(spark, job.table, 1) == 1
 
 
-def test_longer_lateness(job):
-    job.arrive((D1, "a", 1), (D1 + 3 * DAY, "a", 1))
-    job.run(daily=True, lateness_days=3)
-    job.arrive((D1 + 7, "a", 1))
-    job.run(daily=True, lateness_days=3)
+def test_late_and_far_clicks_are_all_counted(adding):
+    """One bad clock does not end the counting, and no day is ever closed."""
+    job = adding
+    job.arrive((D1, "a", 1), (9999999999, "a", 1), (D1 * 1000, "a", 1))
+    job.run()
+    job.arrive(*((D1 + i, "a", 1) for i in range(10)))
+    job.run()
+    job.arrive((D1 + 400 * DAY, "a", 1), *((D1 + i, "a", 1) for i in range(5)))
+    query = job.run()
+    assert query.lastProgress["stateOperators"] == []
     assert job.stored() == job.batch_result()
+    assert ("2024-01-01", "a", "1", 16) in job.stored() and len(job.stored()) == 4
+
+
+def test_a_batch_that_comes_again_adds_nothing(spark, adding, monkeypatch):
+    """The sink fails after it has written; the batch is delivered again."""
+    job = adding
+    job.arrive((D1, "a", 1), ("soon", "a", 2))
+    real = jobs.upsert_accumulate
+
+    def broken(*args):
+        real(*args)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "upsert_accumulate", broken)
+        with pytest.raises(StreamingQueryException, match="lost"):
+            job.run(rejects_path=f"{job.folder}/rejects")
+    job.run(rejects_path=f"{job.folder}/rejects")
+    assert job.stored() == [("2024-01-01", "a", "1", 1)]
+    assert spark.read.parquet(f"{job.folder}/rejects").count() == 1
 
 
 @pytest.mark.parametrize("name", ["Asia/Shanghai", "America/New_York"])
@@ -174,10 +194,10 @@ def test_days_are_those_of_the_zone(spark, zone, name):
     hours = [(9, 23), (10, 0), (10, 1), (10, 3), (10, 22), (10, 23), (11, 0), (11, 1)]
     times = [int(datetime(2024, 3, d, h, 30, tzinfo=local).timestamp()) for d, h in hours]
     with zone(name):
-        job = Job(spark, "zone")
+        job = Job(spark, "zone", mode="delta")
         for half in (times[:5], times[5:]):
             job.arrive(*((t, "a", 1) for t in half))
-            job.run(daily=True)
+            job.run()
         assert job.stored() == [
             ("2024-03-09", "a", "1", 1),
             ("2024-03-10", "a", "1", 5),
@@ -185,14 +205,6 @@ def test_days_are_those_of_the_zone(spark, zone, name):
         ]
 
 
-def test_a_far_future_time_does_not_end_the_day_job(job):
-    job.arrive((D1, "a", 1), (D1 * 1000, "a", 1))
-    job.run(daily=True)
-    job.arrive((D1 + 1, "a", 1))
-    job.run(daily=True)
-    assert job.stored() == [("2024-01-01", "a", "1", 2)]
-
-
 def test_new_checkpoint_over_a_filled_table_is_refused(job):
     job.arrive((D1, "a", 1))
     job.run()
@@ -204,9 +216,41 @@ def test_new_checkpoint_over_a_filled_table_is_refused(job):
     assert job.stored() == [("2024-01-01", "a", "1", 1)]
 
 
-def test_daily_needs_update_mode(job):
-    with pytest.raises(ValueError, match="update"):
-        jobs.start_click_counts(None, job.table, job.checkpoint, daily=True, mode="complete")
+def test_old_checkpoint_with_another_table_is_refused(spark, job):
+    job.arrive((D1, "a", 1), (D1, "a", 2))
+    job.run()
+    full = job.table
+    job.table = ResultTable(INDEX_CLICK_COUNT, f"{job.folder}/table2")
+    with pytest.raises(ValueError, match="another table"):
+        job.run()
+    other = Job(spark)
+    other.arrive((D1, "a", 3))
+    other.run()
+    job.table = other.table
+    with pytest.raises(ValueError, match="another table"):
+        job.run()
+    job.table = full
+    job.arrive((D1, "a", 1))
+    job.run()
+    assert job.stored() == job.batch_result()
+
+
+def test_a_table_that_was_emptied_is_refused(spark, job, tmp_path):
+    job.table = ResultTable(INDEX_CLICK_COUNT, str(tmp_path / "table"))
+    job.arrive((D1, "a", 1))
+    job.run()
+    shutil.rmtree(tmp_path / "table")
+    with pytest.raises(ValueError, match="another table"):
+        job.run()
+
+
+def test_modes_go_with_the_kind_of_table(job, adding):
+    with pytest.raises(ValueError, match="kept by"):
+        jobs.start_click_counts(None, job.table, job.checkpoint, mode="delta")
+    with pytest.raises(ValueError, match="kept by"):
+        jobs.start_click_counts(None, adding.table, job.checkpoint, mode="complete")
+    with pytest.raises(ValueError, match="start_rejects"):
+        jobs.start_click_counts(None, job.table, job.checkpoint, mode="update", rejects_path="x")
 
 
 def test_a_failing_sink_fails_the_query_and_loses_nothing(job, monkeypatch):
@@ -268,30 +312,68 @@ def test_cluster_settings(spark, job):
         session.conf.set(name, value)
     job.spark = session
     job.arrive((D1, "a", 1))
-    job.run(daily=True)
+    job.run()
     job.arrive((D1, "a", 1), (D1, "a", 2))
-    query = job.run(daily=True)
+    query = job.run()
     assert "rocksdbCommitCheckpointLatency" in query.lastProgress["stateOperators"][0]["customMetrics"]
     assert job.stored() == job.batch_result()
 
 
-def test_program(spark, job):
+def argv(job, *more):
+    words = f"--format parquet --path {job.folder}/feed --position a --once --zone UTC"
+    return [*f"{words} --table {job.table.path} --checkpoint {job.checkpoint}".split(), *more]
+
+
+@pytest.mark.parametrize("mode", ["delta", "update"])
+def test_program(spark, mode):
+    job = Job(spark, mode=mode)
     job.arrive((D1, "a", 1), (D1, "a", 1), ("soon", "a", 2))
-    rejects = f"{job.folder}/rejects"
-    argv = f"--format parquet --path {job.folder}/feed --position a --once --daily --rejects {rejects}"
-    argv += f" --table {job.table.path} --checkpoint {job.checkpoint}"
-    for query in main.start(spark, main.arguments(argv.split())):
+    job.arrive((D1, "a", 1))
+    queries = main.start(spark, main.arguments(argv(job, "--mode", mode, "--option", "maxFilesPerTrigger=1")))
+    for query in queries:
         query.awaitTermination()
-    assert job.stored() == [("2024-01-01", "a", "1", 2)]
-    assert [r.reason for r in spark.read.parquet(rejects).collect()] == ["bad_timestamp"]
+    assert max(p["batchId"] for p in queries[0].recentProgress) == 1
+    assert job.stored() == [("2024-01-01", "a", "1", 3)]
+    assert [r.reason for r in spark.read.parquet(f"{job.table.path}_rejects").collect()] == ["bad_timestamp"]
 
 
-def test_program_arguments():
-    args = main.arguments("--servers s:1 --topic t --table x --checkpoint y".split())
-    assert (args.position, args.mode, args.every, args.daily) == ("app_restart", "update", "5 seconds", False)
-    for wrong in ("--table x --checkpoint y", "--format json --table x --checkpoint y", "--servers s:1"):
+def test_program_arguments(spark, job):
+    kafka = "--servers s:1 --topic t --table x --zone UTC --checkpoint"
+    args = main.arguments([*kafka.split(), "y"])
+    assert (args.position, args.mode, args.every, args.rejects) == ("app_restart", "delta", "5 seconds", "x_rejects")
+    for wrong in ("--table x --checkpoint y --zone UTC", "--format json --table x --checkpoint y --zone UTC", "--servers s:1", "--servers s:1 --topic t --table x --checkpoint y"):
         with pytest.raises(SystemExit):
             main.arguments(wrong.split())
+    more = "--group g --saved 0:10,1:20 --option kafka.security.protocol=SSL --option maxOffsetsPerTrigger=5"
+    args = main.arguments([*kafka.split(), job.checkpoint, *more.split()])
+    first = main.source_options(spark, args)
+    assert first["kafka.group.id"] == "g" and first["kafka.security.protocol"] == "SSL" and first["maxOffsetsPerTrigger"] == "5"
+    assert json.loads(first["startingOffsets"]) == {"t": {"0": 10, "1": 20}} and first["failOnDataLoss"] == "false"
+    spark.range(1).selectExpr("'{}' AS value").write.text(f"{job.checkpoint}/counts/metadata")
+    later = main.source_options(spark, args)
+    assert "failOnDataLoss" not in later and later["startingOffsets"] == "latest"
+
+
+def test_a_user_listed_after_the_start_is_left_out_of_the_next_batch(spark, job):
+    blacklist = ResultTable(AD_BLACKLIST, f"{job.folder}/blacklist")
+    table = ResultTable(AD_USER_CLICK_COUNT, f"{job.folder}/ads")
+    schema = "date STRING, userid BIGINT, adid BIGINT"
+    for batch, users in enumerate(([1, 2], [1, 2])):
+        spark.createDataFrame([("2024-01-01", u, 7) for u in users], schema).coalesce(1).write.mode("append").parquet(f"{job.folder}/in")
+    tables.append(spark.createDataFrame([(2,)], "userid BIGINT"), blacklist, 0)
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{job.folder}/in")
+    seen = []
+
+    def counts(batch):
+        seen.append(1)
+        if len(seen) == 1:
+            tables.append(spark.createDataFrame([(1,)], "userid BIGINT"), blacklist, 1)
+        return ads.user_ad_counts(batch)
+
+    query = jobs.start_table(feed.select("date", "userid", "adid"), counts, table, job.checkpoint, blacklist=blacklist, trigger=ONCE)
+    query.awaitTermination()
+    found = rows(tables.read_table(spark, table))
+    assert len(seen) >= 2 and {r[1] for r in found} == {1} and found[0][3] < 2
 
 
 def test_batch_ranges(job):
@@ -345,3 +427,11 @@ def test_enrichment_stream(spark, job):
     assert json.loads(rows(texts)[0][0])["gpstime"] == "2024-01-01 10:00:00"
     fields = parse_vehicles(texts).select("lon", "lat", "speaker", "mnetworkcode")
     assert rows(fields) == [(1.5, 2.0, "s", "m"), (9.0, 11.0, "far", "m")]
+
+
+def test_enrichment_rejects_stream(spark, job):
+    bad = [("k3", "{"), ("k4", '{"lat":"north"}')]
+    spark.createDataFrame([*VEHICLES, *bad], "key STRING, value STRING").write.parquet(f"{job.folder}/feed")
+    out = f"{job.folder}/rejects"
+    jobs.start_enrichment_rejects(job.feed(), out, job.checkpoint, ONCE).awaitTermination()
+    assert rows(spark.read.parquet(out)) == [("k3", "{", "malformed"), ("k4", bad[1][1], "wrong_type")]
