@@ -17,6 +17,7 @@ from clicktally.llm import (
     ngram_join,
     quality,
     secret_scan,
+    sql,
     url_filter,
 )
 from clicktally.llm.store import stored
@@ -83,7 +84,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        "spans",
     )
 
 
@@ -100,4 +100,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE: dict[str, str] = {"op6_url_filter": url_filter.verdict_sql()}
+ORACLE: dict[str, str] = dict(sql.ORACLE)
