@@ -19,15 +19,15 @@ MIXING = f"""
         SELECT name, greatest(1, CAST(floor({mixing.CYCLE} * sqrt(n) / (SELECT sum(sqrt(n)) FROM sizes) + 0.5) AS BIGINT)) AS a
         FROM sizes
     ), cycle AS (
-        SELECT list(name ORDER BY name) AS names, list(a ORDER BY name) AS a, CAST(sum(a) AS BIGINT) AS length FROM parts
+        SELECT list(name ORDER BY name) AS names, list(a ORDER BY name) AS shares, CAST(sum(a) AS BIGINT) AS length FROM parts
     ), steps AS (
         SELECT CAST(-1 AS BIGINT) AS tick, list_transform(names, lambda x: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS pick FROM cycle
         UNION ALL
         SELECT tick + 1, list_transform(range(1, len(done) + 1), lambda i: done[i] + CASE WHEN i = chosen THEN 1 ELSE 0 END), chosen
         FROM (
             SELECT tick, done, list_min(list_transform(
-                list_filter(range(1, len(names) + 1), lambda i: done[i] < a[i] AND done[i] * length // a[i] <= tick + 1),
-                lambda i: struct_pack(deadline := ((done[i] + 1) * length + a[i] - 1) // a[i], i := i))).i AS chosen
+                list_filter(range(1, len(names) + 1), lambda i: done[i] < shares[i] AND done[i] * length // shares[i] <= tick + 1),
+                lambda i: struct_pack(deadline := ((done[i] + 1) * length + shares[i] - 1) // shares[i], i := i))).i AS chosen
             FROM steps, cycle WHERE tick + 1 < length
         )
     ), schedule AS (
