@@ -339,7 +339,8 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
     summary = stored(summaries(docs, size), "sets")
-    classes = summary.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))
+    # stored, so that the join moves both sides and Spark can split a large class
+    classes = stored(summary.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep")), "sets")
     member = stored(
         summary.where("n > 0 AND doc_id IS NOT NULL")
         .join(classes, ["n", "h1", "h2"])
