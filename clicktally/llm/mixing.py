@@ -30,7 +30,7 @@ BLOCK = 32
 #: About the number of slots in a cycle, if the weights are not whole numbers.
 CYCLE = 1000
 #: Documents of a source whose ranks one task counts, about.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 2_000
 
 
 def tempered_parts(docs: DataFrame, cycle: int = CYCLE) -> dict[str, int]:
