@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from clicktally.llm.store import stored
 from clicktally.llm.words import slices
+from clicktally.operators.joins import hot_key_join
 
 #: A subtree is template if it is on so many different pages of its host, and on this share of them.
 LEAST_PAGES = 10
@@ -268,7 +269,7 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
     """``page_id``, ``url``, main ``text`` and its ``n_chars`` of every page."""
     pages = pages.select(F.col("page_id").cast("bigint"), "url", "html")
     found = templates(pages, least_pages, least_share)
-    joined = pages.withColumn("host", _host(F.col("url"))).join(found, "host", "left")
+    joined = hot_key_join(pages.withColumn("host", _host(F.col("url"))), found, ["host"], "left")
     return joined.select("page_id", "url", "html", "template").mapInArrow(
         _extract(), "page_id bigint, url string, text string, n_chars bigint"
     )
