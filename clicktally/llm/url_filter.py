@@ -3,7 +3,8 @@
 All glob patterns are packed into one multiword Shift-And automaton: a bit for every literal of every
 pattern, with a loop where a ``*`` stands. One step over a byte moves all patterns of all URLs of a
 batch. Host rules are globs too (the host itself, or any subdomain, then the start of the path), so
-one walk over each canonical URL, its host and path, finds everything.
+one walk over each canonical URL, its host and path, finds everything. A mark between the two, which
+neither can hold, ends the host for the rules; the patterns do not see it.
 
 The longest host rule that fits gives the verdict; without one, the longest pattern does; without
 that, the URL is allowed. Defined results: a null URL or one without ``://`` has an empty host and
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from clicktally.llm.words import raw
 
 ALLOW, BLOCK = "allow", "block"
+MARK = "#"  # between host and path
 
 # Verdict, host and path of the host rules.
 HOST_RULES = (
@@ -47,27 +49,37 @@ PATTERNS = (
 
 @dataclass
 class Automaton:
-    """Shift-And masks of globs; bit 0 of each glob is its start."""
+    """Shift-And masks of globs; bit 0 of each glob is its start.
+
+    If ``parted`` is given, texts hold one ``MARK``. The first ``parted`` globs hold it too, and no ``*``
+    passes it; to the others it is no part of the text.
+    """
 
     starts: np.ndarray  # words of the state before the first byte
     loops: np.ndarray
     accept: np.ndarray  # word and bit of each glob's end
     masks: np.ndarray  # 256 rows
+    holds: np.ndarray | None  # bits of the globs to which a mark is nothing
 
     @classmethod
-    def of(cls, globs: Sequence[str]) -> Automaton:
+    def of(cls, globs: Sequence[str], parted: int | None = None) -> Automaton:
         literals = [glob.replace("*", "").encode() for glob in globs]
         size = sum(len(x) + 1 for x in literals)
         words = -(-size // 64)
         starts, loops = np.zeros(words, np.uint64), np.zeros(words, np.uint64)
         masks, accept, at = np.zeros((256, words), np.uint64), [], 0
+        holds = None if parted is None else np.zeros(words, np.uint64)
 
         def bit(place: int) -> tuple[int, np.uint64]:
             return place // 64, np.uint64(1 << (place % 64))
 
-        for glob in globs:
+        for i, (glob, literal) in enumerate(zip(globs, literals, strict=True)):
             word, one = bit(at)
             starts[word] |= one
+            if parted is not None and i >= parted:
+                for place in range(at, at + len(literal) + 1):
+                    word, one = bit(place)
+                    holds[word] |= one
             for byte in glob.encode():
                 word, one = bit(at)
                 if byte == ord("*"):
@@ -78,7 +90,7 @@ class Automaton:
                 masks[byte, word] |= one
             accept.append(bit(at))
             at += 1
-        return cls(starts, loops, np.array([(w, int(b).bit_length() - 1) for w, b in accept], dtype=np.int64).reshape(-1, 2), masks)
+        return cls(starts, loops, np.array([(w, int(b).bit_length() - 1) for w, b in accept], dtype=np.int64).reshape(-1, 2), masks, holds)
 
     def matches(self, texts: pa.Array) -> np.ndarray:
         """Which texts (rows) match which globs (columns), as a whole."""
@@ -92,9 +104,16 @@ class Automaton:
             now = state[:n]
             moved = now << np.uint64(1)
             moved[:, 1:] |= now[:, :-1] >> np.uint64(63)
-            moved &= self.masks[data[begin[:n] + step]]
+            byte = data[begin[:n] + step]
+            moved &= self.masks[byte]
+            if self.holds is not None and len(ends := np.flatnonzero(byte == ord(MARK))):
+                held = (now[ends] & self.holds) | (moved[ends] & ~self.holds)
+            else:
+                ends = None
             now &= self.loops
             now |= moved
+            if ends is not None:
+                now[ends] = held
         found = np.empty((len(order), len(self.accept)), dtype=bool)
         found[order] = (state[:, self.accept[:, 0]] >> self.accept[:, 1].astype(np.uint64)) & np.uint64(1)
         return found
@@ -113,8 +132,8 @@ def judge(
 ) -> DataFrame:
     """``page_id, host, path``, the ``rule`` and ``pattern`` that fit (or null) and the ``verdict``."""
     rules, patterns = list(rules), list(patterns)
-    globs = [g for _, host, path in rules for g in (f"{host}{path}*", f"*.{host}{path}*")]
-    automaton = Automaton.of(globs + [g for _, g in patterns])
+    globs = [g for _, host, path in rules for g in (f"{host}{MARK}{path}*", f"*.{host}{MARK}{path}*")]
+    automaton = Automaton.of(globs + [g for _, g in patterns], len(globs))
     rule_names = np.array([host + path for _, host, path in rules] + [None], dtype=object)
     glob_names = np.array([g for _, g in patterns] + [None], dtype=object)
     rule_says = np.array([v for v, *_ in rules] + [None], dtype=object)
@@ -141,7 +160,7 @@ def judge(
     url = F.coalesce("url", F.lit(""))
     host = F.translate(F.regexp_extract(url, split, 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     parts = pages.select(F.col("page_id").cast("bigint"), host.alias("host"), F.regexp_extract(url, split, 2).alias("path"))
-    return parts.withColumn("canonical", F.concat("host", "path")).mapInArrow(
+    return parts.withColumn("canonical", F.concat("host", F.lit(MARK), "path")).mapInArrow(
         walk, "page_id bigint, host string, path string, rule string, pattern string, verdict string"
     )
 

@@ -122,3 +122,27 @@ def test_verdicts(spark):
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict)
     assert url_filter.judge(pages.limit(0)).count() == 0
     assert {r.verdict for r in url_filter.judge(pages, rules=(), patterns=()).collect()} == {"allow"}
+
+
+BOUNDARIES = [
+    ("http://a.com/mirror.net/x", None, None, "allow"),
+    ("http://archive.org/web/http://www.example.com/de/x", None, None, "allow"),
+    ("http://a.com/x/.org/fr/", None, None, "allow"),
+    ("http://a.net/mirror.example.net/en/", "net/", None, "block"),
+    ("http://b.a.example.com/de/y.net/", "example.com/de/", None, "block"),
+    ("http://ads.a.com", None, "ads.*", "block"),
+    ("http://www.cart/cart/", None, "*/cart/*", "block"),
+    ("http://a.trackers.com/x", None, "*.trackers.*/*", "block"),
+]
+
+
+def test_host_rules_end_with_the_host(spark):
+    pages = spark.createDataFrame([(i, u[0]) for i, u in enumerate(BOUNDARIES)], "page_id bigint, url string")
+    found = {r.page_id: (r.rule, r.pattern, r.verdict) for r in url_filter.judge(pages).collect()}
+    assert [found[i] for i in range(len(BOUNDARIES))] == [u[1:] for u in BOUNDARIES]
+    # a rule without a path is not the start of a longer host; a pattern may go over the end of the host
+    rules, patterns = [("block", "b.com", ""), ("block", "d.com", "*/x")], [("block", "c.com/x"), ("block", "a#*")]
+    urls = ["x://b.com", "x://a.b.com/y", "x://b.community/", "x://d.com/a/x", "x://e.com/d.com/x", "x://c.com/x", "x://a/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    found = {r.page_id: r.rule or r.pattern for r in url_filter.judge(pages, rules, patterns).collect()}
+    assert [found[i] for i in range(len(urls))] == ["b.com", "b.com", None, "d.com*/x", None, "c.com/x", None]
