@@ -1,7 +1,8 @@
 """Licences named in documents: ordered signature rules with keywords, priorities and suppression.
 
 A text becomes its words, lower-cased and parted by single blanks. Rules are regular expressions over
-that, made of the licences and the forms below; a rule is only tried on texts that hold its keyword.
+that, made of the licences and the forms below, or signatures of licence bodies and notices; a rule is
+only tried on texts that hold its keyword.
 Of detections that overlap one stays: one that lies within another goes, of equal ones the rule with
 the better (smaller) priority stays, and so it is with neighbours that overlap in part. Phrases of
 ``PHRASES`` are found wherever they stand, and always stay.
@@ -89,6 +90,132 @@ FORMS = (
 BARE = (3, 0.6, "NAME(?: VERSION(?: 0)?)?")
 BARE_KEYWORDS = ("cc by", "creative commons", "cc0")
 
+#: Names that are licences after 'under' without the word licence: label, keyword, name, versions, and
+#: whether they need no verb before 'under' and stand by themselves with a version.
+UNDER = (
+    ("mit", "mit", r"mit(?: x11)?", (), False),
+    ("apache", "apache", r"apache", ("1", "1 1", "2"), False),
+    ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|bsd2)", (), False),
+    ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd|bsd3)", (), False),
+    ("bsd", "bsd", r"bsd", (), False),
+    ("isc", "isc", r"isc", (), False),
+    ("zlib", "zlib", r"zlib(?: libpng)?", (), False),
+    ("gpl", "gpl", r"(?:gnu )?gpl", ("1", "2", "3"), True),
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl", ("2", "2 1", "3"), True),
+    ("agpl", "agpl", r"(?:gnu )?agpl", ("3",), True),
+    ("mpl", "mpl", r"mpl", ("1", "1 1", "2"), True),
+    ("epl", "epl", r"epl", ("1", "2"), True),
+    ("cddl", "cddl", r"cddl", ("1", "1 1"), True),
+    ("eupl", "eupl", r"eupl", ("1 1", "1 2"), True),
+    ("gfdl", "fdl", r"(?:gnu fdl|gfdl)", ("1 1", "1 2", "1 3"), True),
+    ("wtfpl", "wtfpl", r"wtfpl", ("2",), True),
+    ("cecill", "cecill", r"cecill", ("1", "2", "2 1"), True),
+)
+_VERBS = "(?:(?:re)?(?:licen[sc]ed|released|distributed|distributable|published|available|provided|covered|issued) )"
+#: Glued versions too: gplv3, lgpl2. In words 2.1 is 2 1.
+_GLUED = "(?: version | v| |v)?VERSION(?: 0)?(?: only| or later| or any later version)?"
+_UNDER = "under (?:both |either )?(?:the )?(?:terms (?:and conditions )?of )?(?:both |either )?(?:the )?NAME"
+
+#: Label, signature: words of a licence's body or of the notice that refers to it. Each is its own keyword.
+SIGNATURES = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"),
+    ("x11", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software without prior written authorization"),
+    ("json", "the software shall be used for good not evil"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied warranties"),
+    ("bsd-3-clause", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that"),
+    ("isc", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that"),
+    ("0bsd", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided"),
+    ("hpnd", "permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", "this notice may not be removed or altered from any source distribution"),
+    ("boost-1", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("ncsa", "to deal with the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "do what the fuck you want to public license"),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed"),
+    ("beerware", "as long as you retain this notice you can do whatever you want with this stuff"),
+    ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the license at https www apache org licenses license 2 0"),
+    ("apache-2", "www apache org licenses license 2 0"),
+    ("apache-2", "terms and conditions for use reproduction and distribution 1 definitions license shall mean the terms and conditions"),
+    ("apache-2", "a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works of"),
+    ("apache-1.1", "this product includes software developed by the apache software foundation http www apache org"),
+    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl-2", "gnu general public license as published by the free software foundation either version 2 of the license"),
+    ("gpl-3", "gnu general public license as published by the free software foundation either version 3 of the license"),
+    ("gpl-2", "gnu general public license as published by the free software foundation version 2"),
+    ("gpl-3", "gnu general public license as published by the free software foundation version 3"),
+    ("gpl", "you should have received a copy of the gnu general public license along with"),
+    ("gpl", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-3", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("lgpl", "it under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("lgpl-2.1", "gnu lesser general public license as published by the free software foundation either version 2 1 of the license"),
+    ("lgpl-3", "gnu lesser general public license as published by the free software foundation either version 3 of the license"),
+    ("lgpl-2", "gnu library general public license as published by the free software foundation either version 2 of the license"),
+    ("lgpl", "you should have received a copy of the gnu lesser general public license along with"),
+    ("lgpl-2", "you should have received a copy of the gnu library general public license along with"),
+    ("lgpl-3", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("agpl", "it under the terms of the gnu affero general public license as published by the free software foundation"),
+    ("agpl-3", "gnu affero general public license as published by the free software foundation either version 3 of the license"),
+    ("agpl", "you should have received a copy of the gnu affero general public license along with"),
+    ("agpl-3", "the gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("gfdl", "with no invariant sections no front cover texts and no back cover texts"),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-2", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl-1", "the contents of this file are subject to the mozilla public license version 1 0"),
+    ("epl-1", "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0"),
+    ("epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0"),
+    ("epl", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cpl-1", "the accompanying program is provided under the terms of this common public license"),
+    ("eupl", "this european union public licence the eupl applies to the work"),
+    ("artistic-1", "the intent of this document is to state the conditions under which a package may be copied such that the copyright holder maintains some semblance of artistic control"),
+    ("artistic-2", "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("ms-pl", "this license governs use of the accompanying software if you use the software you accept this license"),
+    ("ofl-1.1", "this font software is licensed under the sil open font license version 1 1"),
+    ("ofl", "the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects"),
+    ("odbl", "is made available under the open database license http opendatacommons org licenses odbl"),
+    ("odc-by", "is made available under the open data commons attribution license"),
+    ("pddl", "is made available under the public domain dedication and license"),
+    ("cc0-1", "to the extent possible under law the person who associated cc0 with this work has waived all copyright and related or neighboring rights"),
+    ("cc0-1", "has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law"),
+    ("cc0-1", "creativecommons org publicdomain zero 1 0"),
+    ("cc", "the work as defined below is provided under the terms of this creative commons public license"),
+    ("cc", "by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons"),
+    ("psf-2", "this license agreement is between the python software foundation psf and the individual or organization"),
+    ("openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("php", "products derived from this software may not be called php nor may php appear in their name without prior written permission"),
+    ("ruby", "you may make and give away verbatim copies of the source form of the software without restriction provided that you duplicate all of the original copyright notices"),
+    ("unicode", "permission is hereby granted free of charge to any person obtaining a copy of the unicode data files and any associated documentation"),
+    ("icu", "copyright notice s and this permission notice appear in all copies of the software and that both the above copyright notice s and this permission notice appear in supporting documentation"),
+    ("ftl", "the freetype project is copyright c 1996 2000 by david turner robert wilhelm and werner lemberg"),
+    ("ijg", "this software is based in part on the work of the independent jpeg group"),
+    ("osl-3", "licensed under the open software license version 3 0"),
+    ("afl-3", "licensed under the academic free license version 3 0"),
+    ("cecill", "this software is governed by the cecill license under french law and abiding by the rules of distribution of free software"),
+    ("upl-1", "subject to the condition set forth below permission is hereby granted to any person obtaining a copy of this software associated documentation and or data"),
+    ("vim", "there are no restrictions on distributing unmodified copies of vim except that they must include this license text"),
+    ("sspl-1", "licensed under the server side public license"),
+    ("busl-1.1", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("elastic-2", "you may not provide the software to third parties as a hosted or managed service where the service provides users with access to any substantial set"),
+    ("commons-clause", "the software is provided to you by the licensor under the license as defined below subject to the following condition"),
+)
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -114,12 +241,41 @@ def _rules() -> list[Rule]:
                     body = body.split("(?: VERSION")[0].split("(?: (?:version")[0]
                 full = label + (f"-{version.replace(' ', '.')}" if version else "")
                 rules.append(Rule(f"(?<= ){body}(?= )", keyword, full, priority, weight))
+    for label, keyword, name, versions, known in UNDER:
+        for version in ("", *versions):
+            tail = _GLUED.replace("VERSION", version) if version else ""
+            full = label + (f"-{version.replace(' ', '.')}" if version else "")
+            body = _VERBS + ("?" if known else "") + _UNDER.replace("NAME", name) + tail
+            rules.append(Rule(f"(?<= ){body}(?= )", keyword, full, 3, 0.9))
+            if known and version:
+                rules.append(Rule(f"(?<= ){name}{tail}(?= )", keyword, full, 4, 0.6))
+    rules += [Rule(f"(?<= ){words}(?= )", words, label, 0, 0.95) for label, words in SIGNATURES]
+    for code in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"):  # addresses of the deeds
+        address = f"creativecommons org licenses {code.replace('-', ' ')} "
+        for version in ("1", "2", "2 5", "3", "4"):
+            full = f"cc-{code}-{version.replace(' ', '.')}"
+            rules.append(Rule(f"(?<= ){address}{version}(?: 0)?(?= )", address, full, 0, 0.95))
     return rules
 
 
 RULES = _rules()
 #: Every text with a match holds all words of one of these.
-KEYWORDS = (("licen",), ("cc", "by"), ("creative", "commons"), ("cc0",))
+KEYWORDS = (
+    ("licen",),
+    ("cc", "by"),
+    ("creative", "commons"),
+    ("cc0",),
+    ("permission",),
+    ("redistribut",),
+    ("warrant",),
+    ("copyright",),
+    ("software",),
+    ("public", "domain"),
+    ("this", "notice"),
+    ("invariant", "sections"),
+    *((keyword,) for _, keyword, *_, known in UNDER if known),
+    *(("under", keyword) for keyword in sorted({k for _, k, *_, known in UNDER if not known})),
+)
 
 
 def _lower(text: Column) -> Column:

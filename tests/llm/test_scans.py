@@ -142,3 +142,38 @@ def test_rules_hold_their_keywords():
         re.compile(rule.pattern)
         words = {w for keys in license_scan.KEYWORDS for w in keys if w in rule.pattern or w in rule.pattern.replace("[sc]", "c")}
         assert words or "licen[sc]e" in rule.pattern, rule
+
+
+BODIES = [
+    ("Released under the GPL v3.", "gpl-3"),
+    ("It is distributed under the terms of the LGPL", "lgpl"),
+    ("Licensed under the GPLv3", "gpl-3"),
+    ("under GPLv2+ or so", "gpl-2"),
+    ("code: LGPLv2.1, docs: GFDL 1.3", "gfdl-1.3,lgpl-2.1"),
+    ("Available under the Apache 2.0.", "apache-2"),
+    ("released under MIT", "mit"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\")", "mit"),
+    (" * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:", "bsd"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that", "isc"),
+    ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for", "zlib"),
+    (
+        "modify it under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or",
+        "gpl-2",
+    ),
+    ("# http://www.apache.org/licenses/LICENSE-2.0", "apache-2"),
+    ("https://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa-4"),
+    ("the program runs under BSD and under the apache web server, see gpl", ""),
+    ("provided under the artistic direction of", ""),
+]
+
+
+def test_license_bodies_and_glued_versions(spark):
+    docs = documents(spark, [t for t, _ in BODIES])
+    at = {r.text: r.doc_id for r in docs.collect()}
+    rows = {r.doc_id: r.labels for r in license_scan.scan(docs).collect()}
+    assert {t: rows[at[t]] for t, _ in BODIES} == dict(BODIES)
+
+
+def test_prefilter_passes_signatures():
+    for _, words in license_scan.SIGNATURES:
+        assert any(all(w in words for w in keys) for keys in license_scan.KEYWORDS), words
