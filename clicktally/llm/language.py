@@ -26,8 +26,6 @@ from clicktally.llm.words import _LOWER, mix, raw, slices
 BUCKETS = 2048
 #: EM steps for each set of languages.
 STEPS = 10
-#: At most so many languages in one document.
-MOST = 3
 #: Price of one more language, in units of the log of the number of trigrams. Trigrams overlap, so
 #: it is above the half that independent ones would ask for.
 PENALTY = 3.0
@@ -82,11 +80,20 @@ class Languages:
         price = PENALTY * np.log(np.maximum(counts.sum(axis=1), 2))
         best = np.full(len(counts), -np.inf)
         chosen = np.zeros_like(share)
-        for size in range(1, min(MOST, len(self.names)) + 1):
-            share, fit = self._mixture(counts, (rank < size).astype(np.float32))
-            better = fit - size * price > best
-            best = np.where(better, fit - size * price, best)
-            chosen[better] = share[better]
+        # no mixture fits better than this: the likelihood is concave in the shares
+        expected = share @ self.likely
+        fit = (counts * np.log(np.maximum(expected, 1e-30))).sum(axis=1, dtype=np.float64)
+        slope = ((counts / expected) @ self.likely.T).max(axis=1)
+        bound = fit + np.maximum(slope - counts.sum(axis=1), 0) + 1e-5 * np.abs(fit)
+        for size in range(1, len(self.names) + 1):
+            rows = np.flatnonzero(bound - size * price > best)
+            if not len(rows):
+                break
+            share, fit = self._mixture(counts[rows], (rank[rows] < size).astype(np.float32))
+            worth = fit - size * price[rows]
+            better = worth > best[rows]
+            best[rows[better]] = worth[better]
+            chosen[rows[better]] = share[better]
         return chosen.argmax(axis=1), chosen.max(axis=1), chosen
 
 

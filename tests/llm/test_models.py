@@ -109,3 +109,15 @@ def test_language_of_hard_rows(spark):
     assert language.learn(docs.where("lang IS NULL")) is None and language.learn(docs.limit(0)) is None
     assert {r.lang_pred for r in language.predict(docs, None).collect()} == {"und"}
     assert language.predict(docs.limit(0), names).count() == 0
+
+
+def test_language_sets_are_not_capped():
+    names = [f"l{i}" for i in range(6)]
+    learnt = np.zeros((6, language.BUCKETS))
+    for i in range(6):
+        learnt[i, i * 300 : (i + 1) * 300] = 1000
+    for n in range(1, 7):
+        counts = np.zeros((1, language.BUCKETS), dtype=np.float32)
+        counts[0, : n * 300] = 4
+        _, share, chosen = language.Languages(names, learnt).predict(counts)
+        assert (chosen[0] > 0.005).sum() == n and abs(share[0] - 1 / n) < 0.02
