@@ -47,7 +47,10 @@ def _trigrams(column: pa.Array) -> Iterator[np.ndarray]:
         letters = _LETTER[data[low:high]]
         letters = np.concatenate([[0], letters, [0]]).astype(np.uint64)
         middle = letters[1:-1] > 0
-        gram = (letters[:-2] << np.uint64(16)) | (letters[1:-1] << np.uint64(8)) | letters[2:]
+        left, right, cuts = letters[:-2].copy(), letters[2:].copy(), offsets[row : stop + 1] - low
+        left[cuts[cuts < high - low]] = 0
+        right[cuts[cuts > 0] - 1] = 0
+        gram = (left << np.uint64(16)) | (letters[1:-1] << np.uint64(8)) | right
         doc = np.repeat(np.arange(stop - row), np.diff(offsets[row : stop + 1]))
         bucket = (mix(gram[middle]) & np.uint64(BUCKETS - 1)).astype(np.int64)
         counts = np.bincount(doc[middle] * BUCKETS + bucket, minlength=(stop - row) * BUCKETS)

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clicktally.llm import language, quality
@@ -121,3 +122,10 @@ def test_language_sets_are_not_capped():
         counts[0, : n * 300] = 4
         _, share, chosen = language.Languages(names, learnt).predict(counts)
         assert (chosen[0] > 0.005).sum() == n and abs(share[0] - 1 / n) < 0.02
+
+
+def test_trigrams_end_with_their_document():
+    texts = ["abc", "a", "", "xa", "a", "", "é", "a", None]
+    together = np.concatenate(list(language._trigrams(pa.array(texts))))
+    alone = np.concatenate([c for t in texts for c in language._trigrams(pa.array([t], pa.string()))])
+    assert (together == alone).all() and together[1].sum() == 1
