@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clicktally.llm import (
     decontaminate,
+    filter_audit,
     fingerprints,
     html_extract,
     language,
@@ -87,6 +88,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters does at every place of every order, per language."""
+    return filter_audit.interactions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_mixing": op9_mixing,
     "op10_decontaminate": op10_decontaminate,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE: dict[str, str] = dict(sql.ORACLE)

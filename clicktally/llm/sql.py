@@ -70,8 +70,54 @@ DECONTAMINATE = f"""
     FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+FILTER_AUDIT = r"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+    ), measured AS (
+        SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+               min(doc_id) OVER (PARTITION BY t) AS first_id
+        FROM texts
+    ), marks AS (
+        SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+        FROM labels GROUP BY doc_id
+    ), flags AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+               list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f
+                   WHEN 'A' THEN len(words) < 200
+                   WHEN 'B' THEN 100 * len(list_distinct(words)) < 50 * len(words)
+                   WHEN 'C' THEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t)
+                   WHEN 'D' THEN regexp_matches(t, '[#$%&*|]')
+                   ELSE coalesce(doc_id > first_id, false) END) AS fails
+        FROM measured LEFT JOIN marks USING (doc_id)
+    ), cells AS (
+        SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM flags GROUP BY part, fails
+    ), letters AS (
+        SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+    ), orders AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+    ), steps AS (
+        SELECT part, filter_order, step, n, good, toxic, len(fails) AS n_fails,
+               list_contains(fails, filter_order[step]) AS now,
+               len(list_filter(fails, lambda f: instr(filter_order, f) < step)) > 0 AS gone
+        FROM cells, orders, unnest(range(1, 6)) AS t(step)
+    ), counted AS (
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter,
+               CAST(sum(CASE WHEN NOT now AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept,
+               CAST(sum(CASE WHEN now AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed,
+               CAST(sum(CASE WHEN now AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+               CAST(sum(CASE WHEN now AND n_fails = 1 THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+               CAST(sum(CASE WHEN now AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+               CAST(sum(CASE WHEN now AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+        FROM steps GROUP BY part, filter_order, step
+    )
+    SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM counted
+"""
+
 ORACLE = {
     "op6_url_filter": url_filter.verdict_sql(),
     "op9_mixing": MIXING,
     "op10_decontaminate": DECONTAMINATE,
+    "op11_filter_audit": FILTER_AUDIT,
 }
