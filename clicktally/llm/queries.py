@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from clicktally.llm import (
     license_scan,
     mixing,
     ngram_join,
+    packing,
     quality,
     secret_scan,
     sql,
@@ -93,6 +95,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.interactions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, packed into sequences of 1024 tokens."""
+    packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
@@ -105,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_decontaminate": op10_decontaminate,
     "op11_filter_audit": op11_filter_audit,
+    "op12_packing": op12_packing,
 }
 
 ORACLE: dict[str, str] = dict(sql.ORACLE)
