@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktally.llm import (
+    alignment,
     decontaminate,
     filter_audit,
     fingerprints,
@@ -101,6 +102,13 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned."""
+    return alignment.align(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
@@ -114,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_filter_audit": op11_filter_audit,
     "op12_packing": op12_packing,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE: dict[str, str] = dict(sql.ORACLE)
