@@ -9,9 +9,11 @@ on document and stretch of text, with the distance as a condition.
 Everything is made of built-in functions. Positions come from the lengths of the pieces between
 matches, summed along the document by a window over its matches; only numbers are moved, not texts.
 
-Defined results: null is an empty text; rows with the same id and text have the same spans, each of
-them is returned; a row without id is treated like any other; spans count code points, and their end
-is exclusive.
+Defined results: null is an empty text, which has no spans; whole texts are scanned, however long;
+rows with the same id and text have the same spans, each of them is returned; a row without id is
+treated like any other; equal places go by the order of ``KINDS``; spans count code points, and their
+end is exclusive; no documents give no rows. Other columns, whatever their names, are kept by
+``redact`` and not looked at otherwise.
 """
 
 from __future__ import annotations
@@ -139,12 +141,12 @@ def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     weak = [i for i, k in enumerate(KINDS) if not k.strong]
     role = F.element_at(F.array(*(F.lit(k.role) for k in KINDS)), F.col("kind") + 1)
     roles = found.withColumn("role", role).withColumn("is_strong", F.col("kind").isin(*strong))
-    # an interval may lie in several stretches, and a partner in the stretch before or after
+    # an interval may lie in several stretches, and so does all that is within the scope of it
     width = F.lit(scope)
     near = roles.select(
         *(F.col(c).alias(f"o_{c}") for c in ("doc_id", "mark", "start", "end", "role", "is_strong")),
         F.explode(
-            F.sequence(F.floor(F.col("start") / width) - 1, F.floor((F.col("end") - 1) / width) + 1)
+            F.sequence(F.floor((F.col("start") - width - 1) / width), F.floor((F.col("end") + width) / width))
         ).alias("o_stretch"),
     )
     own = roles.where(~F.col("is_strong")).withColumn(
