@@ -13,7 +13,9 @@ Links are pairs of shingle sets with ``100 * |A and B| >= 80 * |A or B|``. The j
 4. A list gives all its pairs if it is short. A long one (copies by the thousand, for example) gives
    the pairs of its first member with the others, and is kept. Candidates are verified on the texts.
 5. Kept lists whose members are in one component by now are done: more links inside it change
-   nothing. The others get further first members, and at last all pairs between components.
+   nothing. The others get another first member. Members of lists that are open even then are put in
+   an order of their own, by how many of them have a shingle, all shingles counted: what they have in
+   common comes last, so only those meet that share more. What such a list leaves open gives its pairs.
 
 So a group of copies costs its size and not its square, and no link between components is missed.
 The order of step 2 only steers the cost: the weights come from all documents (how often shingles
@@ -30,7 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktally.llm.components import components
@@ -44,8 +46,10 @@ ORDERED = 1 << 18
 SHORT_LIST = 12
 #: A candidate costs so many times what a list entry costs.
 VERIFY_COST = 20
-#: Times that a long list gets another first member before all pairs between components are taken.
-ROUNDS = 2
+#: Times that a long list gets another first member before its members are ordered anew.
+ROUNDS = 1
+#: Pairs of one document that meet its text in one task.
+PAIRS = 256
 BOUNDARIES = (3, 6, 9, 12, 16, 20, 25, 32, 40, 50, 64, 80, 100, 128)
 
 _CHUNK = 1 << 21
@@ -272,13 +276,38 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                     good.append(100 * shared >= 80 * (len(x) + len(y) - shared))
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    def of(side: str) -> DataFrame:
-        """Texts of one side; with few pairs only these are moved."""
-        named = texts.select(F.col("doc").alias(side), F.col("text").alias(f"text_{side}"))
-        return named.join(pairs.select(side).distinct(), side, "left_semi").hint("merge")
+    busy = {}
+    for side in ("b", "a"):
+        sizes = pairs.groupBy(side).agg(F.ceil(F.count("*") / PAIRS).alias("salts"))
+        busy[side] = stored(sizes.where("salts > 1"), "busy")
+    for side in ("b", "a"):
+        pairs = _with_texts(pairs, texts, side, busy[side])
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
-    both = pairs.join(of("b"), "b").join(of("a"), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
+
+def _found(entries: DataFrame, short: int) -> DataFrame:
+    dealt = entries.repartition("key").sortWithinPartitions("key", "n", "doc")
+    kinds = "kind tinyint, a bigint, b bigint, n bigint, rest bigint"
+    return stored(dealt.mapInArrow(_candidates(short), kinds), "candidates")
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame, side: str, busy: DataFrame) -> DataFrame:
+    """The pairs with the texts of one side; of all texts only these are moved.
+
+    ``busy`` documents, the head of a long list for example, have many pairs: these are spread over
+    salts, and the text is sent to each.
+    """
+    other = "a" if side == "b" else "b"
+    named = texts.select(F.col("doc").alias(side), F.col("text").alias(f"text_{side}"))
+    wanted = named.join(pairs.select(side).distinct(), side, "left_semi").hint("merge")
+    if busy.isEmpty():
+        return pairs.join(wanted, side)
+    rest = pairs.join(busy, side, "left_anti").join(wanted, side)
+    salt = F.pmod(F.xxhash64(other), F.col("salts"))
+    spread = pairs.join(busy, side).withColumn("salt", salt).drop("salts")
+    sent = named.join(busy, side).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)))
+    hot = spread.join(sent.drop("salts"), [side, "salt"]).drop("salt")
+    return rest.unionByName(hot)
 
 
 def _open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -309,28 +338,63 @@ def _across(lists: DataFrame) -> DataFrame:
     ).select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b")).distinct()
 
 
+def _reordered(lists: DataFrame, texts: DataFrame, size: int, short: int) -> DataFrame:
+    """Pairs and lists of the documents in ``lists``, by shingles that are rare among these.
+
+    What a list's members have in common comes last in this order, so members that share no more than
+    that meet no longer; linked ones still share a shingle of both prefixes.
+    """
+    docs = texts.join(lists.select("doc").distinct().hint("merge"), "doc", "left_semi")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, found in _sets(batches, size):
+            columns = {"token": found.view(np.int64), "doc": np.full(len(found), doc), "n": np.full(len(found), len(found))}
+            yield _table(columns)
+
+    sets = docs.select(F.col("doc").alias("doc_id"), "text").mapInArrow(write, "token bigint, doc bigint, n bigint")
+    sets = stored(sets, "shingles")
+    weights = stored(sets.groupBy("token").agg(F.count("*").alias("weight")), "weights")
+    place = F.row_number().over(Window.partitionBy("doc").orderBy("weight", "token")) - 1
+    prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1
+    entries = sets.join(weights, "token").withColumn("place", place).where(F.col("place") < prefix)
+    entries = entries.select(F.col("token").alias("key"), "n", (F.col("n") - F.col("place")).alias("rest"), "doc")
+    return _found(entries, short)
+
+
 def close_lists(
-    lists: DataFrame, texts: DataFrame, size: int, tried: DataFrame | None = None, links: DataFrame | None = None
+    lists: DataFrame,
+    texts: DataFrame,
+    size: int,
+    tried: DataFrame | None = None,
+    links: DataFrame | None = None,
+    short: int = SHORT_LIST,
 ) -> DataFrame:
     """Components of all links between members of a list, each ``node`` with its ``component``.
 
     ``lists`` has ``key, doc, n, rest``; pairs that were ``tried`` before and the ``links`` among them
-    are taken over. Only pairs between what is not yet together are verified.
+    are taken over. Only pairs between what is not yet together are verified. Lists that are still open
+    after ``ROUNDS`` turns are made anew from their members; what is open after that gives its pairs.
     """
     spark = lists.sparkSession
     nothing = spark.createDataFrame([], "a bigint, b bigint")
     tried, links = tried if tried is not None else nothing, links if links is not None else nothing
     joined = components(links)
-    for turn in range(ROUNDS + 1):
+    columns = ["key", "doc", "n", "rest"]
+    for turn in range(2 * ROUNDS + 2):
         lists = stored(_open_lists(lists, joined), "open")
         if lists.isEmpty():
             break
-        more = _star(lists, turn) if turn < ROUNDS else _across(lists)
+        if turn == ROUNDS:
+            found = _reordered(lists, texts, size, short)
+            more = found.where("kind = 0").select("a", "b").distinct()
+            lists = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc"), "n", "rest")
+        else:
+            more = _star(lists, turn) if turn <= 2 * ROUNDS else _across(lists)
+            lists = lists.select(columns)
         more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(stored(_verify(more, texts, size), "links"))
         tried = tried.unionByName(more)
         joined = stored(components(links), "components")
-        lists = lists.select("key", "doc", "n", "rest")
     return joined
 
 
@@ -359,12 +423,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
     boundary = _boundary(classes, VERIFY_COST * shared / total)
 
     entries = docs.mapInArrow(_entries(order, boundary, size), "key bigint, n bigint, rest bigint, doc bigint")
-    found = stored(
-        entries.repartition("key")
-        .sortWithinPartitions("key", "n", "doc")
-        .mapInArrow(_candidates(short), "kind tinyint, a bigint, b bigint, n bigint, rest bigint"),
-        "candidates",
-    )
+    found = _found(entries, short)
 
     def representatives(df: DataFrame, name: str) -> DataFrame:
         names = member.select(F.col("doc").alias(name), F.col("rep").alias(f"{name}_rep"))
@@ -386,7 +445,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
     several = member.groupBy("doc").agg(F.count("*").alias("sets")).where("sets > 1").select("doc")
     same = member.join(several, "doc", "left_semi").where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
     links = stored(_verify(pairs, texts, size).unionByName(same), "links")
-    joined = close_lists(lists, texts, size, pairs, links)
+    joined = close_lists(lists, texts, size, pairs, links, short)
 
     top = member.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     of_set = top.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))

@@ -55,7 +55,8 @@ def near_copies() -> list[tuple[int, str | None]]:
 
 
 @pytest.mark.parametrize("short", [2, 12])
-def test_jaccard_components(spark, short):
+def test_jaccard_components(spark, short, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PAIRS", 4 * short)
     rows = near_copies()
     want = linked_components(rows)
     found = ngram_join.jaccard_components(documents(spark, rows, extra=True), short=short).collect()
@@ -75,6 +76,30 @@ def test_jaccard_components_of_odd_rows(spark):
     assert ngram_join.jaccard_components(documents(spark, [])).collect() == []
 
 
+def test_a_common_opening_gives_few_pairs(spark, monkeypatch):
+    """Documents that share no more than their opening are not compared with each other."""
+    rng = random.Random(6)
+    opening = sentence(rng, 14)
+    texts = [f"{opening} {sentence(rng, rng.randrange(20, 40), 10**6)}" for _ in range(1500)]
+    texts += [changed(rng, texts[i], 1) + " w" for i in range(0, 200, 4)]
+    compared, verify = [], ngram_join._verify
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_verify", counted)
+    monkeypatch.setattr(ngram_join, "PAIRS", 50)
+    found = ngram_join.jaccard_components(documents(spark, texts), ordered=0).collect()
+    sets = [shingle_set(t) for t in texts]
+    want = {i: i for i in range(len(texts))}
+    for k, i in enumerate(range(0, 200, 4)):
+        if 100 * len(sets[i] & sets[1500 + k]) >= 80 * len(sets[i] | sets[1500 + k]):
+            want[1500 + k] = i
+    assert {r.doc_id: r.component_id for r in found} == want
+    assert sum(compared) < 40 * len(texts)
+
+
 def test_candidates_of_a_very_long_list_go_on():
     """A list that is taken in parts keeps its members and gives pairs across the parts."""
     import numpy as np
