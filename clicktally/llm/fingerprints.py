@@ -72,10 +72,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id bigint, fingerprint string")
 
 
-def _with_next(docs: DataFrame) -> DataFrame:
+def _with_next(docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """Documents in ranges of ids, each sorted and followed by the first document of the next range.
 
-    Texts are moved once. The limits of the ranges, one per shuffle partition, are all that the driver sees.
+    The rows of ``classes`` come before the documents of their id. Texts are moved once. The limits of the ranges, one per shuffle partition, are all that the driver sees.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lowest = -(1 << 63)
@@ -111,13 +111,27 @@ def _with_next(docs: DataFrame) -> DataFrame:
                 columns = [pa.array(owner), pa.array(np.full(rows.num_rows, guest)), *rows.columns]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
+    def deal_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner = pa.array(ranges(batch.column("place").to_numpy()))
+            yield pa.RecordBatch.from_arrays([owner, *batch.columns], ["range", *batch.schema.names])
+
     dealt = docs.mapInArrow(deal, "range bigint, guest boolean, place bigint, doc_id bigint, text string")
-    return dealt.repartition(n, "range").sortWithinPartitions("range", "guest", "place", "text")
+    dealt = dealt.withColumn("class_id", F.lit(None).cast("bigint"))
+    if classes is not None:
+        named = classes.select(F.col("doc_id").alias("place"), "class_id").where("place IS NOT NULL")
+        named = named.mapInArrow(deal_classes, "range bigint, place bigint, class_id bigint")
+        dealt = dealt.unionByName(named.withColumn("guest", F.lit(False)), allowMissingColumns=True)
+    return dealt.repartition(n, "range").sortWithinPartitions("range", "guest", "place", F.asc_nulls_last("class_id"), "text")
 
 
-def edits(docs: DataFrame) -> DataFrame:
+def edits(docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """Fingerprints of every document, of its text with the last quarter taken from the next document,
-    and how alike it is to both."""
+    and how alike it is to both.
+
+    With ``classes``, one row of ``doc_id, class_id`` for each document whose class has another id, every
+    document has its ``class_id`` too. They travel with the texts.
+    """
 
     def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         """All rows but the last, which only serves as the next one."""
@@ -137,33 +151,51 @@ def edits(docs: DataFrame) -> DataFrame:
                 _hex(after),
                 _likeness(sign[:-1], after),
                 _likeness(sign[:-1], sign[1:]),
+                rows.column("class_id").slice(0, len(texts)).combine_chunks(),
             ],
-            ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id"],
         )
         yield batch.filter(pa.array(mine))
 
+    def classed(batch: pa.RecordBatch, last: list) -> pa.RecordBatch:
+        """The documents of a batch with the class that came last before them, if it is their id's."""
+        known = batch.column("class_id").is_valid().to_numpy(zero_copy_only=False)
+        place = np.concatenate([[last[0]], batch.column("place").to_numpy()])
+        value = np.concatenate([[last[1]], batch.column("class_id").fill_null(0).to_numpy()])
+        at = np.maximum.accumulate(np.concatenate([[0], np.where(known, np.arange(1, len(known) + 1), 0)]))
+        last[:] = place[at[-1]], value[at[-1]]
+        docs = batch.filter(pa.array(~known))
+        own, at = docs.column("doc_id"), at[1:][~known]
+        same = (place[at] == docs.column("place").to_numpy()) & own.is_valid().to_numpy(zero_copy_only=False)
+        found = pa.array(np.where(same, value[at], own.fill_null(0).to_numpy()), mask=own.is_null().to_numpy(zero_copy_only=False))
+        return docs.set_column(docs.schema.get_field_index("class_id"), "class_id", found)
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, last = None, [-(1 << 63), -(1 << 63)]
         for batch in slices(batches, "text", 1 << 21):
+            batch = classed(batch, last)
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
             if table.num_rows > 1:
                 yield from compare(table)
             held = table.slice(table.num_rows - 1)  # the last row of a range is a guest
 
-    return _with_next(docs).mapInArrow(
+    found = _with_next(docs, classes).mapInArrow(
         walk,
         "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
-        " near_edited double, near_next double",
+        " near_edited double, near_next double, class_id bigint",
     )
+    return found.drop("class_id") if classes is None else found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``class_id``, the smallest id that is reached by verified pairs of a band.
 
     Equal texts form a class first. A band that many share gives the pairs of one member with the
-    others, then those between what is not yet together, so a large group costs its size.
+    others, then those between what is not yet together, so a large group costs its size. Rows without
+    id are kept, without a class; texts without words are in a class of their own.
     """
+    every = docs.select(F.col("doc_id").cast("bigint"))
     docs = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL")
     sizes = stored(summaries(docs, SHINGLE).where("n > 0"), "sets")
     classes = sizes.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))
@@ -188,6 +220,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     joined = close_lists(lists, texts, SHINGLE)
     found = member.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     classed = found.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
-    return docs.select("doc_id").join(classed.withColumnRenamed("doc", "doc_id"), "doc_id", "left").select(
+    return every.join(classed.withColumnRenamed("doc", "doc_id"), "doc_id", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id")
     )

@@ -48,8 +48,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's fingerprint beside that of its edited text and of the next document."""
-    return fingerprints.edits(_table(spark, sf_dir, "documents"))
+    """Every document's fingerprint beside that of its edited text and of the next document, and its class
+    of near-duplicates."""
+    docs = _table(spark, sf_dir, "documents")
+    classes = fingerprints.near_duplicates(docs).where("class_id <> doc_id").distinct()
+    return fingerprints.edits(docs, classes)
 
 
 def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -218,6 +218,32 @@ def test_edits_of_odd_tables(spark):
     assert fingerprints.edits(documents(spark, [])).collect() == []
 
 
+def test_edits_carry_the_classes(spark):
+    rng = random.Random(8)
+    texts = [sentence(rng, 40) for _ in range(30)]
+    rows = [(i * 7 % 211, changed(rng, texts[i % 30], i % 2)) for i in range(200)] + [(5, "x"), (5, texts[0]), (None, texts[1]), (None, None), (-1, "")]
+    docs = documents(spark, rows).repartition(6)
+    classes = fingerprints.near_duplicates(docs)
+    assert classes.count() == len(rows)
+    want = {(r.doc_id, r.class_id) for r in classes.collect()}
+    found = fingerprints.edits(docs, classes.where("class_id <> doc_id").distinct())
+    plain = fingerprints.edits(docs)
+    assert found.drop("class_id").exceptAll(plain).count() == 0 == plain.exceptAll(found.drop("class_id")).count()
+    assert {(r.doc_id, r.class_id) for r in found.collect()} == want
+    assert (None, None) in want and sum(a != b for a, b in want) > 50
+
+
+def test_recall_of_the_bands(spark):
+    """Against all pairs of the given documents: at least 0.9 of the links, and no wrong one."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = linked_components(rows)
+    found = {r.doc_id: r.class_id for r in fingerprints.near_duplicates(docs).collect()}
+    together = [(a, b) for a, b in want.items() if a != b]
+    assert len(together) > 20 and sum(found[a] == found[b] for a, b in together) >= 0.9 * len(together)
+    assert all(want[a] == want[b] for a, b in found.items())
+
+
 def test_near_duplicates(spark):
     rows = near_copies()
     rows = [(d, t) for d, t in rows if t is None or len(t) < 50_000]
