@@ -8,6 +8,7 @@ on document and stretch of text, with the distance as a condition.
 
 Everything is made of built-in functions. Positions come from the lengths of the pieces between
 matches, summed along the document by a window over its matches; only numbers are moved, not texts.
+The matches, a small part of the texts, are stored once, so no pattern runs twice over a text.
 
 Defined results: null is an empty text, which has no spans; whole texts are scanned, however long;
 rows with the same id and text have the same spans, each of them is returned; a row without id is
@@ -23,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicktally.llm.store import stored
+
 SCOPE = 200
 IDENTIFIER, SECRET, ADDRESS = "identifier", "secret", "address"
 
@@ -183,7 +186,7 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """One row per document: ``doc_id``, and ``spans``: structs ``start, kind, end`` in order, with the
     kind as its place in ``KINDS``."""
     spans = (
-        link(parts(docs), scope)
+        link(stored(parts(docs), "parts"), scope)
         .groupBy("doc_id", "mark")
         .agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
     )
@@ -215,7 +218,7 @@ def report(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[removed]") -> DataFrame:
     """The same rows and columns, with every span in ``text`` replaced by ``mark``."""
     spans = (
-        link(parts(docs), scope)
+        link(stored(parts(docs), "parts"), scope)
         .groupBy("doc_id", "mark")
         .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
         .select(F.col("doc_id").alias("span_doc"), F.col("mark").alias("span_mark"), F.col("spans").alias("span_list"))
