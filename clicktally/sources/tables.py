@@ -4,11 +4,18 @@ A table keeps every batch in a folder of its own, ``run=R/batch=B``, below that
 write replaces exactly the folder of its batch, so a batch that is delivered again gives the same
 table, whatever was lost half-way, and no write has to read or rewrite earlier data. How batches
 meet (latest count, sum, newest group, or all rows) is decided on reading, in one aggregation by
-the table's key; a filter on ``date`` reaches the partitions. :func:`compact` copies a table into
-few large files.
+the table's key; a filter on ``date`` reaches the partitions.
+
+:func:`fold` brings the batches of closed dates together while a job goes on writing: it writes their
+merged rows to ``_folds/rows`` and then, in one file, which dates and versions they stand for. Readers
+take the rows of a fold and leave out what it stands for; a fold without that file is not there.
+:func:`remove_folded` deletes what no reader takes any more. :func:`compact` copies a whole table.
+
+A delete writes rows that are marked as such and take away what was before them, see
+:func:`delete_keys`.
 
 ``batch`` numbers grow within a ``run``; use a higher run for each new checkpoint. One writer per
-table.
+table, and one that folds.
 """
 
 from __future__ import annotations
@@ -19,11 +26,12 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from clicktally.config import if_exists
+from clicktally.operators.stored import split_by_key
 from clicktally.schemas import TableSpec
 
 # Batches per run; a run and a batch make one BIGINT version.
@@ -32,6 +40,10 @@ _BATCHES = 10**12
 _OWNER = "_stream"
 # Compacted rows come before every run.
 _COMPACTED_RUN = -1
+# What else lies beside the batches, hidden from Spark's readers of the whole folder.
+_FOLDS, _AFFECTED, _COPY = "_folds", "_affected", "_copy"
+# Marks a row that takes away what was stored for its key.
+_DELETED = "_deleted"
 
 
 _SETTING = threading.RLock()
@@ -45,50 +57,115 @@ class ResultTable:
     path: str
 
 
+@dataclass(frozen=True)
+class Fold:
+    """Rows of the dates ``first`` to ``last`` (all rows, without dates) up to a version, in one place."""
+
+    number: int
+    first: str | None
+    last: str | None
+    upto: int
+
+    def stands_for(self, dated: bool) -> Column:
+        """Which dates a fold covers; never null."""
+        if not dated or self.first is None:
+            return F.lit(True)
+        return F.coalesce(F.col("date").between(self.first, self.last), F.lit(False))
+
+
+_FOLD = "fold int, first string, last string, upto bigint"
+
+
 def _version() -> Column:
     return F.col("run") * F.lit(_BATCHES) + F.col("batch")
 
 
+def folds(spark: SparkSession, table: ResultTable) -> list[Fold]:
+    """The folds of a table, oldest first; a row each, and those that a later one covers are left out."""
+    found = if_exists(lambda: spark.read.schema(_FOLD).parquet(f"{table.path}/{_FOLDS}/done"))
+    every = [Fold(r.fold, r.first, r.last, r.upto) for r in found.orderBy("fold").collect()] if found is not None else []
+    return [
+        f for f in every
+        if not any(g.number > f.number and (g.first is None or (f.first is not None and g.first <= f.first and f.last <= g.last)) for g in every)
+    ]
+
+
+def _log(spark: SparkSession, table: ResultTable, done: Sequence[Fold] | None = None) -> DataFrame:
+    """The rows that count: of the batches what no fold stands for, and of each fold what no later one does.
+
+    Versions and dates are folders, so what is left out is not read.
+    """
+    done = folds(spark, table) if done is None else done
+    dated = bool(table.spec.partition_columns)
+    own = [*table.spec.schema.fields, StructField(_DELETED, BooleanType())]
+    versions = [StructField("run", LongType()), StructField("batch", LongType())]
+    schema = StructType([*own, *versions])
+    rows = if_exists(lambda: spark.read.schema(schema).parquet(table.path))
+    rows = spark.createDataFrame([], schema) if rows is None else rows.select(*schema.names)
+    for f in done:
+        rows = rows.filter(~(f.stands_for(dated) & (_version() <= F.lit(f.upto))))
+    if not done:
+        return rows
+    folded = spark.read.schema(StructType([*schema.fields, StructField("fold", LongType())])).parquet(f"{table.path}/{_FOLDS}/rows")
+    folded = folded.filter(F.col("fold").isin([f.number for f in done]))
+    for f in done:
+        folded = folded.filter(~(f.stands_for(dated) & (F.col("fold") < f.number)))
+    return rows.unionByName(folded.select(*schema.names))
+
+
 def change_log(spark: SparkSession, table: ResultTable) -> DataFrame:
-    """All rows of all batches, with ``run`` and ``batch``."""
-    schema = StructType(
-        table.spec.schema.fields
-        + [StructField("run", LongType()), StructField("batch", LongType())]
-    )
-    log = if_exists(lambda: spark.read.schema(schema).parquet(table.path))
-    if log is None:
-        return spark.createDataFrame([], schema)
-    return log.select(*schema.names)
+    """All rows of all batches, with ``run`` and ``batch``; of what was folded the merged rows."""
+    return _log(spark, table).filter(~F.coalesce(F.col(_DELETED), F.lit(False))).drop(_DELETED)
+
+
+def _merged(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """What the rows of a log come to, with the ``version`` that each row stands at.
+
+    One aggregation by the key, or one ranking: Spark limits it before the shuffle to the newest rows.
+    """
+    names = spec.schema.names
+    gone = F.coalesce(F.col(_DELETED), F.lit(False))
+    rows = rows.withColumn("version", _version())
+    if spec.merge == "append":
+        return rows.select(*names, "version")
+    if spec.merge == "sum":
+        found = rows.groupBy(*spec.keys).agg(
+            F.sum("clickCount").alias("clickCount"),
+            F.max(F.when(~gone, F.col("version"))).alias("version"),
+            F.max(F.when(gone, F.col("version"))).alias("_gone"),
+        )
+        return found.filter("version > coalesce(_gone, version - 1)").select(*names, "version")
+    if spec.merge == "latest":
+        newest = F.max_by(F.struct(gone.alias("gone"), "clickCount"), "version").alias("_newest")
+        found = rows.groupBy(*spec.keys).agg(newest, F.max("version").alias("version")).filter("NOT _newest.gone")
+        return found.select(*spec.keys, F.col("_newest.clickCount").alias("clickCount"), "version").select(*names, "version")
+    place = F.rank().over(Window.partitionBy(*spec.keys).orderBy(F.desc("version")))
+    return rows.withColumn("_place", place).filter("_place = 1").filter(~gone).select(*names, "version")
 
 
 def read_table(
     spark: SparkSession, table: ResultTable, before: tuple[int, int] | None = None
 ) -> DataFrame:
-    """The rows of a table, or those it had ``before`` a (run, batch) was written."""
-    spec = table.spec
-    rows = change_log(spark, table)
+    """The rows of a table, or those it had ``before`` a (run, batch) was written.
+
+    What a table was before a version that is folded is not kept.
+    """
+    done = folds(spark, table)
+    rows = _log(spark, table, done)
     if before is not None:
         run, batch = before
+        if any(f.upto >= run * _BATCHES + batch for f in done):
+            raise ValueError(f"{table.path}: run {run} batch {batch} is folded")
         rows = rows.filter((F.col("run") < run) | ((F.col("run") == run) & (F.col("batch") < batch)))
-    if spec.merge == "append":
-        return rows.select(*spec.schema.names)
-    if spec.merge == "sum":
-        total = F.sum("clickCount").alias("clickCount")
-        return rows.groupBy(*spec.keys).agg(total).select(*spec.schema.names)
-    if spec.merge == "latest":
-        newest = F.max_by("clickCount", _version()).alias("clickCount")
-        return rows.groupBy(*spec.keys).agg(newest).select(*spec.schema.names)
-    versioned = rows.withColumn("version", _version())
-    newest_group = versioned.groupBy(*spec.keys).agg(F.max("version").alias("version"))
-    return versioned.join(newest_group, [*spec.keys, "version"]).select(*spec.schema.names)
+    return _merged(rows, table.spec).drop("version")
 
 
 def is_empty(spark: SparkSession, table: ResultTable) -> bool:
-    return change_log(spark, table).isEmpty()
+    return _log(spark, table).isEmpty()
 
 
 def batch_rows(spark: SparkSession, table: ResultTable, batch: int, run: int = 0) -> int:
-    """How many rows a batch wrote; answered from the file footers."""
+    """How many rows a batch wrote that is not folded; answered from the file footers."""
     log = change_log(spark, table)
     return log.filter((F.col("run") == run) & (F.col("batch") == batch)).count()
 
@@ -143,23 +220,37 @@ def _adaptive(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def _write(rows: DataFrame, table: ResultTable, run: int, batch: int) -> None:
-    """Replace the folder of one batch.
+def _save(rows: DataFrame, path: str, parts: Sequence[str]) -> None:
+    """Replace one folder.
 
     One date may hold most rows: the rebalance splits it into files of normal size and brings small
     dates together in one task each.
     """
-    path = f"{table.path}/run={run}/batch={batch}"
-    parts = table.spec.partition_columns
     with _adaptive(rows.sparkSession):
-        if parts:
-            rows = rows.hint("rebalance", *parts)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(path)
 
 
+def _write(rows: DataFrame, table: ResultTable, run: int, batch: int, counts: Sequence[str] = ()) -> dict[str, int]:
+    """Replace the folder of one batch; how many rows have each of the ``counts`` as their ``action``.
+
+    They are counted by the tasks that write, after the last shuffle, so in no task twice.
+    """
+    parts = table.spec.partition_columns
+    if parts:
+        rows = rows.hint("rebalance", *parts)
+    path = f"{table.path}/run={run}/batch={batch}"
+    if not counts:
+        _save(rows, path, parts)
+        return {}
+    seen = Observation()
+    of = [F.coalesce(F.count_if(F.col("action") == c), F.lit(0)).alias(c) for c in counts]
+    _save(rows.observe(seen, *of).drop("action"), path, parts)
+    return {c: seen.get[c] for c in counts}
+
+
 def _require_merge(table: ResultTable, merge: str) -> None:
     if table.spec.merge != merge:
         raise ValueError(f"{table.spec.name} is kept by '{table.spec.merge}', not by '{merge}'")
@@ -198,13 +289,54 @@ def append(new: DataFrame, table: ResultTable, batch: int, run: int = 0) -> None
     _write(rows, table, run, batch)
 
 
+def _near(new: DataFrame, table: ResultTable, before: tuple[int, int]) -> DataFrame:
+    """The stored rows that (cached) new ones may meet: their range of dates and their keys only."""
+    spec = table.spec
+    stored = read_table(new.sparkSession, table, before)
+    if spec.partition_columns:
+        first, last = new.agg(F.min("date"), F.max("date")).first()
+        stored = stored.filter(F.col("date").between(first, last))
+    # With few new rows Spark broadcasts their keys and filters before the table is merged.
+    return stored.join(new.select(*spec.keys), list(spec.keys), "left_semi")
+
+
+def _upsert(rows: DataFrame, table: ResultTable, run: int, batch: int, counted: bool) -> dict[str, int]:
+    """Write merged rows of a batch; if ``counted``, with how many keys were stored before and how many not.
+
+    The counts lie beside the table, see :func:`affected_rows`. The look at the table leaves out this
+    very batch, so a batch that is delivered again has the same counts.
+    """
+    names = table.spec.schema.names
+    if not counted:
+        return _write(rows.select(*names), table, run, batch)
+    spark = rows.sparkSession
+    cached = rows.select(*names).persist()
+    try:
+        marked = split_by_key(cached, _near(cached, table, (run, batch)), table.spec.keys)
+        found = _write(marked, table, run, batch, ("update", "insert"))
+    finally:
+        cached.unpersist()
+    row = spark.range(1).select(*(F.lit(n).cast("bigint").alias(c) for c, n in found.items()))
+    row.coalesce(1).write.mode("overwrite").parquet(f"{table.path}/{_AFFECTED}/run={run}/batch={batch}")
+    return found
+
+
+def affected_rows(spark: SparkSession, table: ResultTable) -> DataFrame:
+    """``run, batch, update, insert``: how many stored keys each counted batch met, and how many new ones."""
+    kind = "run bigint, batch bigint, `update` bigint, `insert` bigint"
+    found = if_exists(lambda: spark.read.schema(kind).parquet(f"{table.path}/{_AFFECTED}"))
+    names = ("run", "batch", "update", "insert")
+    return spark.createDataFrame([], kind) if found is None else found.select(*names)
+
+
 def upsert_overwrite(
-    new: DataFrame, table: ResultTable, batch: int, run: int = 0, unique: bool = False
-) -> None:
+    new: DataFrame, table: ResultTable, batch: int, run: int = 0, unique: bool = False, counted: bool = False
+) -> dict[str, int]:
     """Set the count of each key, whether the key is stored or not.
 
     Fails on a missing key part or a key given twice; ``unique=True`` says that the rows come from
-    a grouping by the key, which saves the check for the latter.
+    a grouping by the key, which saves the check for the latter. With ``counted``, how many keys were
+    an ``update`` and how many an ``insert`` is returned and kept.
     """
     spec = table.spec
     _require_merge(table, "latest")
@@ -217,17 +349,19 @@ def upsert_overwrite(
         )
         failure = failure | (F.col("_rows") > 1)
     rows = _checked(rows, failure, f"{spec.name}: a key has a missing part or comes twice")
-    _write(rows.select(*spec.schema.names), table, run, batch)
+    return _upsert(rows, table, run, batch, counted)
 
 
-def upsert_accumulate(new: DataFrame, table: ResultTable, batch: int, run: int = 0) -> None:
-    """Add counts to those stored; rows of one key in a batch are summed first."""
+def upsert_accumulate(
+    new: DataFrame, table: ResultTable, batch: int, run: int = 0, counted: bool = False
+) -> dict[str, int]:
+    """Add counts to those stored; rows of one key in a batch are summed first. ``counted`` as above."""
     spec = table.spec
     _require_merge(table, "sum")
     _require_number(run, batch)
     rows = new.groupBy(*spec.keys).agg(F.sum("clickCount").alias("clickCount"))
     rows = _checked(rows, _no_key(spec.keys), f"{spec.name}: a key has a missing part")
-    _write(rows.select(*spec.schema.names), table, run, batch)
+    return _upsert(rows, table, run, batch, counted)
 
 
 def replace_groups(new: DataFrame, table: ResultTable, batch: int, run: int = 0) -> None:
@@ -240,28 +374,177 @@ def replace_groups(new: DataFrame, table: ResultTable, batch: int, run: int = 0)
     _write(rows, table, run, batch)
 
 
+def _deletions(gone: DataFrame, table: ResultTable, run: int, batch: int) -> DataFrame:
+    """Rows that take the keys in ``gone`` away; in a table of sums with what they come to, turned round."""
+    spec = table.spec
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in spec.schema.fields if f.name not in spec.keys}
+    if spec.merge == "sum":
+        stored = read_table(gone.sparkSession, table, before=(run, batch))
+        rows = stored.join(gone.select(*spec.keys).distinct(), list(spec.keys), "left_semi")
+        rows = rows.withColumn("clickCount", -F.col("clickCount"))
+    else:
+        rows = gone.select(*spec.keys).distinct().withColumns(empty)
+    return rows.select(*spec.schema.names, F.lit(True).alias(_DELETED))
+
+
+def delete_keys(gone: DataFrame, table: ResultTable, batch: int, run: int = 0) -> None:
+    """Delete the rows of all keys in ``gone`` (key groups, in a table kept by groups), as a batch.
+
+    A key that is not stored is no error, and one that comes in a later batch is there again. A batch
+    that is delivered again deletes the same.
+    """
+    if table.spec.merge == "append":
+        raise ValueError(f"{table.spec.name} has no keys")
+    _require_number(run, batch)
+    rows = _deletions(gone.filter(~_no_key(table.spec.keys)), table, run, batch)
+    _write(rows, table, run, batch)
+
+
+def _by_date(rows: DataFrame, name: str) -> DataFrame:
+    """Rows and a sum of hashes per date, as one struct."""
+    mark = F.sum(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)).cast("decimal(38,0)"))
+    return rows.groupBy("date").agg(F.struct(F.count("*").alias("n"), mark.alias("mark")).alias(name))
+
+
+def repair(recount: DataFrame, table: ResultTable, batch: int, first: str, last: str, run: int = 0) -> dict[str, int]:
+    """Make the stored counts of the dates ``first`` to ``last`` those of ``recount``, as a batch.
+
+    ``recount`` has the counts of these dates, taken anew from the feed. Both sides are compared by a sum
+    of hashes per date, and by key only in dates that differ. Returns how many keys were ``altered``,
+    ``lost`` and ``extra``; only these are written. No state is needed, and other dates are not read.
+    """
+    spec = table.spec
+    if spec.merge not in ("latest", "sum") or "date" not in spec.keys:
+        raise ValueError(f"{spec.name} is kept by {spec.merge!r}: only counts per date are repaired")
+    _require_number(run, batch)
+    spark, names, keys = recount.sparkSession, spec.schema.names, list(spec.keys)
+    inside = F.col("date").between(first, last)
+    new = recount.select(*names).filter(inside).persist()
+    try:
+        stored = read_table(spark, table, before=(run, batch)).filter(inside).select(*names)
+        both = _by_date(new, "new").join(_by_date(stored, "old"), "date", "full")
+        dates = [r.date for r in both.filter("NOT new <=> old").select("date").collect()]  # a row per date
+        if not dates:
+            return dict.fromkeys(("altered", "lost", "extra"), 0)
+        named = [
+            rows.filter(F.col("date").isin(dates)).select(*keys, F.col("clickCount").alias(name), F.lit(True).alias(f"in_{name}"))
+            for rows, name in ((new, "new"), (stored, "old"))
+        ]
+        action = (
+            F.when(F.col("in_old").isNull(), "lost").when(F.col("in_new").isNull(), "extra")
+            .when(~F.col("new").eqNullSafe(F.col("old")), "altered").alias("action")
+        )
+        differ = named[0].join(named[1], keys, "full").select(*keys, "new", "old", action).filter("action IS NOT NULL")
+        extra = F.col("action") == "extra"
+        zero = F.lit(0).cast("bigint")
+        if spec.merge == "sum":  # what has to be added
+            count = F.coalesce("new", zero) - F.coalesce("old", zero)
+        else:
+            count = F.when(~extra, F.col("new"))
+        rows = differ.withColumns({"clickCount": count, _DELETED: extra}).select(*names, _DELETED, "action")
+        rows = _checked(rows, _no_key(spec.keys), f"{spec.name}: a key has a missing part")
+        return _write(rows, table, run, batch, ("altered", "lost", "extra"))
+    finally:
+        new.unpersist()
+
+
+def fold(spark: SparkSession, table: ResultTable, first: str | None = None, last: str | None = None) -> Fold | None:
+    """Bring the batches of the dates ``first`` to ``last`` together, beside a job that goes on writing.
+
+    The newest batch, which may still be written or come again, is left as it is. The rows come first
+    and the file that makes them count comes last, so a stop at any point leaves the table as it was;
+    the next call then writes anew. Late rows of a folded date count on top of it. Without dates, all
+    rows of the table are folded.
+    """
+    if (first is None) != (last is None) or (first is not None and not table.spec.partition_columns):
+        raise ValueError("a first and a last date, or none of them")
+    done = folds(spark, table)
+    log = _log(spark, table, done)
+    version = _version()
+    newest = log.agg(F.max(version)).first()[0]
+    upto = log.filter(version < F.lit(newest)).agg(F.max(version)).first()[0] if newest is not None else None
+    if upto is None or upto <= max((f.upto for f in done if (f.first, f.last) == (first, last)), default=-1 - _BATCHES):
+        return None
+    written = if_exists(lambda: spark.read.schema(_FOLD).parquet(f"{table.path}/{_FOLDS}/done"))
+    number = 1 + ((written.agg(F.max("fold")).first()[0] or 0) if written is not None else 0)
+    own = Fold(number, first, last, upto)
+    dated = bool(table.spec.partition_columns)
+    rows = _merged(log.filter(own.stands_for(dated) & (version <= F.lit(upto))), table.spec)
+    low = F.floor(F.col("version") / F.lit(_BATCHES)).cast("bigint")
+    rows = rows.withColumns({"run": low, "batch": F.col("version") - low * F.lit(_BATCHES)}).drop("version")
+    if dated:
+        rows = rows.hint("rebalance", "date")
+    _save(rows, f"{table.path}/{_FOLDS}/rows/fold={number}", table.spec.partition_columns)
+    row = spark.createDataFrame([(number, first, last, upto)], _FOLD)
+    row.coalesce(1).write.mode("append").parquet(f"{table.path}/{_FOLDS}/done")
+    return own
+
+
+def remove_folded(spark: SparkSession, table: ResultTable) -> int:
+    """Delete the folders that no reader takes any more, and return how many.
+
+    A reader that started before the fold may still read them: wait until those have ended.
+    """
+    done, dated = folds(spark, table), bool(table.spec.partition_columns)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(table.path).getFileSystem(spark._jsc.hadoopConfiguration())
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+
+    def covered(date: str | None, version: int, after: int) -> bool:
+        return any(
+            f.number > after and version <= f.upto and (f.first is None or (date is not None and f.first <= date <= f.last)) for f in done
+        )
+
+    def found(pattern: str) -> list:
+        return list(files.globStatus(path(f"{table.path}/{pattern}")) or ())
+
+    gone = []
+    for status in found("run=*/batch=*/date=*" if dated else "run=*/batch=*"):
+        parts = dict(part.split("=", 1) for part in status.getPath().toString().split("/") if part.startswith(("run=", "batch=", "date=")))
+        date = unescape(parts["date"]) if dated else None
+        if covered(date, int(parts["run"]) * _BATCHES + int(parts["batch"]), 0):
+            gone.append(status.getPath())
+    newest = max((f.number for f in done), default=0)
+    for status in found(f"{_FOLDS}/rows/fold=*/date=*" if dated else f"{_FOLDS}/rows/fold=*"):
+        parts = dict(part.split("=", 1) for part in status.getPath().toString().split("/") if part.startswith(("fold=", "date=")))
+        date, number = unescape(parts["date"]) if dated else None, int(parts["fold"])
+        if number <= newest and (covered(date, -_BATCHES, number) or number not in {f.number for f in done}):
+            gone.append(status.getPath())
+    for folder in gone:
+        files.delete(folder, True)
+    for status in found("run=*/batch=*") if dated else ():
+        if not [x for x in files.listStatus(status.getPath()) if x.isDirectory()]:
+            files.delete(status.getPath(), True)
+    return len(gone)
+
+
 def compact(spark: SparkSession, table: ResultTable, target_path: str) -> ResultTable:
     """Copy a table to a new path with its merged rows in one batch folder.
 
     The newest batch, which a restarted stream may deliver again, stays a batch of its own. The
     source is not touched; switch the writer over while it is stopped. The tie to the writer's
-    checkpoint goes along, as the last step.
+    checkpoint goes along. A copy that was stopped half-way is made anew by the next call.
     """
     target = ResultTable(table.spec, target_path)
-    if not is_empty(spark, target):
+    begun, ended = f"{target_path}/{_COPY}/begun", f"{target_path}/{_COPY}/ended"
+    half = _mark(spark, begun) is not None and _mark(spark, begun) != _mark(spark, ended)
+    if not half and not is_empty(spark, target):
         raise ValueError(f"{target_path} holds a table already")
-    log = change_log(spark, table)
+    log = _log(spark, table)
     newest = log.agg(F.max(_version())).first()[0]
     if newest is None:
         return target
+    copy = uuid.uuid4().hex
+    _leave_mark(spark, begun, copy)
     run, batch = divmod(newest, _BATCHES)
     if run > _COMPACTED_RUN:
         _write(read_table(spark, table, before=(run, batch)), target, _COMPACTED_RUN, 0)
     last = log.filter((F.col("run") == run) & (F.col("batch") == batch))
-    _write(last.select(*table.spec.schema.names), target, run, batch)
+    _write(last.select(*table.spec.schema.names, _DELETED), target, run, batch)
     owner = _mark(spark, f"{table.path}/{_OWNER}")
     if owner is not None:
         _leave_mark(spark, f"{target_path}/{_OWNER}", owner)
+    _leave_mark(spark, ended, copy)
     return target
 
 

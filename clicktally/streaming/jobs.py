@@ -136,8 +136,8 @@ def start_table(
     """Add the ``counts`` of each batch of streaming ``rows`` to a table kept by sums.
 
     With a ``blacklist`` its users are left out, as the list is when the batch runs. With ``top``, for
-    counts per region, the top ads of the provinces are taken anew from the stored counts of the
-    batch's dates, and replace the groups there.
+    counts per region, the top ads of the dates and provinces that the batch touched are taken anew from
+    their stored counts, and replace the groups there.
     """
     if table.spec.merge != "sum":
         raise ValueError(f"a stream adds to a table kept by 'sum', not by {table.spec.merge!r}")
@@ -152,8 +152,9 @@ def start_table(
             added = change_log(spark, table).filter((F.col("run") == 0) & (F.col("batch") == batch_id))
             first, last = added.agg(F.min("date"), F.max("date")).first()
             stored = read_table(spark, table, before=(0, batch_id + 1)).filter(F.col("date").between(first, last))
-            dates = added.select("date").distinct()
-            replace_groups(province_top_ads(stored.join(dates, "date", "left_semi")), top, batch_id)
+            # Spark pushes the join below the merge: of the stored rows only those of touched groups are merged
+            groups = added.select("date", "province").distinct()
+            replace_groups(province_top_ads(stored.join(groups, ["date", "province"], "left_semi")), top, batch_id)
 
     return _started(rows.writeStream.foreachBatch(add), checkpoint, trigger)
 

@@ -1,0 +1,255 @@
+"""Folds beside a running job, deletes, repairs and affected rows, against tables that were never folded."""
+
+from __future__ import annotations
+
+import uuid
+from pathlib import Path
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from clicktally.operators.stored import split_by_key
+from clicktally.schemas import (
+    AD_BLACKLIST,
+    AD_PROVINCE_TOP3,
+    AD_USER_CLICK_COUNT,
+    INDEX_CLICK_COUNT,
+    INDEX_CLICK_COUNT_ROWS,
+    INDEX_CLICK_COUNT_SUM,
+)
+from clicktally.sources import tables
+from clicktally.sources.tables import ResultTable
+from tests.conftest import rows
+
+D = [f"2024-01-0{i}" for i in range(1, 6)]
+WRITE = {
+    "latest": tables.upsert_overwrite,
+    "sum": tables.upsert_accumulate,
+    "group": tables.replace_groups,
+    "append": tables.append,
+}
+
+
+@pytest.fixture
+def kept(tmp_path):
+    return lambda spec: ResultTable(spec, str(tmp_path / uuid.uuid4().hex))
+
+
+def frame(spark, spec, data):
+    return spark.createDataFrame(list(data), spec.schema)
+
+
+def files(path: str, date: str) -> int:
+    return len([p for p in Path(path).rglob("*.parquet") if f"date={date}" in str(p)])
+
+
+def batch_of(spec, batch: int) -> list[tuple]:
+    if spec is AD_BLACKLIST:
+        return [(batch,), (batch % 2,)]
+    if spec is AD_PROVINCE_TOP3:
+        return [(D[batch % 4], "x", batch, 1), (D[batch % 4], "x", batch, 1), (D[(batch + 1) % 4], "y", 7, batch)]
+    keys = ("p", str(batch % 3)) if spec.keys[1] == "position" else (batch % 3, 1)
+    return [(D[i], *keys, batch + i) for i in range(4)]
+
+
+@pytest.mark.parametrize("spec", [INDEX_CLICK_COUNT, INDEX_CLICK_COUNT_SUM, AD_PROVINCE_TOP3, INDEX_CLICK_COUNT_ROWS, AD_BLACKLIST])
+def test_reads_are_right_at_every_step(spark, kept, spec):
+    """Two tables get the same batches; one is folded between them, twice, and its folded folders go."""
+    table, plain = kept(spec), kept(spec)
+    dated = bool(spec.partition_columns)
+    write = WRITE[spec.merge]
+
+    def same():
+        assert rows(tables.read_table(spark, table)) == rows(tables.read_table(spark, plain))
+
+    for batch in range(9):
+        for one in (table, plain):
+            write(frame(spark, spec, batch_of(spec, batch)), one, batch)
+        same()
+        if batch in (3, 5, 7):
+            own = tables.fold(spark, table, *((D[0], D[2]) if dated else ()))
+            assert own.upto == batch - 1
+            same()
+            assert tables.fold(spark, table, *((D[0], D[2]) if dated else ())) is None  # nothing new
+            if batch > 3:
+                assert tables.remove_folded(spark, table) > 0
+                same()
+                assert tables.remove_folded(spark, table) == 0
+        # the newest batch again, as after a lost driver
+        for one in (table, plain):
+            write(frame(spark, spec, batch_of(spec, batch)), one, batch)
+        same()
+    if dated:
+        assert files(table.path, D[0]) < files(plain.path, D[0])
+        assert tables.fold(spark, table, D[0], D[4]).upto == 7
+        tables.remove_folded(spark, table)
+        same()
+        assert files(table.path, D[1]) <= 2 < files(plain.path, D[1])
+        assert not list(Path(table.path).glob("run=0/batch=0"))
+        one_day = tables.read_table(spark, table).filter(F.col("date") == D[1])
+        assert rows(one_day) == [r for r in rows(tables.read_table(spark, plain)) if r[0] == D[1]]
+        with pytest.raises(ValueError, match="folded"):
+            tables.read_table(spark, table, before=(0, 3))
+        copy = tables.compact(spark, table, kept(spec).path)
+        assert rows(tables.read_table(spark, copy)) == rows(tables.read_table(spark, plain))
+
+
+def test_a_stop_before_the_last_step_changes_nothing(spark, kept, monkeypatch):
+    table = kept(INDEX_CLICK_COUNT_SUM)
+    for batch in range(3):
+        tables.upsert_accumulate(frame(spark, table.spec, batch_of(table.spec, batch)), table, batch)
+    want = rows(tables.read_table(spark, table))
+    save = tables._save
+
+    def stop(*args):
+        save(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_save", stop)
+    with pytest.raises(RuntimeError):
+        tables.fold(spark, table, D[0], D[3])
+    monkeypatch.undo()
+    assert list(Path(table.path, "_folds/rows").iterdir()) and tables.folds(spark, table) == []
+    assert rows(tables.read_table(spark, table)) == want and tables.remove_folded(spark, table) == 0
+    assert tables.fold(spark, table, D[0], D[3]).upto == 1
+    assert rows(tables.read_table(spark, table)) == want
+    tables.remove_folded(spark, table)
+    assert rows(tables.read_table(spark, table)) == want
+
+
+def test_fold_of_little(spark, kept):
+    table = kept(INDEX_CLICK_COUNT)
+    assert tables.fold(spark, table, D[0], D[1]) is None and tables.remove_folded(spark, table) == 0
+    tables.upsert_overwrite(frame(spark, table.spec, [(D[0], "p", "1", 1)]), table, 0)
+    assert tables.fold(spark, table) is None  # the newest batch may come again
+    for bad in ((D[0], None), (None, D[0])):
+        with pytest.raises(ValueError, match="none of them"):
+            tables.fold(spark, table, *bad)
+    with pytest.raises(ValueError, match="none of them"):
+        tables.fold(spark, kept(AD_BLACKLIST), D[0], D[1])
+
+
+def test_half_a_copy_is_made_anew(spark, kept, monkeypatch):
+    table, target = kept(INDEX_CLICK_COUNT_SUM), kept(INDEX_CLICK_COUNT_SUM)
+    for batch in range(3):
+        tables.upsert_accumulate(frame(spark, table.spec, batch_of(table.spec, batch)), table, batch)
+    write = tables._write
+
+    def first_only(rows_, to, run, batch, *rest):
+        if run >= 0:
+            raise RuntimeError("lost")
+        return write(rows_, to, run, batch, *rest)
+
+    monkeypatch.setattr(tables, "_write", first_only)
+    with pytest.raises(RuntimeError):
+        tables.compact(spark, table, target.path)
+    monkeypatch.undo()
+    copy = tables.compact(spark, table, target.path)
+    assert rows(tables.read_table(spark, copy)) == rows(tables.read_table(spark, table))
+    with pytest.raises(ValueError, match="holds a table already"):
+        tables.compact(spark, table, target.path)
+
+
+def test_deleted_keys(spark, kept):
+    for spec in (INDEX_CLICK_COUNT, INDEX_CLICK_COUNT_SUM):
+        table = kept(spec)
+        write = WRITE[spec.merge]
+        a, b, c = (D[0], "p", "1"), (D[0], "p", "2"), (D[1], "p", "1")
+        write(frame(spark, spec, [(*k, 5) for k in (a, b, c)]), table, 0)
+        write(frame(spark, spec, [(*a, 4)]), table, 1)
+        gone = spark.createDataFrame([a, c, c, (D[2], "none", "9"), (None, "p", "1")], "date string, position string, userid string")
+        for _ in range(2):  # delivered twice
+            tables.delete_keys(gone, table, 2)
+            assert rows(tables.read_table(spark, table)) == [(*b, 5)]
+        write(frame(spark, spec, [(*a, 3)]), table, 3)
+        want = [(*a, 3), (*b, 5)]
+        assert rows(tables.read_table(spark, table)) == want
+        tables.fold(spark, table, D[0], D[4])
+        tables.remove_folded(spark, table)
+        assert rows(tables.read_table(spark, table)) == want
+        tables.delete_keys(gone, table, 4)
+        write(frame(spark, spec, [(*c, 1)]), table, 5)
+        tables.fold(spark, table, D[0], D[4])
+        assert rows(tables.read_table(spark, table)) == [(*b, 5), (*c, 1)]
+        copy = tables.compact(spark, table, kept(spec).path)
+        assert rows(tables.read_table(spark, copy)) == [(*b, 5), (*c, 1)]
+    table = kept(AD_PROVINCE_TOP3)
+    tables.replace_groups(frame(spark, table.spec, [(D[0], "x", 1, 1), (D[0], "y", 1, 1)]), table, 0)
+    tables.delete_keys(spark.createDataFrame([(D[0], "x")], "date string, province string"), table, 1)
+    assert rows(tables.read_table(spark, table)) == [(D[0], "y", 1, 1)]
+    with pytest.raises(ValueError, match="no keys"):
+        tables.delete_keys(spark.createDataFrame([(1,)], "userid bigint"), kept(AD_BLACKLIST), 0)
+
+
+@pytest.mark.parametrize("spec", [INDEX_CLICK_COUNT, INDEX_CLICK_COUNT_SUM])
+def test_repair(spark, kept, spec):
+    table = kept(spec)
+    write = WRITE[spec.merge]
+    true = [(d, "p", str(u), u + 1) for d in D for u in range(20)]
+    write(frame(spark, spec, true), table, 0)
+    recount = frame(spark, spec, true)
+    assert tables.repair(recount, table, 1, D[0], D[4]) == {"altered": 0, "lost": 0, "extra": 0}
+    assert not Path(table.path, "run=0/batch=1").exists()
+    damage = [(d, "p", "3", 70) for d in D[1:4]] + [(D[2], "p", f"ghost{i}", 1) for i in range(4)]
+    write(frame(spark, spec, damage), table, 1)
+    gone = [(D[2], "p", str(u)) for u in (5, 6)] + [(D[4], "p", "1")]
+    tables.delete_keys(spark.createDataFrame(gone, "date string, position string, userid string"), table, 2)
+    for _ in range(2):  # delivered twice
+        found = tables.repair(recount, table, 3, D[0], D[2])
+        assert found == {"altered": 2, "lost": 2, "extra": 4}
+    now = rows(tables.read_table(spark, table))
+    assert [r for r in now if r[0] <= D[2]] == [r for r in rows(recount) if r[0] <= D[2]]
+    assert (D[3], "p", "3", 70 if spec.merge == "latest" else 74) in now and (D[4], "p", "1", 2) not in now
+    assert sorted(p.name for p in Path(table.path, "run=0/batch=3").iterdir() if p.is_dir()) == [f"date={d}" for d in D[1:3]]
+    assert tables.repair(recount, table, 4, D[0], D[4]) == {"altered": 1, "lost": 1, "extra": 0}
+    assert rows(tables.read_table(spark, table)) == rows(recount)
+    assert tables.repair(recount.limit(0), table, 5, D[0], D[0])["extra"] == 20
+    with pytest.raises(ValueError, match="only counts per date"):
+        tables.repair(recount, kept(AD_PROVINCE_TOP3), 0, D[0], D[0])
+
+
+def test_affected_rows_equal_the_split(spark, kept):
+    for spec in (INDEX_CLICK_COUNT, INDEX_CLICK_COUNT_SUM):
+        table = kept(spec)
+        write = WRITE[spec.merge]
+        assert rows(tables.affected_rows(spark, table)) == []
+        parts = [[(D[i % 3], "p", str(u), 1) for i in range(3) for u in range(b, b + 30)] for b in (0, 20, 10)]
+        want = []
+        for batch, data in enumerate(parts):
+            new = frame(spark, spec, data).repartition(4)
+            marked = split_by_key(new, tables.read_table(spark, table), spec.keys).groupBy("action").count().collect()
+            counts = {"update": 0, "insert": 0} | {r.action: r["count"] for r in marked}
+            for _ in range(2):
+                assert write(new, table, batch, counted=True) == counts
+            want.append((0, batch, counts["update"], counts["insert"]))
+        assert rows(tables.affected_rows(spark, table)) == want
+        assert write(frame(spark, spec, []), table, 3, counted=True) == {"update": 0, "insert": 0}
+
+
+_KEY = st.tuples(st.sampled_from(D[:2]), st.integers(0, 1), st.integers(0, 1))
+_STEP = st.one_of(
+    st.tuples(st.just("write"), st.dictionaries(_KEY, st.integers(1, 9), max_size=4)),
+    st.tuples(st.just("delete"), st.lists(_KEY, max_size=2)),
+    st.tuples(st.just("fold"), st.sampled_from([(D[0], D[0]), (D[0], D[1]), (None, None)])),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_STEP, min_size=2, max_size=6))
+def test_any_order_of_steps_equals_a_plain_model(spark, kept, steps):
+    table, model = kept(AD_USER_CLICK_COUNT), {}
+    for batch, (step, what) in enumerate(steps):
+        if step == "write":
+            tables.upsert_accumulate(frame(spark, table.spec, [(*k, n) for k, n in what.items()]), table, batch)
+            for k, n in what.items():
+                model[k] = model.get(k, 0) + n
+        elif step == "delete":
+            tables.delete_keys(spark.createDataFrame(what, "date string, userid bigint, adid bigint"), table, batch)
+            for k in what:
+                model.pop(k, None)
+        else:
+            tables.fold(spark, table, *what)
+            tables.remove_folded(spark, table)
+    assert rows(tables.read_table(spark, table)) == sorted(((*k, n) for k, n in model.items()), key=repr)
