@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktally.operators.clicks import count_clicks
-from clicktally.operators.joins import SALTS, hot_key_join
+from clicktally.operators.joins import SALTS, filtered_join, hot_key_join
 from clicktally.schemas import AD_CLICK_TREND, AD_STAT, AD_USER_CLICK_COUNT
 
 
@@ -55,13 +55,19 @@ def users_over(user_ad: DataFrame, threshold: int) -> DataFrame:
     return user_ad.filter(F.col("clickCount") > threshold).select("userid").distinct()
 
 
-def drop_blacklisted(clicks: DataFrame, blacklist: DataFrame, salts: int = SALTS) -> DataFrame:
+def drop_blacklisted(
+    clicks: DataFrame, blacklist: DataFrame, salts: int = SALTS, prefilter: bool = False
+) -> DataFrame:
     """The clicks of users that are not on the blacklist; user ids may be numbers or text.
 
+    With ``prefilter``, for a list too long to be broadcast and far more clicks, the clicks of users
+    that a Bloom filter of the list excludes stay where they are, and only the others are joined.
+
     A stream would go on with the list as it was at its start: it is refused here. Streams read the
     list anew for each batch, see ``clicktally.streaming.jobs.start_table``.
     """
     if clicks.isStreaming:
         raise ValueError("a stream needs the list anew for each batch: use start_table(..., blacklist=...)")
     listed = blacklist.select(F.col("userid").cast(clicks.schema["userid"].dataType)).distinct()
-    return hot_key_join(clicks, listed, ["userid"], "left_anti", salts)
+    join = filtered_join if prefilter else hot_key_join
+    return join(clicks, listed, ["userid"], "left_anti", salts)
