@@ -5,13 +5,19 @@ counts, per host, on how many different pages each hash occurs. A subtree on man
 site's template and is deleted, together with parts that say what they are: menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and comments. If a page marks its article or main
 part, only that is taken; inside it a paragraph, heading or quotation is never seen as template, as
-articles quote each other.
+articles quote each other. A part that says what it is only goes if it holds no article, or if the
+page has an article elsewhere.
+
+Many pages are a share of the host's, and three at least, so a layout that only some sections of a
+host have counts as well. A subtree on a small share, or of a small host, might also be what copies of
+one page have in common: such subtrees only go from pages of which at least half of the text is left.
 
 Texts: character references are decoded, white space inside a block becomes one space, blocks are
 joined by an empty line in page order. Pages with the same content count once.
 
 Defined results: null is an empty page; a page without text gives an empty one; a page without host
-shares the host ''; repeated rows are extracted one by one.
+shares the host ''; whole pages are parsed, however long; repeated rows are extracted one by one, also
+those without id; no pages give no rows. Other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -28,11 +34,15 @@ from pyspark.sql import functions as F
 
 from clicktally.llm.store import stored
 from clicktally.llm.words import slices
-from clicktally.operators.joins import hot_key_join
 
 #: A subtree is template if it is on so many different pages of its host, and on this share of them.
 LEAST_PAGES = 10
 LEAST_SHARE = 0.3
+#: Or on so many and this share, if at least half of a page's text is left without all of these.
+FEW_PAGES = 3
+FEW_SHARE = 0.05
+#: Pages of one host that meet its templates in one task.
+HOST_PAGES = 5_000
 
 _SKIPPED = frozenset("script style noscript template title iframe object svg canvas math select button textarea".split())
 _BOILERPLATE = frozenset("nav header footer aside form menu dialog".split()) | _SKIPPED
@@ -43,10 +53,14 @@ _BLOCKS = frozenset(
 _PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt li td th".split())
 _MAIN = frozenset(("article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
+#: A class or id that says what its block is, as a whole: places may come before and parts after it.
 _MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|sidebar|footer|header|"
-    r"cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|"
-    r"comments?|disqus|respond|replies|reply|pagination|pager|toolbar|widget)(?:$|[\s_-])",
+    r"(?:(?:site|page|main|global|top|bottom|left|right|post|article|entry|blog|wp|js|primary|secondary|sticky|mobile)[-_]?)*"
+    r"(?:ads?|adverts?|advertisements?|advertising|adbox|banners?|sponsor(?:ed|s)?|promos?|promotions?|nav(?:igation|bar|s)?|menus?|breadcrumbs?|"
+    r"sidebars?|footers?|headers?|cookies?|consent|notices?|popups?|modals?|newsletters?|subscribe|subscription|signup|login|"
+    r"shar(?:e|es|ing)|social|related|recommend(?:ed|ations?)|comments?|disqus|respond|replies|reply|pagination|pager|toolbars?|widgets?)"
+    r"(?:[-_]?(?:bar|box|wrap|wrapper|container|inner|outer|area|section|block|list|items?|links?|buttons?|btns?|icons?|form|menu|nav|panel|"
+    r"widgets?|posts?|articles?|stories|content|consent|notice|banner|slot|unit|overlay|dialog|thread|reply|top|bottom|left|right|main|id|[0-9]+))*",
     re.IGNORECASE,
 )
 #: A new block of the key ends an open one of the values.
@@ -135,11 +149,11 @@ class _Page:
         if tag == "hr":
             return
         given = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)} if attributes.strip(" /") else {}
-        said = f"{given.get('class', '')} {given.get('id', '')}".strip()
+        said = f"{given.get('class', '')} {given.get('id', '')}".split()
         role = given.get("role", "").lower()
         main = tag in _MAIN or role in ("main", "article")
         boilerplate = tag in _BOILERPLATE or role in _ROLES or "hidden" in given or given.get("aria-hidden") == "true"
-        if said and not main and tag != "body" and _MARKED.search(said):
+        if said and not main and tag != "body" and any(_MARKED.fullmatch(word) for word in said):
             boilerplate = True
         node = Node(tag, boilerplate, main)
         self.open[-1].items.append(node)
@@ -172,8 +186,27 @@ def _hash(node: Node) -> None:
         one.mark = int.from_bytes(digest, "big", signed=True)
 
 
+def _spare(root: Node) -> None:
+    """If all articles of a page lie in blocks that say they are something else, these are not."""
+    todo: list[tuple[Node, list[Node]]] = [(root, [])]
+    spared: list[list[Node]] = []
+    while todo:
+        node, above = todo.pop()
+        above = [*above, node] if node.boilerplate else above
+        if node.main:
+            if not above:
+                return
+            spared.append(above)
+            continue
+        todo += ((x, above) for x in node.items if isinstance(x, Node))
+    for above in spared:
+        for node in above:
+            node.boilerplate = False
+
+
 def parse(html: str) -> Node:
     root = _Page(html).root
+    _spare(root)
     _hash(root)
     return root
 
@@ -201,7 +234,7 @@ def _candidates(root: Node) -> set[int]:
     }
 
 
-def main_text(root: Node, template: frozenset[int] | set[int]) -> str:
+def _blocks(root: Node, template: frozenset[int] | set[int]) -> list[str]:
     """The blocks of the main part (of the whole page, if none is marked) that are no template."""
     every, marked = [], []
     has_main = False
@@ -215,7 +248,17 @@ def main_text(root: Node, template: frozenset[int] | set[int]) -> str:
             continue
         has_main |= item.main
         todo += ((x, inside or item.main) for x in reversed(item.items))
-    return "\n\n".join(marked if has_main else every)
+    return marked if has_main else every
+
+
+def main_text(root: Node, template: frozenset[int] | set[int], likely: frozenset[int] | set[int] = frozenset()) -> str:
+    """The main part without its template, and without what is ``likely`` one if half of the text is left."""
+    blocks = _blocks(root, template)
+    if likely:
+        rest = _blocks(root, template | likely)
+        if 2 * sum(map(len, rest)) >= sum(map(len, blocks)):
+            blocks = rest
+    return "\n\n".join(blocks)
 
 
 def _host(url: Column) -> Column:
@@ -234,24 +277,33 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(marks, pa.int64())], ["host", "page", "mark"])
 
 
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """Per ``host`` the marks of its template subtrees, as ``template``: of those on a share of all
-    pages there can only be few."""
+def templates(
+    pages: DataFrame,
+    least_pages: int = LEAST_PAGES,
+    least_share: float = LEAST_SHARE,
+    few_pages: int = FEW_PAGES,
+    few_share: float = FEW_SHARE,
+) -> DataFrame:
+    """Per ``host`` its number of different ``pages``, the marks of its ``template`` subtrees and those that
+    are ``likely`` some: of subtrees on a share of all pages there can only be few."""
     marks = pages.select(_host(F.col("url")).alias("host"), "html").mapInArrow(_subtrees, "host string, page bigint, mark bigint")
     counts = marks.distinct().groupBy("host", "mark").agg(F.count("*").alias("pages"))
-    counts = stored(counts.where((F.col("pages") >= least_pages) | (F.col("mark") == 0)), "subtrees")
+    counts = stored(counts.where((F.col("pages") >= few_pages) | (F.col("mark") == 0)), "subtrees")
     whole = counts.where("mark = 0").select("host", F.col("pages").alias("of"))
-    common = counts.where("mark <> 0").join(whole, "host").where(F.col("pages") >= F.lit(least_share) * F.col("of"))
-    return common.groupBy("host").agg(F.collect_list("mark").alias("template"))
+    sure = (F.col("pages") >= least_pages) & (F.col("pages") >= F.lit(least_share) * F.col("of"))
+    common = counts.where("mark <> 0").join(whole, "host").where(F.col("pages") >= F.lit(few_share) * F.col("of"))
+    return common.groupBy("host").agg(
+        F.first("of").alias("pages"),
+        F.collect_list(F.when(sure, F.col("mark"))).alias("template"),
+        F.collect_list(F.when(~sure, F.col("mark"))).alias("likely"),
+    )
 
 
 def _extract() -> Callable:
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
-            texts = [
-                main_text(parse(html or ""), set(template or ()))
-                for html, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True)
-            ]
+            columns = (batch.column(c).to_pylist() for c in ("html", "template", "likely"))
+            texts = [main_text(parse(html or ""), set(sure or ()), set(likely or ())) for html, sure, likely in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("page_id"),
@@ -265,11 +317,20 @@ def _extract() -> Callable:
     return extract
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """``page_id``, ``url``, main ``text`` and its ``n_chars`` of every page."""
-    pages = pages.select(F.col("page_id").cast("bigint"), "url", "html")
-    found = templates(pages, least_pages, least_share)
-    joined = hot_key_join(pages.withColumn("host", _host(F.col("url"))), found, ["host"], "left")
-    return joined.select("page_id", "url", "html", "template").mapInArrow(
+def extract(pages: DataFrame, **least: float) -> DataFrame:
+    """``page_id``, ``url``, main ``text`` and its ``n_chars`` of every page.
+
+    The templates are stored first, so that Spark sends them to the pages if they are small. Otherwise
+    both move by host, and the pages of a large host are spread over a salt for each ``HOST_PAGES``.
+    """
+    pages = pages.select(F.col("page_id").cast("bigint"), "url", "html", _host(F.col("url")).alias("host"))
+    found = stored(templates(pages, **least), "templates")
+    salts = F.ceil(F.col("pages") / HOST_PAGES)
+    large = stored(found.where(F.col("pages") > HOST_PAGES).select("host", salts.alias("salts")), "hosts")
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("salts", F.lit(1)))
+    spread = pages.join(large, "host", "left").withColumn("salt", salt).drop("salts")
+    sent = found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))).drop("pages")
+    joined = spread.join(sent, ["host", "salt"], "left")
+    return joined.select("page_id", "url", "html", "template", "likely").mapInArrow(
         _extract(), "page_id bigint, url string, text string, n_chars bigint"
     )

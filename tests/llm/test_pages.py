@@ -42,6 +42,67 @@ def test_broken_pages():
     assert text_of("<p>\x00 <b></b>&#0;</p>").strip("\ufffd\x00 ") == ""
 
 
+def test_classes_are_judged_whole():
+    kept = "<p>kept</p>"
+    for html in (
+        f'<div class="page has-sidebar"><article>{kept}</article></div>',
+        f'<div class="post no-comments">{kept}</div>',
+        f'<section class="related-work">{kept}</section>',
+        f'<article><div class="social-policy">{kept}</div></article>',
+        f'<div class="header-navigation-theory with-sidebar no-sidebar">{kept}</div>',
+        f'<form id="aspnetForm"><div class="sidebar"><article>{kept}</article></div></form>',
+        f'<div class="banner"><main>{kept}</main></div><p>outside</p>',
+    ):
+        assert text_of(html) == "kept", html
+    for said in ("ad", "site-header", "x comments", "share-buttons", "cookie-consent", "main-nav", "related-posts", "sidebar_left", "widget-3"):
+        assert text_of(f'<div class="{said}"><p>gone</p></div>{kept}') == "kept", said
+        assert text_of(f'<div id="{said}"><article>teaser</article></div><article>{kept}</article>') == "kept", said
+
+
+def test_layouts_of_a_host_are_templates(spark):
+    """Five layouts, each on a fifth of the pages; nine pages of a small host; copies of one page."""
+    rows, own = [], {}
+    for i in range(500):
+        own[i] = f"Story {i} " + "goes on " * (5 + i % 7) + f"to {i}"
+        strip = f"<div><p>Strip of layout {i % 5}</p><span>call us</span></div>"
+        rows.append((i, f"http://layouts.example.com/{i}", f"<body>{strip}<div><p>{own[i]}</p></div></body>"))
+    for i in range(1000, 1009):
+        own[i] = f"Small story {i} of a small host"
+        rows.append((i, "http://small.example.com/", f"<body><div><p>About us</p></div><p>{own[i]}</p></body>"))
+    long = [f"Paragraph {k} of one text that comes in several editions." for k in range(9)]
+    for i in range(2000, 2004):  # editions of one page: what they share is the article
+        own[i] = "\n\n".join([f"Edition {i}", *long])
+        rows.append((i, "http://editions.example.com/", "<body>" + "".join(f"<p>{t}</p>" for t in [f"Edition {i}", *long]) + "</body>"))
+    found = html_extract.extract(spark.createDataFrame(rows, SCHEMA).repartition(8))
+    assert {r.page_id: " ".join(r.text.split(" ")) for r in found.collect()} == {k: " ".join(v.split()) if k < 1000 else v for k, v in own.items()}
+
+
+def plain_extract(rows: list[tuple]) -> dict:
+    """Counts by dictionaries; pages of the same content once."""
+    host = {i: (re.match(r"(?s)^.*?://([^/?#]*)", url or "") or [""] * 2)[1].lower() for i, url, _ in rows}
+    trees = {i: html_extract.parse(html or "") for i, _, html in rows}
+    on: dict = {}
+    for i, tree in trees.items():
+        for mark in html_extract._candidates(tree):
+            on.setdefault((host[i], mark), set()).add(tree.mark)
+    pages = {h: len({trees[i].mark for i in trees if host[i] == h}) for h in set(host.values())}
+    sure = {k for k, v in on.items() if len(v) >= 10 and len(v) >= 0.3 * pages[k[0]]}
+    likely = {k for k, v in on.items() if len(v) >= 3 and len(v) >= 0.05 * pages[k[0]]} - sure
+    return {
+        i: html_extract.main_text(tree, {m for h, m in sure if h == host[i]}, {m for h, m in likely if h == host[i]})
+        for i, tree in trees.items()
+    }
+
+
+def test_extract_equals_plain_counts(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "HOST_PAGES", 30)
+    rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    stripped = [(10**6 + i, url, re.sub("</?(?:article|main|nav|header|footer|aside)[^>]*>", "<div>", html)) for i, url, html in rows]
+    for given in (rows, [*stripped, *site(40)]):
+        found = html_extract.extract(spark.createDataFrame(given, SCHEMA).repartition(6))
+        assert {r.page_id: r.text for r in found.collect()} == plain_extract(given)
+
+
 def site(n: int) -> list[tuple[int, str, str]]:
     """Pages without a marked article: only what recurs shows the template."""
     rows = []
