@@ -331,6 +331,21 @@ def drop_blacklisted_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.drop_blacklisted(rows.repartition("userid"), blacklist)
 
 
+_EVERY_TENTH = "SELECT c_custkey AS userid FROM customer WHERE c_custkey % 10 = 3"
+
+
+@registered(f"""
+    SELECT event_id, date, userid, adid FROM ({_AD_CLICKS}) WHERE userid NOT IN ({_EVERY_TENTH})""")
+def drop_blacklisted_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth customer is listed; the clicks that a filter of the list excludes are not moved."""
+    session = _stream_session(spark)
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    blacklist = fixtures.table(session, sf_dir, "customer").selectExpr("c_custkey AS userid").filter("userid % 10 = 3")
+    rows = _ad_clicks(session, sf_dir).select("event_id", "date", "userid", "adid")
+    return ads.drop_blacklisted(rows, blacklist, prefilter=True)
+
+
 def _user_ad_table(spark: SparkSession, *batches: DataFrame) -> ResultTable:
     table = _new_table(spark, AD_USER_CLICK_COUNT)
     for batch, rows in enumerate(batches):
@@ -385,6 +400,90 @@ def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, tables.compact(spark, table, new_run_dir(spark, "compacted")))
 
 
+_HALF = "SELECT strftime(min(ts) + (max(ts) - min(ts)) / 2, '%Y-%m-%d') FROM events"
+
+
+def _middle(rows: DataFrame) -> str:
+    """The date in the middle of the rows' time."""
+    first, last = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    return rows.sparkSession.range(1).select(date_text(F.timestamp_micros(F.lit(first + (last - first) // 2)))).first()[0]
+
+
+@registered(_index_sql())
+def folded_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three parts of each day are added; in between the dates of the first half are folded, their
+    folders go, and the last part comes late for them."""
+    table = _new_table(spark, INDEX_CLICK_COUNT_SUM)
+    middle = _middle(fixtures.events(spark, sf_dir))
+    hour = F.hour("ts")
+    for batch, part in enumerate((hour < 8, (hour >= 8) & (hour < 16), hour >= 16)):
+        counts = clicks.running_clicks(_parsed(spark, sf_dir, part=lambda rows, part=part: rows.filter(part)))
+        tables.upsert_accumulate(counts, table, batch)
+        tables.fold(spark, table, "0000-01-01", middle)
+        tables.remove_folded(spark, table)
+    return tables.read_table(spark, table)
+
+
+_DAMAGED = f"""
+    SELECT date, position, userid, clickCount + CASE WHEN userid LIKE '%1' THEN 100 ELSE 0 END AS clickCount
+    FROM ({_index_sql()}) WHERE NOT userid LIKE '%2'
+    UNION ALL
+    SELECT date, position, 'x' || userid AS userid, clickCount FROM ({_index_sql()}) WHERE userid LIKE '%3'"""
+
+
+@registered(f"""
+    SELECT * FROM ({_index_sql()}) WHERE date <= ({_HALF})
+    UNION ALL SELECT * FROM ({_DAMAGED}) WHERE date > ({_HALF})""")
+def repaired_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored counts are altered, lost and made up; those of the first half of the dates are repaired
+    from the feed, the others stay as they are."""
+    table = _new_table(spark, INDEX_CLICK_COUNT)
+    counts = clicks.running_clicks(_parsed(spark, sf_dir))
+    tables.upsert_overwrite(counts, table, batch=0, unique=True)
+    altered = counts.filter("userid LIKE '%1'").withColumn("clickCount", F.col("clickCount") + 100)
+    extra = counts.filter("userid LIKE '%3'").withColumn("userid", F.concat(F.lit("x"), "userid"))
+    tables.upsert_overwrite(altered.unionByName(extra), table, batch=1)
+    tables.delete_keys(counts.filter("userid LIKE '%2'"), table, batch=2)
+    middle = _middle(fixtures.events(spark, sf_dir))
+    again = clicks.running_clicks(_parsed(spark, sf_dir, part=lambda rows: rows.filter(date_text(F.col("ts")) <= middle)))
+    tables.repair(again, table, 3, "0000-01-01", middle)
+    return tables.read_table(spark, table)
+
+
+@registered(f"""
+    SELECT date, userid, adid, CAST(sum(clickCount) AS BIGINT) AS clickCount FROM (
+        SELECT * FROM ({_user_ad_sql(_MORNING)}) WHERE userid % 5 <> 0
+        UNION ALL SELECT * FROM ({_user_ad_sql(_AFTERNOON)}))
+    GROUP BY date, userid, adid""")
+def deleted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of every fifth user are deleted between two batches, the delete is delivered twice, and some
+    of the keys come again; then all but the newest batch is folded."""
+    rows = _ad_clicks(spark, sf_dir)
+    table = _user_ad_table(spark, fixtures.morning(rows))
+    for _ in range(2):
+        tables.delete_keys(rows.filter("userid % 5 = 0"), table, batch=1)
+    tables.upsert_accumulate(ads.user_ad_counts(fixtures.afternoon(rows)), table, batch=2)
+    tables.fold(spark, table)
+    return tables.read_table(spark, table)
+
+
+@registered(f"""
+    SELECT CAST(0 AS BIGINT) AS run, CAST(0 AS BIGINT) AS batch, CAST(0 AS BIGINT) AS "update", count(*) AS "insert"
+    FROM ({_index_sql(_MORNING)})
+    UNION ALL
+    SELECT CAST(0 AS BIGINT) AS run, CAST(1 AS BIGINT) AS batch, count(b.clickCount) AS "update",
+           count(*) - count(b.clickCount) AS "insert"
+    FROM ({_index_sql(_AFTERNOON)}) AS n LEFT JOIN ({_index_sql(_MORNING)}) AS b
+    ON b.date = n.date AND b.position = n.position AND b.userid = n.userid""")
+def affected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many keys each of two batches updates and inserts, the second one delivered twice."""
+    table = _new_table(spark, INDEX_CLICK_COUNT)
+    for batch, part in ((0, fixtures.morning), (1, fixtures.afternoon), (1, fixtures.afternoon)):
+        counts = clicks.running_clicks(_parsed(spark, sf_dir, part=part))
+        tables.upsert_overwrite(counts, table, batch, unique=True, counted=True)
+    return tables.affected_rows(spark, table)
+
+
 @registered(f"""
     SELECT date, position, userid, clickCount FROM ({_index_sql()})
     WHERE position = 'click' AND clickCount >= 2""")
@@ -448,7 +547,7 @@ def publish_value_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     out = enrich.parse_vehicles(spark.read.text(f"{folder}/topic"))
-    plate = F.variant_get(F.element_at(enrich.UNDECLARED, "plate"), "$", "string").alias("plate")
+    plate = F.from_json(F.concat(F.lit('{"x":'), F.element_at(enrich.UNDECLARED, "plate"), F.lit("}")), "x string")["x"].alias("plate")
     return out.select(F.col("gpstime").cast("timestamp_ntz"), *VEHICLE_RECORD.names[1:], plate)
 
 
