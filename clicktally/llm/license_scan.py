@@ -3,14 +3,19 @@
 A text becomes its words, lower-cased and parted by single blanks. Rules are regular expressions over
 that, made of the licences and the forms below, or signatures of licence bodies and notices; a rule is
 only tried on texts that hold its keyword.
-Of detections that overlap one stays: one that lies within another goes, of equal ones the rule with
-the better (smaller) priority stays, and so it is with neighbours that overlap in part. Phrases of
+Of detections that overlap one stays. They are taken in this order: first those that lie in no other,
+then the others; by the better (smaller) priority, the longer one, the earlier rule. One that overlaps
+a taken one goes, and only then: what a beaten detection hid comes to light again. A name that follows
+a detection directly, with 'and', 'or' or nothing between, is one more of a list. Phrases of
 ``PHRASES`` are found wherever they stand, and always stay.
 
-Everything is made of built-in functions; only numbers of detections are moved, not texts.
+Everything is made of built-in functions; only numbers of detections are moved, not texts. Detections
+are settled in groups that overlap each other, so a long list of licences is many small ones.
 
-Defined results: null is an empty text; rows with the same id and text have the same result, each of
-them is returned; a row without id is treated like any other. Words are counted from 0.
+Defined results: null is an empty text, which names nothing; whole texts are searched, however long;
+rows with the same id and text have the same result, each of them is returned; a row without id is
+treated like any other; no documents give no rows. Words are counted from 0. Other columns, whatever
+their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -21,8 +26,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicktally.llm.store import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BOTH_CASES = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of texts that are not lower-cased
 
 # Phrases and their labels.
 PHRASES = (
@@ -69,7 +77,7 @@ LICENSES = (
             ("by-nc-sa", "by nc sa", "attribution non ?commercial share ?alike"),
             ("by-nc-nd", "by nc nd", "attribution non ?commercial no ?deriv(?:ative)?s"),
         )
-        for keyword, pattern in (("cc by", f"cc {short}"), ("creative commons", f"creative commons {long}"))
+        for keyword, pattern in ((f"cc {short}", f"cc {short}"), ("creative commons attribution", f"creative commons {long}"))
     ),
 )
 
@@ -88,7 +96,7 @@ FORMS = (
 )
 #: Names that say enough without the word licence.
 BARE = (3, 0.6, "NAME(?: VERSION(?: 0)?)?")
-BARE_KEYWORDS = ("cc by", "creative commons", "cc0")
+BARE_KEYWORDS = ("cc ", "creative commons", "cc0")
 
 #: Names that are licences after 'under' without the word licence: label, keyword, name, versions, and
 #: whether they need no verb before 'under' and stand by themselves with a version.
@@ -114,6 +122,7 @@ UNDER = (
 _VERBS = "(?:(?:re)?(?:licen[sc]ed|released|distributed|distributable|published|available|provided|covered|issued) )"
 #: Glued versions too: gplv3, lgpl2. In words 2.1 is 2 1.
 _GLUED = "(?: version | v| |v)?VERSION(?: 0)?(?: only| or later| or any later version)?"
+_NEXT = "(?:and or |or |and )?(?:(?:the|at your option|alternatively) )?NAME(?: licen[sc]e)?"
 _UNDER = "under (?:both |either )?(?:the )?(?:terms (?:and conditions )?of )?(?:both |either )?(?:the )?NAME"
 
 #: Label, signature: words of a licence's body or of the notice that refers to it. Each is its own keyword.
@@ -216,6 +225,20 @@ SIGNATURES = (
     ("commons-clause", "the software is provided to you by the licensor under the license as defined below subject to the following condition"),
 )
 
+#: Label, keyword, signature with gaps for names and years.
+GAPPED = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of", r"permission is hereby granted free of charge to any person obtaining a copy of(?: \S+){1,8}? to deal in"),
+    ("bsd", "and any express or implied warranties", r"this software is provided by(?: \S+){1,12}? as is and any express or implied warranties"),
+    ("bsd", "this list of conditions and the following disclaimer", r"redistributions (?:of source code|in binary form) must(?: \S+){1,8}? this list of conditions and the following disclaimer"),
+    ("bsd-3-clause", "to endorse or promote products derived from", r"neither the names?(?: \S+){1,14}? may be used to endorse or promote products derived from"),
+    ("isc", "for any purpose with or without fee is hereby granted", r"permission to use copy modify (?:and (?:or )?)?distribute(?: \S+){1,5}? for any purpose with or without fee is hereby granted"),
+    ("zlib", "without any express or implied warranty", r"(?:software|library|code|program) is provided as is without any express or implied warranty in no event(?: \S+){1,6}? be held liable"),
+    ("gpl", "gnu general public license as published by", r"it under the terms of (?:version \S+ of )?the gnu general public license as published by"),
+    ("ftl", "the freetype project is copyright", r"the freetype project is copyright(?: c)?(?: [0-9]{4}){1,3} by david turner robert wilhelm and werner lemberg"),
+    ("apache-1.1", "the apache software foundation", r"copyright c [0-9]{4}(?: [0-9]{4})? the apache software foundation all rights reserved redistribution and use"),
+    ("x11", "or otherwise to promote the sale use or other dealings", r"the name of(?: \S+){1,8}? shall not be used in advertising or otherwise to promote the sale use or other dealings"),
+)
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -225,13 +248,14 @@ class Rule:
     priority: int
     weight: float
     base: bool = False
+    follows: bool = False  # one more name of a list
 
 
 def _rules() -> list[Rule]:
     rules = [Rule(f"(?<= ){words}(?= )", words, label, 0, 0.9, True) for words, label in PHRASES]
     for label, keyword, name, versions in LICENSES:
         for version in ("", *versions):
-            for priority, weight, form in (*FORMS, BARE) if keyword in BARE_KEYWORDS else FORMS:
+            for priority, weight, form in (*FORMS, BARE) if keyword.startswith(BARE_KEYWORDS) else FORMS:
                 body = form.replace("NAME", name)
                 if version:  # the version is a part of this rule, not an option
                     for optional in (_VERSION, "(?: VERSION(?: 0)?(?: only| or later)?)?", "(?: VERSION(?: 0)?)?"):
@@ -249,7 +273,9 @@ def _rules() -> list[Rule]:
             rules.append(Rule(f"(?<= ){body}(?= )", keyword, full, 3, 0.9))
             if known and version:
                 rules.append(Rule(f"(?<= ){name}{tail}(?= )", keyword, full, 4, 0.6))
+            rules.append(Rule(f"(?<= ){_NEXT.replace('NAME', name)}{tail}(?= )", keyword, full, 5, 0.8, follows=True))
     rules += [Rule(f"(?<= ){words}(?= )", words, label, 0, 0.95) for label, words in SIGNATURES]
+    rules += [Rule(f"(?<= ){pattern}(?= )", keyword, label, 0, 0.95) for label, keyword, pattern in GAPPED]
     for code in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"):  # addresses of the deeds
         address = f"creativecommons org licenses {code.replace('-', ' ')} "
         for version in ("1", "2", "2 5", "3", "4"):
@@ -268,6 +294,8 @@ KEYWORDS = (
     ("permission",),
     ("redistribut",),
     ("warrant",),
+    ("promote",),
+    ("freetype",),
     ("copyright",),
     ("software",),
     ("public", "domain"),
@@ -292,65 +320,100 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), text.alias("text"), F.xxhash64(text).alias("mark"))
 
 
-def detections(docs: DataFrame) -> DataFrame:
-    """All detections that stay: ``doc_id, mark, start, end`` in words, and the rule's fields."""
-    keyed = _keyed(docs)
-    lower = F.lower("text")
-    likely = F.lit(False)
-    for keyword in KEYWORDS:
-        likely = likely | reduce(Column.__and__, (lower.contains(word) for word in keyword))
-    rules = F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("rule"),
-                *(F.lit(getattr(r, f)).alias(f) for f in ("pattern", "keyword", "label", "priority", "weight", "base")),
-            )
-            for i, r in enumerate(RULES)
-        )
-    )
-    tried = (
-        keyed.where(likely)
-        .select("doc_id", "mark", F.concat(F.lit(" "), _words(F.col("text")), F.lit(" ")).alias("words"))
-        .select("doc_id", "mark", "words", F.explode(F.filter(rules, lambda r: F.col("words").contains(r["keyword"]))).alias("r"))
+def _likely(text: Column) -> Column:
+    """Whether a text holds all words of one of ``KEYWORDS``; it is lower-cased once for all of them."""
+
+    def any_of(lower: Column) -> Column:
+        found = F.lit(False)
+        for keyword in KEYWORDS:
+            found = found | reduce(Column.__and__, (lower.contains(word) for word in keyword))
+        return found
+
+    return F.exists(F.array(F.lower(text)), any_of)
+
+
+def matches(docs: DataFrame) -> DataFrame:
+    """All matches of all rules: ``doc_id, mark, rule, start, end`` in words.
+
+    A keyword is looked for once, whatever the number of its rules.
+    """
+    by_keyword: dict[str, list[int]] = {}
+    for i, rule in enumerate(RULES):
+        by_keyword.setdefault(rule.keyword, []).append(i)
+    gates = F.array(*(F.struct(F.lit(k).alias("keyword"), F.array(*map(F.lit, own)).alias("rules")) for k, own in by_keyword.items()))
+    patterns = F.array(*(F.lit(r.pattern) for r in RULES))
+    texts = _keyed(docs).where(_likely(F.col("text"))).select(
+        "doc_id", "mark", F.concat(F.lit(" "), _words(F.col("text")), F.lit(" ")).alias("words")
     )
+    opened = F.filter(gates, lambda g: F.col("words").contains(g["keyword"]))
+    tried = texts.select("doc_id", "mark", "words", F.explode(F.flatten(F.transform(opened, lambda g: g["rules"]))).alias("rule"))
+    tried = tried.withColumn("pattern", F.get(patterns, F.col("rule")))
 
     def blanks(s: Column) -> Column:
         return F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
 
     found = F.arrays_zip(
-        F.transform(F.split("words", F.col("r.pattern"), -1), blanks).alias("before"),
-        F.transform(F.regexp_extract_all("words", F.concat(F.lit("("), F.col("r.pattern"), F.lit(")")), F.lit(1)), blanks).alias("inside"),
-    )
-    places = (
-        tried.select("doc_id", "mark", "r", F.posexplode(found).alias("at", "f"))
-        .where("f.inside IS NOT NULL")
-        .select("doc_id", "mark", "r.rule", "r.label", "r.priority", "r.weight", "r.base", "at", "f.before", "f.inside")
-        .distinct()
+        F.transform(F.split("words", F.col("pattern"), -1), blanks).alias("before"),
+        F.transform(F.regexp_extract_all("words", F.concat(F.lit("("), F.col("pattern"), F.lit(")")), F.lit(1)), blanks).alias("inside"),
     )
+    places = tried.select("doc_id", "mark", "rule", F.posexplode(found).alias("at", "f")).where("f.inside IS NOT NULL")
+    places = places.select("doc_id", "mark", "rule", "at", "f.before", "f.inside").distinct()
     along = Window.partitionBy("doc_id", "mark", "rule").orderBy("at")
     passed = F.sum(F.col("before").cast("bigint") + F.col("inside")).over(along)
-    placed = places.select(
-        "doc_id", "mark", "rule", "label", "priority", "weight", "base",
-        (passed - F.col("inside") - 1).alias("start"),
-        passed.alias("end"),
-    )
-    by_place = Window.partitionBy("doc_id", "mark", "base").orderBy("start", F.desc("end"), "priority", "rule")
+    return places.select("doc_id", "mark", "rule", (passed - F.col("inside") - 1).alias("start"), passed.alias("end"))
+
+
+def _settled(found: DataFrame) -> DataFrame:
+    """Of detections that overlap those that stay."""
+    by_place = Window.partitionBy("doc_id", "mark").orderBy("start", F.desc("end"), "priority", "rule")
     reach = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
-    whole = placed.withColumn("reach", reach).where(F.col("base") | F.col("reach").isNull() | (F.col("reach") < F.col("end")))
-    better = F.struct("priority", (F.col("start") - F.col("end")).alias("length"), "rule")
-    pairs = whole.withColumns(
-        {
-            "better": better,
-            "left_end": F.lag("end").over(by_place),
-            "left": F.lag(better).over(by_place),
-            "right_start": F.lead("start").over(by_place),
-            "right": F.lead(better).over(by_place),
-        }
-    )
-    beaten = F.coalesce((F.col("left_end") > F.col("start")) & (F.col("left") < F.col("better")), F.lit(False)) | F.coalesce(
-        (F.col("right_start") < F.col("end")) & (F.col("right") < F.col("better")), F.lit(False)
-    )
-    return pairs.where(F.col("base") | ~beaten).select(*placed.columns)
+    found = found.withColumn("reach", reach)
+    opens = (F.col("reach").isNull() | (F.col("start") >= F.col("reach"))).cast("bigint")
+    found = found.withColumn("island", F.sum(opens).over(by_place))
+    hidden = F.coalesce(F.col("reach") >= F.col("end"), F.lit(False)).alias("hidden")
+    order = F.struct(hidden, "priority", (F.col("start") - F.col("end")).alias("short"), "rule", "start", "end")
+    islands = found.groupBy("doc_id", "mark", "island").agg(F.array_sort(F.collect_list(order)).alias("all"))
+
+    def take(taken: Column, one: Column) -> Column:
+        meets = F.exists(taken, lambda t: (t["start"] < one["end"]) & (one["start"] < t["end"]))
+        place = F.struct(one["rule"].alias("rule"), one["start"].alias("start"), one["end"].alias("end"))
+        return F.when(meets, taken).otherwise(F.concat(taken, F.array(place)))
+
+    kept = F.aggregate("all", F.array().cast("array<struct<rule:int,start:bigint,end:bigint>>"), take)
+    return islands.select("doc_id", "mark", F.inline(kept))
+
+
+def _listed(settled: DataFrame, names: DataFrame) -> DataFrame:
+    """The names that go on a list which a settled detection begins."""
+    best = F.struct((F.col("start") - F.col("end")).alias("short"), "rule", "end")
+    names = names.groupBy("doc_id", "mark", "start").agg(F.min(best).alias("b"))  # the longest of a place
+    names = names.select("doc_id", "mark", "b.rule", "start", "b.end", F.lit(True).alias("follows"))
+    every = settled.select("doc_id", "mark", "rule", "start", "end", F.lit(False).alias("follows")).unionByName(names)
+    along = Window.partitionBy("doc_id", "mark").orderBy("start", "follows", "rule")
+    before = F.max(F.when(~F.col("follows"), F.col("end"))).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first(F.when(~F.col("follows"), F.col("start")), ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing))
+    meets = F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
+    free = every.withColumn("meets", meets).where("NOT (follows AND meets)")
+    goes_on = F.coalesce(F.lag("end").over(along) == F.col("start"), F.lit(False))
+    chains = free.withColumn("chain", F.sum((~(F.col("follows") & goes_on)).cast("bigint")).over(along))
+    led = F.min("follows").over(Window.partitionBy("doc_id", "mark", "chain"))
+    return chains.withColumn("led", ~led).where("follows AND led").select("doc_id", "mark", "rule", "start", "end")
+
+
+def detections(docs: DataFrame) -> DataFrame:
+    """All detections that stay: ``doc_id, mark, start, end`` in words, and the rule's fields."""
+    fields = ("label", "priority", "weight", "base", "follows")
+    rules = F.array(*(F.struct(*(F.lit(getattr(r, f)).alias(f) for f in fields)) for r in RULES))
+    columns = ("doc_id", "mark", "rule", "start", "end")
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.select(*columns, F.get(rules, F.col("rule")).alias("r")).select(*columns, "r.*")
+
+    found = stored(named(matches(docs)), "matches")  # numbers only, of few documents
+    settled = stored(_settled(found.where("NOT base AND NOT follows")), "settled")
+    listed = _listed(settled, found.where("follows"))
+    kept = named(settled.select(*columns).unionByName(listed))
+    return found.where("base").unionByName(kept).drop("follows")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -370,9 +433,8 @@ def scan(docs: DataFrame) -> DataFrame:
         )
         .withColumnsRenamed({"doc_id": "o_doc_id", "mark": "o_mark"})
     )
-    words = _words(F.col("text"))
-    n_words = F.when(F.length("words") == 0, 0).otherwise(F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) + 1)
-    counted = _keyed(docs).select("doc_id", "mark", words.alias("words")).select("doc_id", "mark", n_words.cast("bigint").alias("n_words"))
+    n_words = F.size(F.array_remove(F.split("text", BOTH_CASES), ""))
+    counted = _keyed(docs).select("doc_id", "mark", n_words.cast("bigint").alias("n_words"))
     joined = counted.join(found, F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("mark") == F.col("o_mark")), "left")
     return joined.select(
         "doc_id",
