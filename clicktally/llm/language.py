@@ -143,7 +143,7 @@ def predict(docs: DataFrame, languages: Languages | None) -> DataFrame:
                 names += [languages.names[i] for i in first]
                 scores.append(np.clip(share, 0, 1).astype(np.float64))
                 mixtures += [
-                    [(languages.names[i], float(row[i])) for i in np.flatnonzero(row > 0.005)] for row in chosen
+                    [(languages.names[i], float(row[i])) for i in np.flatnonzero(row > 0)] for row in chosen
                 ]
             yield pa.RecordBatch.from_arrays(
                 [

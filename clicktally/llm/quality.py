@@ -32,8 +32,10 @@ FEATURES = 200
 WIDTH = 4.0
 RIDGE = 1.0
 THRESHOLD = 0.7
-#: The parts of the normal equations are summed over at most so many tasks.
+#: The normal equations are summed over at most so many tasks, as long as these have few rows.
 PARTS = 64
+#: Labelled rows whose sums one task forms, beyond that.
+ROWS_PER_SUM = 100_000
 
 _KINDS = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -149,8 +151,8 @@ def isotonic(x: np.ndarray, total: np.ndarray, weight: np.ndarray) -> tuple[np.n
     return table[:, 2] / table[:, 1], table[:, 0] / table[:, 1]
 
 
-def _normal_equations(model: Model, rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Z'Z and Z'y over all rows, summed in each task and then by Spark."""
+def _normal_equations(model: Model, rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Z'Z and Z'y over all ``n`` rows, summed in each task and then by Spark."""
     width = FEATURES + 2
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +164,7 @@ def _normal_equations(model: Model, rows: DataFrame) -> tuple[np.ndarray, np.nda
                 total += z.T @ z
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), _rows(total)], ["i", "v"])
 
-    parts = rows.select("x", "y").coalesce(PARTS).mapInArrow(sums, "i bigint, v array<double>")
+    parts = rows.select("x", "y").coalesce(max(PARTS, -(-n // ROWS_PER_SUM))).mapInArrow(sums, "i bigint, v array<double>")
     cells = parts.select("i", F.posexplode("v").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v"))
     table = cells.toArrow()
     total = np.zeros((width, width))
@@ -185,7 +187,7 @@ def fit(measured: DataFrame, labels: DataFrame) -> Model:
     scale = np.array(moments[1 + n :])
     scale = np.where(scale > 1e-9, scale, 1.0)
     model = Model(np.array(moments[1 : 1 + n]), scale, empty.weights, empty.knots, empty.levels)
-    gram, right = _normal_equations(model, known.where("fold < 2"))
+    gram, right = _normal_equations(model, known.where("fold < 2"), moments[0])
     penalty = RIDGE * np.eye(FEATURES + 1)
     penalty[-1, -1] = 1e-9
     model.weights = np.linalg.solve(gram + penalty, right)

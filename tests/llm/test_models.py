@@ -71,14 +71,87 @@ def test_one_kind_of_label(spark):
     assert all(r.score > 0.9 for r in quality.score(measured, quality.fit(measured, labels)).collect())
 
 
+def rising(y: np.ndarray, w: np.ndarray) -> list[float]:
+    """The nearest rising line by the largest of the smallest means."""
+    n = len(y)
+    mean = [[(y[a : b + 1] * w[a : b + 1]).sum() / w[a : b + 1].sum() if a <= b else 0 for b in range(n)] for a in range(n)]
+    return [max(min(mean[a][b] for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+
+
 def test_isotonic_is_the_nearest_rising_line():
-    x = np.arange(6) / 10
-    at, level = quality.isotonic(x, np.array([0.0, 2, 1, 1, 3, 2]), np.array([1.0, 2, 2, 1, 3, 3]))
-    assert np.all(np.diff(level) >= 0) and np.all(np.diff(at) > 0)
-    assert np.allclose(level, [0, 3 / 4, 1 * 6 / 7]) or np.allclose(level[0], 0)
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 6, 40):
+        for _ in range(20):
+            x = np.arange(n) / 10
+            weight = rng.integers(1, 4, n).astype(float)
+            y = rng.integers(0, 3, n) / 2
+            at, level = quality.isotonic(x, y * weight, weight)
+            assert np.all(np.diff(level) > 0) and np.all(np.diff(at) > 0)
+            # pools in order: each x lies in the pool whose mean x is the nearest that its weights allow
+            want = rising(y, weight)
+            assert np.allclose(level, sorted(set(np.round(want, 12))))
+            for value, place in zip(level, at, strict=True):
+                own = np.isclose(want, value)
+                assert np.isclose(place, (x[own] * weight[own]).sum() / weight[own].sum())
     assert quality.isotonic(np.zeros(0), np.zeros(0), np.zeros(0))[0].size == 0
 
 
+def test_ridge_is_least_squares(spark):
+    """Weights, scaling and calibration against numpy on all labelled rows at once."""
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    measured = quality.statistics(docs)
+    model = quality.fit(measured, labels)
+    mark = {r.doc_id: float(r.quality) for r in labels.collect() if r.quality is not None}
+    rows = [(np.array(r.x), mark[r.doc_id], zlib.crc32(str(r.doc_id).encode()) % 4) for r in measured.collect() if r.doc_id in mark]
+    x, y, fold = (np.array(c) for c in zip(*rows, strict=True))
+    own = fold < 2
+    assert np.allclose(model.mean, x[own].mean(axis=0)) and np.allclose(model.scale, np.maximum(x[own].std(axis=0), 1e-9), rtol=1e-6)
+    z = model.cosines(x[own])
+    root = np.sqrt(np.array([quality.RIDGE] * quality.FEATURES + [1e-9]))
+    want = np.linalg.lstsq(np.vstack([z, np.diag(root)]), np.concatenate([y[own], np.zeros(len(root))]), rcond=None)[0]
+    assert np.allclose(model.raw(x), model.cosines(x) @ want, atol=1e-5)
+    later = fold == 3
+    bins = np.rint(np.clip(model.raw(x[later]), -1, 2) * 1e4).astype(int)
+    at, where = np.unique(bins, return_inverse=True)
+    weight = np.bincount(where).astype(float)
+    level = rising(np.bincount(where, y[later]) / weight, weight)
+    assert np.allclose(model.levels, sorted(set(np.round(level, 12))))
+
+
+def test_mixtures_by_plain_loops(spark):
+    """Proportions and sets of languages by loops over all sets, for some documents."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    languages = language.learn(docs)
+    texts = [r.text for r in docs.where("n_chars BETWEEN 300 AND 3000").orderBy("doc_id").limit(12).collect()]
+    texts += [f"{a[:400]} {b[:300]}" for a, b in zip(texts, texts[5:], strict=False)]
+    counts = np.concatenate(list(language._trigrams(pa.array(texts))))
+    first, share, chosen = languages.predict(counts)
+    likely = languages.likely.astype(float)
+    for d in range(len(texts)):
+        grams = [(b, float(c)) for b, c in enumerate(counts[d]) if c]
+        total = sum(c for _, c in grams)
+
+        def mixture(names):
+            part = {i: 1 / len(names) for i in names}
+            for _ in range(language.STEPS):
+                new = dict.fromkeys(names, 0.0)
+                for b, c in grams:
+                    whole = sum(part[i] * likely[i][b] for i in names)
+                    for i in names:
+                        new[i] += c * part[i] * likely[i][b] / whole
+                part = {i: v / total for i, v in new.items()}
+            fit = sum(c * np.log(sum(part[i] * likely[i][b] for i in names)) for b, c in grams)
+            return part, fit
+
+        every, _ = mixture(range(len(languages.names)))
+        order = sorted(every, key=lambda i: -every[i])
+        best = max((mixture(order[:n]) for n in range(1, len(order) + 1)), key=lambda m: m[1] - language.PENALTY * np.log(max(total, 2)) * len(m[0]))
+        part = best[0]
+        assert languages.names[first[d]] == languages.names[max(part, key=part.get)]
+        assert abs(share[d] - max(part.values())) < 0.01
+        assert {i for i in range(len(chosen[d])) if chosen[d][i] > 0.005} == {i for i, v in part.items() if v > 0.005}
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import random
+
 import corpus_pipeline
 import __spark_entry__ as entry
 from clicktally.llm import quality
-from tests.llm.helpers import HARD_TEXTS, documents
+from tests.llm.helpers import HARD_TEXTS, changed, documents, sentence
 from tests.llm.test_documents import leaks, linked_components
 from tests.llm.test_scans import base_spans
 from tests.oracle import compare, connect
@@ -52,20 +55,48 @@ def test_hard_rows_pass_all_stages(spark):
         for at, (_, stage) in enumerate(corpus_pipeline.STAGES):
             out = stage(spark, docs, SMALL)
             assert at == 4 or out.columns == docs.columns
-            n = out.count()
-            assert n <= docs.count()
+            ids = sorted(str(r.doc_id) for r in out.collect())
+            given = sorted(str(r.doc_id) for r in docs.collect())
+            if at == 0:  # scored like any other
+                measured = quality.statistics(docs)
+                model = quality.fit(measured, spark.read.parquet(f"{SMALL}/labels.parquet"))
+                assert ids == sorted(str(r.doc_id) for r in quality.score(measured, model).collect() if r.predicted)
+            elif at == 1:  # 'one' is there three times, of which two have the same id; so are 7 and 8
+                gone = ["3", "3", "8"] if given else []
+                assert ids == sorted(given) if not given else sorted([*ids, *gone]) == given
+            else:
+                assert ids == given
 
 
 def test_duplicates_of_ids_and_texts(spark):
     text = "a b c d e f g h i j"
     rows = [(4, text), (4, "another text of this id"), (9, text), (5, None), (6, None), (None, text), (None, text)]
     kept = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), SMALL).collect()
-    assert sorted(str(r.doc_id) for r in kept) == ["4", "5", "6", "None", "None"]
+    assert sorted((str(r.doc_id), r.text) for r in kept if r.text) == [("4", text), ("4", "another text of this id"), ("None", text), ("None", text)]
+    assert sorted(r.doc_id for r in kept if not r.text) == [5, 6]
+
+
+def test_a_row_goes_only_if_a_similar_one_stays(spark):
+    """Ids with several texts, against all pairs; twice, in other partitions, with the same result."""
+    rng = random.Random(21)
+    bases = [sentence(rng, rng.randrange(5, 60), 10**6) for _ in range(12)]
+    rows = [(rng.randrange(30), changed(rng, rng.choice(bases), rng.randrange(2))) for _ in range(90)]
+    rows += [(i, b) for i, b in enumerate(bases)] + rows[:10]
+    distinct = sorted(set(rows), key=lambda r: (r[0], hashlib.sha256(r[1].encode()).hexdigest()))
+    several = {d for d, _ in rows if sum(x == d for x, _ in rows) > 1}
+    classes = linked_components([(i, text) for i, (_, text) in enumerate(distinct)])
+    want = sorted(distinct[i] for i in set(classes.values()))
+    assert len(several) > 10 and len(want) < len(distinct)
+    for parts in (3, 7):
+        docs = documents(spark, rows, extra=True).repartition(parts)
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == want
 
 
 def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
