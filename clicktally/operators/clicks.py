@@ -112,3 +112,29 @@ def page_pv_uv(counts: DataFrame) -> DataFrame:
     return counts.groupBy("date", "position").agg(
         F.sum("clickCount").alias("pv"), F.count("userid").alias("uv")
     )
+
+
+#: Sketches have 2 to this power of buckets: an error of about 1.6 %, and 4 KB at most.
+SKETCH_LOG = 12
+
+
+def visitor_sketches(counts: DataFrame) -> DataFrame:
+    """Page views and a HyperLogLog sketch of the visitors per date and position, from counts per user."""
+    return counts.groupBy("date", "position").agg(
+        F.sum("clickCount").alias("clickCount"), F.hll_sketch_agg("userid", SKETCH_LOG).alias("visitors")
+    )
+
+
+def span_visitors(sketches: DataFrame, first: str, last: str) -> DataFrame:
+    """Page views, and about how many different visitors, per position in the dates ``first`` to ``last``."""
+    rows = sketches.filter(F.col("date").between(first, last))
+    return rows.groupBy("position").agg(
+        F.sum("clickCount").alias("pv"), F.hll_sketch_estimate(F.hll_union_agg("visitors")).alias("uv")
+    )
+
+
+def exact_visitors(counts: DataFrame, first: str, last: str) -> DataFrame:
+    """The same from counts per user, exactly: users are made distinct before they are counted."""
+    rows = counts.filter(F.col("date").between(first, last))
+    users = rows.groupBy("position", "userid").agg(F.sum("clickCount").alias("clickCount"))
+    return users.groupBy("position").agg(F.sum("clickCount").alias("pv"), F.count("userid").alias("uv"))

@@ -28,11 +28,12 @@ from clicktally.schemas import (
     INDEX_CLICK_COUNT,
     INDEX_CLICK_COUNT_ROWS,
     INDEX_CLICK_COUNT_SUM,
+    PAGE_VISITORS,
     VEHICLE_RECORD,
     TableSpec,
 )
 from clicktally.sources import feed as feeds
-from clicktally.sources import sql, tables
+from clicktally.sources import rules, sql, tables
 from clicktally.sources.tables import ResultTable
 from clicktally.streaming import jobs
 
@@ -664,6 +665,59 @@ def daily_clicks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, table)
 
 
+@registered(f"""
+    SELECT position, count(*) AS pv, count(DISTINCT userid) AS uv, TRUE AS estimate_is_near
+    FROM ({_CLICKS}) WHERE date >= ({_HALF}) GROUP BY position""")
+def span_visitors_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visitors of a span of dates out of a stream's tables: exactly, and within 5 % by sketches."""
+    folder = new_run_dir(spark, "visitors")
+    rows = _parsed(spark, sf_dir).select("ts", "date", "position", "userid")
+    table, exact = ResultTable(PAGE_VISITORS, f"{folder}/sketches"), ResultTable(INDEX_CLICK_COUNT_SUM, f"{folder}/exact")
+    hour = F.hour("ts")
+    for part in (hour < 8, (hour >= 8) & (hour < 16), hour >= 16):
+        rows.filter(part).write.mode("append").parquet(f"{folder}/feed")
+        feed = _stream_session(spark).readStream.schema(rows.schema).parquet(f"{folder}/feed")
+        jobs.start_visitors(feed, table, f"{folder}/checkpoint", exact, {"availableNow": True}).awaitTermination()
+    middle = _middle(fixtures.events(spark, sf_dir))
+    about = clicks.span_visitors(tables.read_table(spark, table), middle, "9999-12-31")
+    true = clicks.exact_visitors(tables.read_table(spark, exact), middle, "9999-12-31")
+    both = true.join(about.select("position", F.col("pv").alias("_pv"), F.col("uv").alias("_uv")), "position", "left")
+    near = (F.col("pv") == F.col("_pv")) & (F.abs(F.col("uv") - F.col("_uv")) <= 0.05 * F.col("uv"))
+    return both.select("position", "pv", "uv", F.coalesce(near, F.lit(False)).alias("estimate_is_near"))
+
+
+_RULES_SQL = f"""
+    SELECT gpstime, lon, lat, speaker, mnetworkcode, CAST(1 AS BIGINT) AS rules_version FROM ({_VEHICLES_SQL}) WHERE event_id % 2 = 0
+    UNION ALL
+    SELECT date_trunc('second', ts) AS gpstime, value AS lon, CAST(k AS DOUBLE) AS lat,
+           CASE WHEN k >= 50 THEN 'high' ELSE event_type END AS speaker, CAST(user_id AS VARCHAR) AS mnetworkcode,
+           CAST(2 AS BIGINT) AS rules_version
+    FROM ({_EVENTS}) WHERE event_id % 2 = 1"""
+
+
+@registered(_RULES_SQL)
+def enrich_stored_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules are changed between two parts of the feed, which stand for two batches."""
+    folder = new_run_dir(spark, "enrichment")
+    feed = _vehicle_feed(spark, sf_dir)
+    number = F.col("key").cast("bigint")
+    for part, version in ((number % 2 == 0, VEHICLE_RULES), (number % 2 == 1, (enrich.Rule("lat >= 50", "speaker", "'high'"),))):
+        rules.store_rules(spark, f"{folder}/rules", version)
+        feed.filter(part).write.mode("append").parquet(f"{folder}/feed")
+        query = jobs.start_stored_enrichment(
+            feeds.read_clicks(spark, "parquet", path=f"{folder}/feed"),
+            f"{folder}/rules",
+            f"{folder}/checkpoint",
+            fmt="text",
+            path=f"{folder}/topic",
+            trigger={"availableNow": True},
+        )
+        query.awaitTermination()
+    out = enrich.parse_vehicles(spark.read.text(f"{folder}/topic"))
+    version = F.element_at(enrich.UNDECLARED, "rules_version").cast("bigint").alias("rules_version")
+    return out.select(F.col("gpstime").cast("timestamp_ntz"), *VEHICLE_RECORD.names[1:], version)
+
+
 # A click in the year 9000 and a time in milliseconds, both good.
 _FAR = ((221845392000, "9000-01-01"), (1704067200000, "55969-09-28"))
 _LATE_SQL = f"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
+    BinaryType,
     DataType,
     DoubleType,
     LongType,
@@ -76,7 +77,8 @@ class TableSpec:
     * ``append``: every row of every batch stays,
     * ``latest``: the newest batch that holds a key gives its count,
     * ``sum``: the counts of all batches add up per key,
-    * ``group``: the newest batch that holds a key group gives all its rows.
+    * ``group``: the newest batch that holds a key group gives all its rows,
+    * ``sketch``: counts add up and the sketches of ``visitors`` unite per key.
     """
 
     name: str
@@ -105,6 +107,13 @@ INDEX_CLICK_COUNT_SUM = TableSpec(
 HOURLY_PV = TableSpec(
     "hourly_pv", _struct(date=_TEXT, datehour=_TEXT, clickCount=_LONG), ("date", "datehour"), "sum"
 )
+# Page views, and a sketch of who came: sketches of any dates unite.
+PAGE_VISITORS = TableSpec(
+    "page_visitors",
+    _struct(date=_TEXT, position=_TEXT, clickCount=_LONG, visitors=BinaryType()),
+    ("date", "position"),
+    "sketch",
+)
 AD_BLACKLIST = TableSpec("ad_blacklist", _struct(userid=_LONG), (), "append")
 AD_USER_CLICK_COUNT = TableSpec(
     "ad_user_click_count",

@@ -135,6 +135,10 @@ def _merged(rows: DataFrame, spec: TableSpec) -> DataFrame:
             F.max(F.when(gone, F.col("version"))).alias("_gone"),
         )
         return found.filter("version > coalesce(_gone, version - 1)").select(*names, "version")
+    if spec.merge == "sketch":
+        united = F.hll_union_agg("visitors").alias("visitors")
+        found = rows.groupBy(*spec.keys).agg(F.sum("clickCount").alias("clickCount"), united, F.max("version").alias("version"))
+        return found.select(*names, "version")
     if spec.merge == "latest":
         newest = F.max_by(F.struct(gone.alias("gone"), "clickCount"), "version").alias("_newest")
         found = rows.groupBy(*spec.keys).agg(newest, F.max("version").alias("version")).filter("NOT _newest.gone")
@@ -364,6 +368,15 @@ def upsert_accumulate(
     return _upsert(rows, table, run, batch, counted)
 
 
+def add_visitors(new: DataFrame, table: ResultTable, batch: int, run: int = 0) -> None:
+    """Add page views and sketches of visitors, a row per key; a visitor who is known already adds nothing."""
+    spec = table.spec
+    _require_merge(table, "sketch")
+    _require_number(run, batch)
+    rows = _checked(new.select(*spec.schema.names), _no_key(spec.keys), f"{spec.name}: a key has a missing part")
+    _write(rows, table, run, batch)
+
+
 def replace_groups(new: DataFrame, table: ResultTable, batch: int, run: int = 0) -> None:
     """Replace all rows of every key group in ``new``; other groups stay. Keeps repeated rows."""
     spec = table.spec
@@ -393,8 +406,8 @@ def delete_keys(gone: DataFrame, table: ResultTable, batch: int, run: int = 0) -
     A key that is not stored is no error, and one that comes in a later batch is there again. A batch
     that is delivered again deletes the same.
     """
-    if table.spec.merge == "append":
-        raise ValueError(f"{table.spec.name} has no keys")
+    if table.spec.merge in ("append", "sketch"):
+        raise ValueError(f"{table.spec.name} is kept by {table.spec.merge!r}: it has no keys, or visitors that can't be taken out")
     _require_number(run, batch)
     rows = _deletions(gone.filter(~_no_key(table.spec.keys)), table, run, batch)
     _write(rows, table, run, batch)

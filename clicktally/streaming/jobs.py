@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from clicktally.config import if_exists
 from clicktally.operators.ads import drop_blacklisted, province_top_ads
 from clicktally.operators.clicks import (
     countable,
     parse_clicks,
     rejects,
     running_clicks,
+    visitor_sketches,
 )
 from clicktally.operators.enrich import (
     Rule,
@@ -25,8 +27,10 @@ from clicktally.operators.enrich import (
 from clicktally.operators.stored import changed_only
 from clicktally.schemas import APP_RESTART
 from clicktally.sources.feed import publish
+from clicktally.sources.rules import read_rules
 from clicktally.sources.tables import (
     ResultTable,
+    add_visitors,
     bind,
     change_log,
     read_table,
@@ -210,6 +214,68 @@ def start_enrichment(
     )
 
 
+def start_stored_enrichment(
+    feed: DataFrame,
+    rules_path: str,
+    checkpoint: str,
+    fmt: str = "kafka",
+    options: Mapping[str, str] | None = None,
+    path: str | None = None,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """The enrichment with rules that are stored outside and may change while the stream runs.
+
+    Each batch takes the newest version, so a change holds from the next batch on, and every record
+    says in ``rules_version`` by which it was made. A batch that comes again takes the version that it
+    had, which is noted before it is published. File sinks get a folder per batch, which a repeated
+    batch replaces; a topic gets its records again.
+    """
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        noted = f"{checkpoint}/rules/batch={batch_id}"
+        had = if_exists(lambda: spark.read.schema("version bigint").parquet(noted))
+        row = had.first() if had is not None else None
+        version, rules = read_rules(spark, rules_path, row.version if row is not None else None)
+        if row is None:
+            spark.range(1).select(F.lit(version).cast("bigint").alias("version")).write.mode("overwrite").parquet(noted)
+        made = apply_rules(parse_vehicles(batch), rules).withColumn("rules_version", F.lit(version))
+        records = to_json_value(made, "key").select("value")
+        writer = records.write.format(fmt).options(**(options or {}))
+        if path:
+            writer.mode("overwrite").save(f"{path}/batch={batch_id}")
+        else:
+            writer.mode("append").save()
+
+    return _started(feed.writeStream.foreachBatch(enrich), checkpoint, trigger)
+
+
+def start_visitors(
+    rows: DataFrame,
+    visitors: ResultTable,
+    checkpoint: str,
+    exact: ResultTable | None = None,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Keep page views and a sketch of the visitors per date and position of streaming clicks.
+
+    The sketches of any dates unite, so visitors of any span are read from a row per date. With
+    ``exact``, a table of clicks per user kept by sums, the exact numbers are kept beside them.
+    """
+    bind(rows.sparkSession, visitors, checkpoint)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        counts = running_clicks(batch).persist()
+        try:
+            if exact is not None:
+                upsert_accumulate(counts, exact, batch_id)
+            add_visitors(visitor_sketches(counts), visitors, batch_id)
+        finally:
+            counts.unpersist()
+
+    return _started(rows.writeStream.foreachBatch(add), checkpoint, trigger)
+
+
 def start_enrichment_rejects(
     feed: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:
