@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicktally.operators.clicks import count_clicks
+from clicktally.operators.clicks import count_clicks, sum_counts
 from clicktally.operators.joins import SALTS, filtered_join, hot_key_join
 from clicktally.schemas import AD_CLICK_TREND, AD_STAT, AD_USER_CLICK_COUNT
 
@@ -16,10 +16,15 @@ def user_ad_counts(clicks: DataFrame) -> DataFrame:
 
 
 def region_ad_counts(clicks: DataFrame) -> DataFrame:
-    """Clicks per date, province, city and ad; takes clicks or counts of a finer grain."""
+    """Clicks per date, province, city and ad."""
     return count_clicks(clicks, *AD_STAT.keys)
 
 
+def region_ad_sums(counts: DataFrame) -> DataFrame:
+    """The same from counts of a finer grain."""
+    return sum_counts(counts, *AD_STAT.keys)
+
+
 def minute_ad_counts(clicks: DataFrame) -> DataFrame:
     """Clicks per date, hour, minute and ad."""
     return count_clicks(clicks, *AD_CLICK_TREND.keys)
@@ -30,7 +35,7 @@ def province_top_ads(region_counts: DataFrame, n: int = 3) -> DataFrame:
 
     Spark applies the rank limit before the shuffle too, so each task passes on ``n`` rows a group.
     """
-    per_province = count_clicks(region_counts, "date", "province", "adid")
+    per_province = sum_counts(region_counts, "date", "province", "adid")
     order = Window.partitionBy("date", "province").orderBy(F.desc("clickCount"), "adid")
     ranked = per_province.withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= n).select("date", "province", "adid", "clickCount")

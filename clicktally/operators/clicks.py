@@ -73,12 +73,13 @@ def rejects(parsed: DataFrame, position: str | None = APP_RESTART) -> DataFrame:
 
 
 def count_clicks(clicks: DataFrame, *keys: str) -> DataFrame:
-    """Clicks per key. Input that already holds a ``clickCount`` is summed up instead."""
-    if "clickCount" in clicks.columns:
-        total = F.sum("clickCount")
-    else:
-        total = F.count(F.lit(1))
-    return clicks.groupBy(*keys).agg(total.alias("clickCount"))
+    """Clicks per key: one for each row."""
+    return clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("clickCount"))
+
+
+def sum_counts(counts: DataFrame, *keys: str) -> DataFrame:
+    """Counts of a finer grain, summed per key."""
+    return counts.groupBy(*keys).agg(F.sum("clickCount").alias("clickCount"))
 
 
 def running_clicks(clicks: DataFrame) -> DataFrame:

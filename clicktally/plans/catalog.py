@@ -73,7 +73,7 @@ def _ad_clicks(spark: SparkSession, sf_dir: str, position: str | None = "click")
 def _region_counts(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     """Counts per user come first, so a busy user is one row per day and ad before the join."""
     per_user = ads.user_ad_counts(rows)
-    return ads.region_ad_counts(ads.with_region(per_user, fixtures.user_regions(spark, sf_dir)))
+    return ads.region_ad_sums(ads.with_region(per_user, fixtures.user_regions(spark, sf_dir)))
 
 
 # SQL views shared by the oracles. ``props`` holds k; see the fixtures.
@@ -633,6 +633,32 @@ def click_count_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, table)
 
 
+@registered(_INDEX_CLICKS)
+def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that a stopped stream holds in its state, read as a table."""
+    folder = new_run_dir(spark, "stream")
+    rows = fixtures.events(spark, sf_dir)
+    table = ResultTable(INDEX_CLICK_COUNT, f"{folder}/table")
+    hour = F.hour("ts")
+    for part in (hour < 12, hour >= 12):
+        _arrive(rows.filter(part), folder)
+        _run_available(spark, folder, table, mode="update")
+    return jobs.state_counts(spark, f"{folder}/checkpoint")
+
+
+@registered(f"""
+    SELECT date, userid, adid, clickCount FROM ({_user_ad_sql()})
+    WHERE userid IN (SELECT user_id FROM events ORDER BY event_id LIMIT 3)""")
+def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored counts of three users out of folded files, which are sorted and have Bloom filters."""
+    rows = _ad_clicks(spark, sf_dir)
+    table = _user_ad_table(spark, fixtures.morning(rows), fixtures.afternoon(rows))
+    tables.upsert_accumulate(ads.user_ad_counts(rows.limit(0)), table, batch=2)
+    tables.fold(spark, table)
+    users = [r.user_id for r in fixtures.events(spark, sf_dir).orderBy("event_id").limit(3).collect()]
+    return tables.read_keys(spark, table, "userid", users)
+
+
 @registered(_REJECTS)
 def rejects_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected records with their text, kept in files by a stream."""

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -164,6 +164,18 @@ def read_table(
     return _merged(rows, table.spec).drop("version")
 
 
+def read_keys(spark: SparkSession, table: ResultTable, column: str, values: Sequence[object]) -> DataFrame:
+    """The rows of a few values of a key column.
+
+    The filter goes below the merge and into the files. Folded ones are sorted by key and have Bloom
+    filters on ``userid``, so that row groups without these users are not read; up to
+    ``spark.sql.parquet.pushdown.inFilterThreshold`` values are looked for one by one.
+    """
+    if column not in table.spec.keys:
+        raise ValueError(f"{column} is no part of the key of {table.spec.name}")
+    return read_table(spark, table).filter(F.col(column).isin(list(values)))
+
+
 def is_empty(spark: SparkSession, table: ResultTable) -> bool:
     return _log(spark, table).isEmpty()
 
@@ -224,14 +236,14 @@ def _adaptive(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def _save(rows: DataFrame, path: str, parts: Sequence[str]) -> None:
+def _save(rows: DataFrame, path: str, parts: Sequence[str], options: Mapping[str, str] | None = None) -> None:
     """Replace one folder.
 
     One date may hold most rows: the rebalance splits it into files of normal size and brings small
     dates together in one task each.
     """
     with _adaptive(rows.sparkSession):
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = rows.write.mode("overwrite").options(**(options or {})).option("partitionOverwriteMode", "static")
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(path)
@@ -487,7 +499,10 @@ def fold(spark: SparkSession, table: ResultTable, first: str | None = None, last
     rows = rows.withColumns({"run": low, "batch": F.col("version") - low * F.lit(_BATCHES)}).drop("version")
     if dated:
         rows = rows.hint("rebalance", "date")
-    _save(rows, f"{table.path}/{_FOLDS}/rows/fold={number}", table.spec.partition_columns)
+    # sorted, so that a look for few users skips most row groups by their ranges and Bloom filters
+    rows = rows.sortWithinPartitions(*(table.spec.keys or table.spec.schema.names))
+    options = {"parquet.bloom.filter.enabled#userid": "true"} if "userid" in table.spec.schema.names else {}
+    _save(rows, f"{table.path}/{_FOLDS}/rows/fold={number}", table.spec.partition_columns, options)
     row = spark.createDataFrame([(number, first, last, upto)], _FOLD)
     row.coalesce(1).write.mode("append").parquet(f"{table.path}/{_FOLDS}/done")
     return own

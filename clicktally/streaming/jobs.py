@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -128,6 +128,16 @@ def start_click_counts(
     return _started(counts.writeStream.outputMode(mode).foreachBatch(write), checkpoint, trigger)
 
 
+def state_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The counts in the state of a stopped stream that keeps every key (modes ``update``, ``complete``).
+
+    It is what the stream goes on from, so it tells whether a table has all of it.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    keys = ("date", "position", "userid")
+    return state.select(*(F.col(f"key.{c}").alias(c) for c in keys), F.col("value.count").alias("clickCount"))
+
+
 def start_table(
     rows: DataFrame,
     counts: Callable[[DataFrame], DataFrame],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -41,13 +42,15 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_d
 
 if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
+    shared = tempfile.TemporaryDirectory(prefix="oracle-")
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared.name)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -58,3 +61,5 @@ if __name__ == "__main__":
             print(f"{query:32} ok   {compare(session, con, query, sf):8} rows {time.time() - start:6.2f} s", flush=True)
         except Exception as err:  # report all of them
             print(f"{query:32} FAIL {str(err)[:1500]}", flush=True)
+    session.stop()
+    shared.cleanup()

@@ -228,6 +228,47 @@ def test_affected_rows_equal_the_split(spark, kept):
         assert write(frame(spark, spec, []), table, 3, counted=True) == {"update": 0, "insert": 0}
 
 
+def scanned(df) -> int:
+    """Rows that the scans of a plan have given, after it ran."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        plan = todo.pop()
+        name = plan.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(plan.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(plan.plan())
+        else:
+            if name.startswith("Scan"):
+                total += plan.metrics().apply("numOutputRows").value()
+            todo += [plan.children().apply(i) for i in range(plan.children().size())]
+    return total
+
+
+def test_a_look_for_few_users_skips_row_groups(spark, kept):
+    table = kept(AD_USER_CLICK_COUNT)
+    data = [(D[0], u * 2, a, 1) for u in range(20_000) for a in range(3)]
+    spark.conf.set("parquet.block.size", str(64 * 1024))
+    try:
+        tables.upsert_accumulate(frame(spark, table.spec, data), table, 0)
+        tables.upsert_accumulate(frame(spark, table.spec, []), table, 1)
+        tables.upsert_accumulate(frame(spark, table.spec, [(D[1], 4, 0, 1)]), table, 2)
+        tables.fold(spark, table, D[0], D[1])
+        tables.remove_folded(spark, table)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    few = tables.read_keys(spark, table, "userid", [4, 20_002])
+    assert rows(few) == sorted([(D[0], u, a, 1) for u in (4, 20_002) for a in range(3)] + [(D[1], 4, 0, 1)], key=repr)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(userid, [" in plan
+    assert scanned(tables.read_keys(spark, table, "userid", [20_002])) < 20_000 < scanned(tables.read_table(spark, table))
+    # within the range of the ids but not among them: the ranges can't tell, the Bloom filters can
+    assert scanned(tables.read_keys(spark, table, "userid", [20_001])) < 10
+    with pytest.raises(ValueError, match="no part of the key"):
+        tables.read_keys(spark, table, "clickCount", [1])
+
+
 _KEY = st.tuples(st.sampled_from(D[:2]), st.integers(0, 1), st.integers(0, 1))
 _STEP = st.one_of(
     st.tuples(st.just("write"), st.dictionaries(_KEY, st.integers(1, 9), max_size=4)),
