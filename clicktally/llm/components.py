@@ -1,4 +1,8 @@
-"""Connected components of an edge table by alternating large-star and small-star steps."""
+"""Connected components of an edge table by alternating large-star and small-star steps.
+
+Defined results: an edge with a null end is no edge; an edge from a node to itself gives no row; repeated
+edges, in either direction, count once; no edges give no rows. Other columns are not looked at.
+"""
 
 from __future__ import annotations
 
@@ -23,7 +27,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """Every node of the edges ``(a, b)``, as ``node``, with the smallest node it reaches, as ``component``."""
-    edges = edges.where("a <> b").select("a", "b")
+    edges = edges.where("a <> b").select("a", "b")  # a null is unequal to nothing
     seen = None
     while True:
         edges = stored(_small_star(_large_star(edges)), "stars")

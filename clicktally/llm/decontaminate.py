@@ -6,8 +6,9 @@ backwards through the ranks of a wavelet matrix, locates the occurrences by samp
 merges them to spans. Words that occur in no window are breaks in the indexed text: no occurrence
 can hold one. There is no shuffle of documents.
 
-The windows go to the tasks in blocks of items of about ``BLOCK_WORDS`` words, whatever the size of
-the benchmark, and a task holds one block at a time.
+A shard is indexed once, over the words of all items. The windows go to the tasks in blocks of items of
+about ``BLOCK_WORDS`` words, whatever the size of the benchmark, and a task holds one block at a time; of
+the benchmark as a whole it holds the hashes of its different words, 8 bytes each.
 
 Defined results: a null or empty text has no words and is not contaminated; an item without words
 or without id is no item; items that repeat an id count once; repeated documents are handled one by
@@ -21,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +36,8 @@ SHARD_BYTES = 1 << 21
 
 @dataclass
 class Phrases:
-    """The windows of a block of items, as numbers of its sorted word hashes (from 1)."""
+    """The windows of a block of items, as numbers of the sorted word hashes of all items (from 1)."""
 
-    vocabulary: np.ndarray
     windows: np.ndarray  # filled from the right
     lengths: np.ndarray
     item_bounds: np.ndarray  # window w is in items item_of[item_bounds[w]:item_bounds[w + 1]]
@@ -54,7 +55,7 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(hashed, pa.binary())], ["item", "hashes"])
 
 
-def _phrases(rows: list, size: int) -> Phrases:
+def _phrases(rows: list, size: int, vocabulary: np.ndarray) -> Phrases:
     items = sorted({r.item for r in rows})
     number = {item: i for i, item in enumerate(items)}
     cut, of = [], []
@@ -70,16 +71,29 @@ def _phrases(rows: list, size: int) -> Phrases:
     table, window = np.unique(np.concatenate(cut), axis=0, return_inverse=True)
     lengths = table[:, size].astype(np.int64)
     used = np.arange(size) >= size - lengths[:, None]
-    vocabulary = np.unique(table[:, :size][used])
     numbers = np.where(used, np.searchsorted(vocabulary, table[:, :size]) + 1, 0)
     pairs = np.unique(np.stack([window.ravel(), np.concatenate(of)], axis=1), axis=0)
     return Phrases(
-        vocabulary, numbers, lengths, np.searchsorted(pairs[:, 0], np.arange(len(table) + 1)), pairs[:, 1], items
+        numbers, lengths, np.searchsorted(pairs[:, 0], np.arange(len(table) + 1)), pairs[:, 1], items
     )
 
 
-def _blocks(bench: DataFrame, size: int, block_words: int) -> list:
-    """Broadcasts of the benchmark's windows, each from about ``block_words`` words."""
+@dataclass
+class Benchmark:
+    """Broadcasts: the sorted hashes of all words, and the windows in blocks."""
+
+    vocabulary: Broadcast
+    blocks: list[Broadcast]
+
+
+def _different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = np.frombuffer(b"".join(batch.column("hashes").to_pylist()), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(words))], ["word"])
+
+
+def _benchmark(bench: DataFrame, size: int, block_words: int) -> Benchmark:
+    """The benchmark's windows, each block from about ``block_words`` words."""
     spark = bench.sparkSession
     words = (
         bench.select(F.col("item_id").cast("string").alias("item"), "text")
@@ -89,41 +103,49 @@ def _blocks(bench: DataFrame, size: int, block_words: int) -> list:
     )
     total = words.agg(F.sum(F.expr("length(hashes) div 8"))).first()[0] or 0
     n = -(-total // block_words)
+    # as many as the benchmark has different words
+    known = words.select("hashes").mapInArrow(_different, "word bigint").distinct().toArrow()
+    vocabulary = np.sort(known["word"].to_numpy().view(np.uint64))
     found = []
     for i in range(n):
         rows = words.where(F.pmod(F.xxhash64("item"), F.lit(n)) == i).collect()
         if rows:
-            found.append(spark.sparkContext.broadcast(_phrases(rows, size)))
-    return found
-
-
-def _places(run: Run, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
-    """Window and first word (counted in the run) of all occurrences."""
-    vocabulary = phrases.vocabulary
-    at = np.minimum(np.searchsorted(vocabulary, run.hashes), len(vocabulary) - 1)
-    symbol = np.where(vocabulary[at] == run.hashes, at + 1, BREAK)
-    n = len(symbol)
-    # a break before each document, and a single one for each stretch of other words
-    begins = np.unique(run.bounds[:-1])
-    text = np.insert(symbol, begins, BREAK)
-    origin = np.insert(np.arange(n), begins, -1)
-    keep = np.concatenate([[True], (text[1:] != BREAK) | (text[:-1] != BREAK)])
-    text, origin = np.append(text[keep], BREAK), np.append(origin[keep], -1)
-    index = FMIndex(text, len(vocabulary))
-    window, low, high = index.search(phrases.windows, phrases.lengths)
-    counts = high - low
-    rows = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-    return np.repeat(window, counts), origin[index.locate(rows)]
-
-
-def _search(run: Run, blocks: list) -> tuple[np.ndarray, dict[int, set[str]]]:
+            found.append(spark.sparkContext.broadcast(_phrases(rows, size, vocabulary)))
+    return Benchmark(spark.sparkContext.broadcast(vocabulary), found)
+
+
+class _Shard:
+    """A run of documents indexed by the words that items have."""
+
+    def __init__(self, run: Run, vocabulary: np.ndarray):
+        at = np.minimum(np.searchsorted(vocabulary, run.hashes), len(vocabulary) - 1)
+        symbol = np.where(vocabulary[at] == run.hashes, at + 1, BREAK)
+        # a break before each document, and a single one for each stretch of other words
+        begins = np.unique(run.bounds[:-1])
+        text = np.insert(symbol, begins, BREAK)
+        origin = np.insert(np.arange(len(symbol)), begins, -1)
+        keep = np.concatenate([[True], (text[1:] != BREAK) | (text[:-1] != BREAK)])
+        self.origin = np.append(origin[keep], -1)
+        self.index = FMIndex(np.append(text[keep], BREAK), len(vocabulary))
+
+    def places(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
+        """Window and first word (counted in the run) of all occurrences."""
+        window, low, high = self.index.search(phrases.windows, phrases.lengths)
+        counts = high - low
+        rows = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+        return np.repeat(window, counts), self.origin[self.index.locate(rows)]
+
+
+def _search(run: Run, bench: Benchmark) -> tuple[np.ndarray, dict[int, set[str]]]:
     """Which words of a run are hit, and the items found by document."""
     n = len(run.hashes)
     change = np.zeros(n + 1, dtype=np.int64)
     items: dict[int, set[str]] = {}
-    for block in blocks if n else ():
+    blocks = bench.blocks if n else []
+    shard = _Shard(run, bench.vocabulary.value) if blocks else None
+    for block in blocks:
         phrases = block.value
-        window, first = _places(run, phrases)
+        window, first = shard.places(phrases)
         np.add.at(change, first, 1)
         np.add.at(change, first + phrases.lengths[window], -1)
         doc = np.searchsorted(run.bounds, first, "right") - 1
@@ -140,14 +162,14 @@ def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
-def _leaks(blocks: list, shard_bytes: int) -> Callable:
+def _leaks(bench: Benchmark, shard_bytes: int) -> Callable:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             n_words, n_hit, items, spans = [], [], [], []
             for run in runs(batch.column("text"), ALPHANUMERIC, shard_bytes):
-                hit, found = _search(run, blocks)
+                hit, found = _search(run, bench)
                 point = np.concatenate([[0], np.cumsum((run.data & 0xC0) != 0x80)])  # code points before a byte
                 for d in range(len(run)):
                     low, high = int(run.bounds[d]), int(run.bounds[d + 1])
@@ -189,17 +211,17 @@ def find_leaks(
     occur (as text, sorted) and the merged spans in code points."""
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
     return docs.mapInArrow(
-        _leaks(_blocks(bench, window, block_words), shard_bytes),
+        _leaks(_benchmark(bench, window, block_words), shard_bytes),
         "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>",
     )
 
 
-def _without(blocks: list, shard_bytes: int) -> Callable:
+def _without(bench: Benchmark, shard_bytes: int) -> Callable:
     def cut(texts: pa.Array) -> tuple[list[bytes | None], list[int]]:
         """Texts without hit words, and which rows changed."""
         out, changed = [], []
         for run in runs(texts, ALPHANUMERIC, shard_bytes):
-            hit, _ = _search(run, blocks)
+            hit, _ = _search(run, bench)
             for d in range(len(run)):
                 low, high = int(run.bounds[d]), int(run.bounds[d + 1])
                 at, parts = int(run.offsets[d]), []
@@ -240,4 +262,4 @@ def remove_leaks(
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """The same rows and columns, with all spans cut out of ``text``. Other texts stay as they are."""
-    return docs.mapInArrow(_without(_blocks(bench, window, block_words), shard_bytes), docs.schema)
+    return docs.mapInArrow(_without(_benchmark(bench, window, block_words), shard_bytes), docs.schema)

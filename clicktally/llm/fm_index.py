@@ -1,4 +1,9 @@
-"""An FM-index over one shard of symbols: suffix array, wavelet matrix, sampled positions."""
+"""An FM-index over one shard of symbols: suffix array, wavelet matrix, sampled positions.
+
+Defined results: a shard ends with a break; one of breaks alone (null and empty texts) holds no
+occurrence; equal stretches (repeated rows) are found at each of their places; a shard is as long as its
+longest text, and memory follows it.
+"""
 
 from __future__ import annotations
 
