@@ -20,14 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktally.llm.ngram_join import close_lists, summaries
+from clicktally.llm.ngram_join import close_lists, fingerprint
 from clicktally.llm.store import stored
-from clicktally.llm.words import BLANK_SEPARATED, mix, raw, runs, shingles, slices
+from clicktally.llm.words import BLANK_SEPARATED, mix, runs, shingles, slices
+from clicktally.operators.joins import filtered_join
 
 HASHES = 64
 #: Values in a band: 16 bands of 4 find a pair of similarity 0.8 with a chance of 0.9998.
 BAND = 4
 SHINGLE = 5
+#: Members of a band's list that are compared pair by pair; those of larger lists are ordered anew.
+LIST_ACROSS = 64
 
 _random = np.random.default_rng(41)
 _A = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -36,9 +39,15 @@ _B = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 def signatures(column: pa.Array) -> np.ndarray:
     """A row of ``HASHES`` 32-bit values for every text."""
-    parts = [np.zeros((0, HASHES), dtype=np.uint32)]
+    return _signed(column)[0]
+
+
+def _signed(column: pa.Array) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Signatures, and size and 128-bit hash of every shingle set."""
+    parts, marks = [np.zeros((0, HASHES), dtype=np.uint32)], []
     for run in runs(column, BLANK_SEPARATED):
         sets = [found for _, found in shingles(run, SHINGLE)]
+        marks += [(len(found), *fingerprint(found)) for found in sets]
         out = np.full((len(sets), HASHES), 0xFFFFFFFF, dtype=np.uint32)
         sizes = np.array([len(s) for s in sets])
         full = np.flatnonzero(sizes)
@@ -48,7 +57,7 @@ def signatures(column: pa.Array) -> np.ndarray:
             for i in range(HASHES):
                 out[full, i] = np.minimum.reduceat(((values * _A[i] + _B[i]) >> np.uint64(32)).astype(np.uint32), starts)
         parts.append(out)
-    return np.concatenate(parts)
+    return np.concatenate(parts), marks
 
 
 def _hex(table: np.ndarray) -> pa.Array:
@@ -192,32 +201,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``class_id``, the smallest id that is reached by verified pairs of a band.
 
     Equal texts form a class first. A band that many share gives the pairs of one member with the
-    others, then those between what is not yet together, so a large group costs its size. Rows without
+    others, then those between what is not yet together, so a large group costs its size. A common
+    passage can bring a band to many texts that are not similar: of these only those are compared that
+    share a rare shingle too, see ``ngram_join.close_lists``. Rows without
     id are kept, without a class; texts without words are in a class of their own.
     """
     every = docs.select(F.col("doc_id").cast("bigint"))
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL")
-    sizes = stored(summaries(docs, SHINGLE).where("n > 0"), "sets")
-    classes = sizes.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))
-    member = stored(sizes.join(classes, ["n", "h1", "h2"]).select(F.col("doc_id").alias("doc"), "rep", "n").distinct(), "classes")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc"), "text").where("doc IS NOT NULL")
 
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            table = signatures(batch.column("text")).astype(np.uint64)
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Size and hash of every shingle set, and the keys of its signature's bands."""
+        for batch in slices(batches, "text", 1 << 21):
+            table, marks = _signed(batch.column("text"))
             keys = np.zeros((len(table), HASHES // BAND), dtype=np.uint64)
             for i in range(BAND):
-                keys = mix(keys + table[:, i::BAND] * _A[i])
+                keys = mix(keys + table[:, i::BAND].astype(np.uint64) * _A[i])
             keys = mix(keys + _B[: HASHES // BAND])
-            ids = pa.array(np.repeat(batch.column("doc_id").to_numpy(), HASHES // BAND))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(keys.ravel().view(np.int64))], ["doc", "key"])
-
-    single = docs.join(member.where("doc = rep").select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
-    entries = single.mapInArrow(bands, "doc bigint, key bigint")
-    entries = entries.join(member.where("doc = rep").select("doc", "n"), "doc").distinct()
+            ends = np.arange(0, keys.size + 1, HASHES // BAND, dtype=np.int32)
+            columns = [pa.array(x, pa.int64()) for x in zip(*marks, strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), *columns, lists], ["doc", "n", "h1", "h2", "keys"])
+
+    kind = "doc bigint, n bigint, h1 bigint, h2 bigint, keys array<bigint>"
+    sets = stored(docs.mapInArrow(summarise, kind).where("n > 0"), "sets", compression="zstd")
+    # equal sets have equal keys
+    classes = stored(sets.groupBy("n", "h1", "h2").agg(F.min("doc").alias("rep"), F.first("keys").alias("keys")), "classes", compression="zstd")
+    names = classes.select("n", "h1", "h2", "rep")
+    member = stored(sets.select("doc", "n", "h1", "h2").join(names, ["n", "h1", "h2"]).select("doc", "rep").distinct(), "members")
+    entries = classes.select(F.col("rep").alias("doc"), "n", F.explode("keys").alias("key")).distinct()
     shared = entries.groupBy("key").agg(F.count("*").alias("docs")).where("docs > 1")
     lists = stored(entries.join(shared.select("key"), "key", "left_semi").select("key", "doc", "n", F.col("n").alias("rest")), "bands")
-    texts = stored(single.withColumnRenamed("doc_id", "doc").join(lists.select("doc").distinct(), "doc", "left_semi"), "texts")
-    joined = close_lists(lists, texts, SHINGLE)
+    texts = stored(filtered_join(docs, lists.select("doc").distinct(), ["doc"], "left_semi", salts=1), "texts", compression="zstd")
+    joined = close_lists(lists, texts, SHINGLE, rounds=1, most_across=LIST_ACROSS)
     found = member.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     classed = found.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
     return every.join(classed.withColumnRenamed("doc", "doc_id"), "doc_id", "left").select(

@@ -13,9 +13,9 @@ Links are pairs of shingle sets with ``100 * |A and B| >= 80 * |A or B|``. The j
 4. A list gives all its pairs if it is short. A long one (copies by the thousand, for example) gives
    the pairs of its first member with the others, and is kept. Candidates are verified on the texts.
 5. Kept lists whose members are in one component by now are done: more links inside it change
-   nothing. The others get another first member. Members of lists that are open even then are put in
-   an order of their own, by how many of them have a shingle, all shingles counted: what they have in
-   common comes last, so only those meet that share more. What such a list leaves open gives its pairs.
+   nothing. The others get further first members, and at last all pairs between components, if their
+   members are few. Members of larger lists are put in an order of their own, with weights counted over
+   them alone: what they have in common comes last, so only those meet that share more.
 
 So a group of copies costs its size and not its square, and no link between components is missed.
 The order of step 2 only steers the cost: the weights come from all documents (how often shingles
@@ -32,12 +32,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktally.llm.components import components
 from clicktally.llm.store import stored
 from clicktally.llm.words import BLANK_SEPARATED, mix, runs, shingles, slices
+from clicktally.operators.joins import filtered_join, may_be_in
 
 SHINGLE = 5
 #: Shingles whose weight is known to every task.
@@ -46,8 +48,10 @@ ORDERED = 1 << 18
 SHORT_LIST = 12
 #: A candidate costs so many times what a list entry costs.
 VERIFY_COST = 20
-#: Times that a long list gets another first member before its members are ordered anew.
-ROUNDS = 1
+#: Times that a long list gets another first member before all pairs between components are taken.
+ROUNDS = 2
+#: Of a list with more members its members are ordered anew instead.
+MOST_ACROSS = 512
 #: Pairs of one document that meet its text in one task.
 PAIRS = 256
 BOUNDARIES = (3, 6, 9, 12, 16, 20, 25, 32, 40, 50, 64, 80, 100, 128)
@@ -60,7 +64,7 @@ def _prefix(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1
 
 
-def _fingerprint(found: np.ndarray) -> tuple[int, int]:
+def fingerprint(found: np.ndarray) -> tuple[int, int]:
     """128 bits of a set of hashes."""
     low = np.add.reduce(mix(found ^ _FIRST)) if len(found) else 0
     high = np.add.reduce(mix(found ^ _SECOND)) if len(found) else 0
@@ -80,7 +84,7 @@ def _new_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[in
     seen = set()
     for doc, found in _sets(batches, size):
         if doc is not None and len(found) > 3:
-            mark = _fingerprint(found)
+            mark = fingerprint(found)
             if mark not in seen:
                 seen.add(mark)
                 yield doc, found
@@ -95,7 +99,7 @@ def summaries(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = [(len(s), *_fingerprint(s)) for _, s in _sets(iter([batch]), size)]
+            found = [(len(s), *fingerprint(s)) for _, s in _sets(iter([batch]), size)]
             columns = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "h1", "h2"])
 
@@ -276,12 +280,14 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                     good.append(100 * shared >= 80 * (len(x) + len(y) - shared))
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    busy = {}
-    for side in ("b", "a"):
+    wanted, busy = pairs, {}
+    for side, other in (("a", "b"), ("b", "a")):
         sizes = pairs.groupBy(side).agg(F.ceil(F.count("*") / PAIRS).alias("salts"))
         busy[side] = stored(sizes.where("salts > 1"), "busy")
+        salt = F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1)))
+        pairs = pairs.join(busy[side], side, "left").withColumn(f"salt_{side}", salt).drop("salts")
     for side in ("b", "a"):
-        pairs = _with_texts(pairs, texts, side, busy[side])
+        pairs = _with_texts(pairs, texts, side, wanted, busy[side])
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
@@ -291,23 +297,18 @@ def _found(entries: DataFrame, short: int) -> DataFrame:
     return stored(dealt.mapInArrow(_candidates(short), kinds), "candidates")
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame, side: str, busy: DataFrame) -> DataFrame:
-    """The pairs with the texts of one side; of all texts only these are moved.
+def _with_texts(pairs: DataFrame, texts: DataFrame, side: str, wanted: DataFrame, busy: DataFrame) -> DataFrame:
+    """The pairs with the texts of one side; of all texts only these are moved, and once.
 
     ``busy`` documents, the head of a long list for example, have many pairs: these are spread over
     salts, and the text is sent to each.
     """
-    other = "a" if side == "b" else "b"
     named = texts.select(F.col("doc").alias(side), F.col("text").alias(f"text_{side}"))
-    wanted = named.join(pairs.select(side).distinct(), side, "left_semi").hint("merge")
-    if busy.isEmpty():
-        return pairs.join(wanted, side)
-    rest = pairs.join(busy, side, "left_anti").join(wanted, side)
-    salt = F.pmod(F.xxhash64(other), F.col("salts"))
-    spread = pairs.join(busy, side).withColumn("salt", salt).drop("salts")
-    sent = named.join(busy, side).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)))
-    hot = spread.join(sent.drop("salts"), [side, "salt"]).drop("salt")
-    return rest.unionByName(hot)
+    named = may_be_in(named, wanted.select(side), [side], "_maybe").where("_maybe").drop("_maybe")
+    salts = F.coalesce("salts", F.lit(1).cast("bigint"))
+    salt = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias(f"salt_{side}")
+    sent = named.join(busy, side, "left").select(side, f"text_{side}", salt)
+    return pairs.join(sent, [side, f"salt_{side}"]).drop(f"salt_{side}")
 
 
 def _open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -338,27 +339,29 @@ def _across(lists: DataFrame) -> DataFrame:
     ).select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b")).distinct()
 
 
-def _reordered(lists: DataFrame, texts: DataFrame, size: int, short: int) -> DataFrame:
-    """Pairs and lists of the documents in ``lists``, by shingles that are rare among these.
+def _order(docs: DataFrame, size: int, ordered: int) -> tuple[Broadcast, float]:
+    """The heaviest shingles of the documents with their weights, and what all repeated ones weigh."""
+    repeats = stored(_repeats(docs, size), "repeats")
+    heaviest = repeats.orderBy(F.desc("weight"), "token").limit(ordered).toArrow()
+    tokens, weights = heaviest["token"].to_numpy().view(np.uint64), heaviest["weight"].to_numpy()
+    by_token = np.argsort(tokens)
+    order = docs.sparkSession.sparkContext.broadcast((tokens[by_token], weights[by_token]))
+    return order, repeats.agg(F.sum("weight")).first()[0] or 0
 
-    What a list's members have in common comes last in this order, so members that share no more than
-    that meet no longer; linked ones still share a shingle of both prefixes.
-    """
-    docs = texts.join(lists.select("doc").distinct().hint("merge"), "doc", "left_semi")
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc, found in _sets(batches, size):
-            columns = {"token": found.view(np.int64), "doc": np.full(len(found), doc), "n": np.full(len(found), len(found))}
-            yield _table(columns)
+_ENTRY = "key bigint, n bigint, rest bigint, doc bigint"
 
-    sets = docs.select(F.col("doc").alias("doc_id"), "text").mapInArrow(write, "token bigint, doc bigint, n bigint")
-    sets = stored(sets, "shingles")
-    weights = stored(sets.groupBy("token").agg(F.count("*").alias("weight")), "weights")
-    place = F.row_number().over(Window.partitionBy("doc").orderBy("weight", "token")) - 1
-    prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1
-    entries = sets.join(weights, "token").withColumn("place", place).where(F.col("place") < prefix)
-    entries = entries.select(F.col("token").alias("key"), "n", (F.col("n") - F.col("place")).alias("rest"), "doc")
-    return _found(entries, short)
+
+def _reordered(lists: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """New list entries of the documents in ``lists``, in an order by their own shingles.
+
+    What the members of a list have in common comes last in it, so members that share no more than that
+    meet no longer; linked ones still share a shingle of both prefixes.
+    """
+    docs = texts.join(lists.select("doc").distinct().hint("merge"), "doc", "left_semi")
+    docs = stored(docs.select(F.col("doc").alias("doc_id"), "text"), "open-texts", compression="zstd")
+    order, _ = _order(docs, size, ORDERED)
+    return docs.mapInArrow(_entries(order, 0, size), _ENTRY)
 
 
 def close_lists(
@@ -368,29 +371,36 @@ def close_lists(
     tried: DataFrame | None = None,
     links: DataFrame | None = None,
     short: int = SHORT_LIST,
+    rounds: int = ROUNDS,
+    most_across: int | None = None,
 ) -> DataFrame:
     """Components of all links between members of a list, each ``node`` with its ``component``.
 
     ``lists`` has ``key, doc, n, rest``; pairs that were ``tried`` before and the ``links`` among them
-    are taken over. Only pairs between what is not yet together are verified. Lists that are still open
-    after ``ROUNDS`` turns are made anew from their members; what is open after that gives its pairs.
+    are taken over. Only pairs between what is not yet together are verified. Of lists that are still
+    open after ``rounds`` turns, those of up to ``most_across`` members give their pairs, and the members
+    of larger ones are ordered anew; what that leaves open goes the same way, and gives its pairs last.
     """
     spark = lists.sparkSession
     nothing = spark.createDataFrame([], "a bigint, b bigint")
     tried, links = tried if tried is not None else nothing, links if links is not None else nothing
+    most_across = MOST_ACROSS if most_across is None else most_across
     joined = components(links)
-    columns = ["key", "doc", "n", "rest"]
-    for turn in range(2 * ROUNDS + 2):
+    for turn in range(2 * (rounds + 1)):
         lists = stored(_open_lists(lists, joined), "open")
         if lists.isEmpty():
             break
-        if turn == ROUNDS:
-            found = _reordered(lists, texts, size, short)
-            more = found.where("kind = 0").select("a", "b").distinct()
-            lists = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc"), "n", "rest")
+        if turn % (rounds + 1) < rounds:
+            more, lists = _star(lists, turn), lists.select("key", "doc", "n", "rest")
         else:
-            more = _star(lists, turn) if turn <= 2 * ROUNDS else _across(lists)
-            lists = lists.select(columns)
+            sizes = lists.groupBy("key").agg(F.count("*").alias("members"))
+            large = stored(sizes.where(F.col("members") > (most_across if turn == rounds else 1 << 62)), "large")
+            more = _across(lists.join(large, "key", "left_anti"))
+            lists = lists.join(large, "key", "left_semi").select("key", "doc", "n", "rest")
+            if not large.isEmpty():
+                found = _found(_reordered(lists, texts, size), short)
+                more = more.unionByName(found.where("kind = 0").select("a", "b")).distinct()
+                lists = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc"), "n", "rest")
         more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(stored(_verify(more, texts, size), "links"))
         tried = tried.unionByName(more)
@@ -413,16 +423,11 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
         "classes",
     )
 
-    repeats = stored(_repeats(docs, size), "repeats")
-    heaviest = repeats.orderBy(F.desc("weight"), "token").limit(ordered).toArrow()
-    tokens, weights = heaviest["token"].to_numpy().view(np.uint64), heaviest["weight"].to_numpy()
-    by_token = np.argsort(tokens)
-    order = spark.sparkContext.broadcast((tokens[by_token], weights[by_token]))
-    shared = repeats.agg(F.sum("weight")).first()[0] or 0
+    order, shared = _order(docs, size, ordered)
     total = classes.agg(F.sum("n")).first()[0] or 1
     boundary = _boundary(classes, VERIFY_COST * shared / total)
 
-    entries = docs.mapInArrow(_entries(order, boundary, size), "key bigint, n bigint, rest bigint, doc bigint")
+    entries = docs.mapInArrow(_entries(order, boundary, size), _ENTRY)
     found = _found(entries, short)
 
     def representatives(df: DataFrame, name: str) -> DataFrame:
@@ -437,9 +442,8 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
 
     wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
     wanted = wanted.unionByName(lists.select("doc")).distinct()
-    texts = stored(
-        docs.withColumnRenamed("doc_id", "doc").join(wanted.hint("merge"), "doc", "left_semi"), "texts"
-    )
+    texts = filtered_join(docs.withColumnRenamed("doc_id", "doc"), wanted, ["doc"], "left_semi", salts=1)
+    texts = stored(texts, "texts", compression="zstd")
 
     # an id that comes with several sets links their classes
     several = member.groupBy("doc").agg(F.count("*").alias("sets")).where("sets > 1").select("doc")

@@ -57,6 +57,7 @@ def near_copies() -> list[tuple[int, str | None]]:
 @pytest.mark.parametrize("short", [2, 12])
 def test_jaccard_components(spark, short, monkeypatch):
     monkeypatch.setattr(ngram_join, "PAIRS", 4 * short)
+    monkeypatch.setattr(ngram_join, "MOST_ACROSS", short)
     rows = near_copies()
     want = linked_components(rows)
     found = ngram_join.jaccard_components(documents(spark, rows, extra=True), short=short).collect()
@@ -90,6 +91,7 @@ def test_a_common_opening_gives_few_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(ngram_join, "_verify", counted)
     monkeypatch.setattr(ngram_join, "PAIRS", 50)
+    monkeypatch.setattr(ngram_join, "MOST_ACROSS", 60)
     found = ngram_join.jaccard_components(documents(spark, texts), ordered=0).collect()
     sets = [shingle_set(t) for t in texts]
     want = {i: i for i in range(len(texts))}
@@ -127,6 +129,13 @@ def test_components_of_a_long_chain(spark):
     assert found == {**dict.fromkeys(range(1, 71), 1), **dict.fromkeys((100, 200, 300), 100)}
 
 
+def test_components_of_odd_edges(spark):
+    edges = [(1, 2, "x"), (2, 1, "y"), (1, 2, "x"), (5, 5, "z"), (None, 7, "z"), (7, None, "z"), (None, None, "z"), (9, 8, None)]
+    found = components(spark.createDataFrame(edges, "a bigint, b bigint, component string"))
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1), (2, 1), (8, 8), (9, 8)]
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
 def leaks(text: str | None, items: list[tuple[object, str | None]]) -> tuple[int, int, list[str]]:
     words, hit, names = plain_words(text), set(), set()
     for name, item in items:
