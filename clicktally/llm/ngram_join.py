@@ -385,12 +385,12 @@ def close_lists(
     nothing = spark.createDataFrame([], "a bigint, b bigint")
     tried, links = tried if tried is not None else nothing, links if links is not None else nothing
     most_across = MOST_ACROSS if most_across is None else most_across
-    joined = components(links)
-    for turn in range(2 * (rounds + 1)):
+    joined = components(links) if tried is not nothing else spark.createDataFrame([], "node bigint, component bigint")
+    for turn in range(rounds + 2):
         lists = stored(_open_lists(lists, joined), "open")
         if lists.isEmpty():
             break
-        if turn % (rounds + 1) < rounds:
+        if turn < rounds:
             more, lists = _star(lists, turn), lists.select("key", "doc", "n", "rest")
         else:
             sizes = lists.groupBy("key").agg(F.count("*").alias("members"))
