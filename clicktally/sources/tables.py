@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -140,9 +140,10 @@ def _merged(rows: DataFrame, spec: TableSpec) -> DataFrame:
         found = rows.groupBy(*spec.keys).agg(F.sum("clickCount").alias("clickCount"), united, F.max("version").alias("version"))
         return found.select(*names, "version")
     if spec.merge == "latest":
-        newest = F.max_by(F.struct(gone.alias("gone"), "clickCount"), "version").alias("_newest")
-        found = rows.groupBy(*spec.keys).agg(newest, F.max("version").alias("version")).filter("NOT _newest.gone")
-        return found.select(*spec.keys, F.col("_newest.clickCount").alias("clickCount"), "version").select(*names, "version")
+        # single values: a struct would need a sort
+        newest = [F.max_by(c, "version").alias(name) for c, name in ((F.col("clickCount"), "clickCount"), (gone, "_gone"))]
+        found = rows.groupBy(*spec.keys).agg(*newest, F.max("version").alias("version")).filter("NOT _gone")
+        return found.select(*names, "version")
     place = F.rank().over(Window.partitionBy(*spec.keys).orderBy(F.desc("version")))
     return rows.withColumn("_place", place).filter("_place = 1").filter(~gone).select(*names, "version")
 
@@ -236,14 +237,23 @@ def _adaptive(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def _save(rows: DataFrame, path: str, parts: Sequence[str], options: Mapping[str, str] | None = None) -> None:
+def _save(
+    rows: DataFrame,
+    path: str,
+    parts: Sequence[str],
+    then: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    options: Mapping[str, str] | None = None,
+) -> None:
     """Replace one folder.
 
     One date may hold most rows: the rebalance splits it into files of normal size and brings small
-    dates together in one task each.
+    dates together in one task each. It is a hint, which counts if adaptive execution is on when it is
+    given. What is to be done ``then`` comes after the last shuffle.
     """
     with _adaptive(rows.sparkSession):
-        writer = rows.write.mode("overwrite").options(**(options or {})).option("partitionOverwriteMode", "static")
+        if parts:
+            rows = rows.hint("rebalance", *parts)
+        writer = then(rows).write.mode("overwrite").options(**(options or {})).option("partitionOverwriteMode", "static")
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(path)
@@ -255,15 +265,13 @@ def _write(rows: DataFrame, table: ResultTable, run: int, batch: int, counts: Se
     They are counted by the tasks that write, after the last shuffle, so in no task twice.
     """
     parts = table.spec.partition_columns
-    if parts:
-        rows = rows.hint("rebalance", *parts)
     path = f"{table.path}/run={run}/batch={batch}"
     if not counts:
         _save(rows, path, parts)
         return {}
     seen = Observation()
     of = [F.coalesce(F.count_if(F.col("action") == c), F.lit(0)).alias(c) for c in counts]
-    _save(rows.observe(seen, *of).drop("action"), path, parts)
+    _save(rows, path, parts, lambda found: found.observe(seen, *of).drop("action"))
     return {c: seen.get[c] for c in counts}
 
 
@@ -497,12 +505,11 @@ def fold(spark: SparkSession, table: ResultTable, first: str | None = None, last
     rows = _merged(log.filter(own.stands_for(dated) & (version <= F.lit(upto))), table.spec)
     low = F.floor(F.col("version") / F.lit(_BATCHES)).cast("bigint")
     rows = rows.withColumns({"run": low, "batch": F.col("version") - low * F.lit(_BATCHES)}).drop("version")
-    if dated:
-        rows = rows.hint("rebalance", "date")
     # sorted, so that a look for few users skips most row groups by their ranges and Bloom filters
-    rows = rows.sortWithinPartitions(*(table.spec.keys or table.spec.schema.names))
+    by = table.spec.keys or table.spec.schema.names
     options = {"parquet.bloom.filter.enabled#userid": "true"} if "userid" in table.spec.schema.names else {}
-    _save(rows, f"{table.path}/{_FOLDS}/rows/fold={number}", table.spec.partition_columns, options)
+    path = f"{table.path}/{_FOLDS}/rows/fold={number}"
+    _save(rows, path, table.spec.partition_columns, lambda found: found.sortWithinPartitions(*by), options)
     row = spark.createDataFrame([(number, first, last, upto)], _FOLD)
     row.coalesce(1).write.mode("append").parquet(f"{table.path}/{_FOLDS}/done")
     return own
