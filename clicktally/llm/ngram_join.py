@@ -263,8 +263,11 @@ def _candidates(short: int) -> Callable:
     return find
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets are linked, counted on the whole texts."""
+def _verify(pairs: DataFrame, texts: DataFrame, size: int, merge: bool = False) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets are linked, counted on the whole texts.
+
+    With ``merge`` texts move the same way at every size, also where the pairs are few.
+    """
 
     def sets(column: pa.Array) -> Iterator[np.ndarray]:
         for run in runs(column, BLANK_SEPARATED):
@@ -287,7 +290,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
         salt = F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1)))
         pairs = pairs.join(busy[side], side, "left").withColumn(f"salt_{side}", salt).drop("salts")
     for side in ("b", "a"):
-        pairs = _with_texts(pairs, texts, side, wanted, busy[side])
+        pairs = _with_texts(pairs, texts, side, wanted, busy[side], merge)
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
@@ -297,7 +300,7 @@ def _found(entries: DataFrame, short: int) -> DataFrame:
     return stored(dealt.mapInArrow(_candidates(short), kinds), "candidates")
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame, side: str, wanted: DataFrame, busy: DataFrame) -> DataFrame:
+def _with_texts(pairs: DataFrame, texts: DataFrame, side: str, wanted: DataFrame, busy: DataFrame, merge: bool) -> DataFrame:
     """The pairs with the texts of one side; of all texts only these are moved, and once.
 
     ``busy`` documents, the head of a long list for example, have many pairs: these are spread over
@@ -308,7 +311,7 @@ def _with_texts(pairs: DataFrame, texts: DataFrame, side: str, wanted: DataFrame
     salts = F.coalesce("salts", F.lit(1).cast("bigint"))
     salt = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias(f"salt_{side}")
     sent = named.join(busy, side, "left").select(side, f"text_{side}", salt)
-    return pairs.join(sent, [side, f"salt_{side}"]).drop(f"salt_{side}")
+    return pairs.join(sent.hint("merge") if merge else sent, [side, f"salt_{side}"]).drop(f"salt_{side}")
 
 
 def _open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -373,6 +376,7 @@ def close_lists(
     short: int = SHORT_LIST,
     rounds: int = ROUNDS,
     most_across: int | None = None,
+    merge: bool = False,
 ) -> DataFrame:
     """Components of all links between members of a list, each ``node`` with its ``component``.
 
@@ -402,7 +406,7 @@ def close_lists(
                 more = more.unionByName(found.where("kind = 0").select("a", "b")).distinct()
                 lists = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc"), "n", "rest")
         more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(stored(_verify(more, texts, size), "links"))
+        links = links.unionByName(stored(_verify(more, texts, size, merge), "links"))
         tried = tried.unionByName(more)
         joined = stored(components(links), "components")
     return joined
@@ -442,14 +446,14 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
 
     wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
     wanted = wanted.unionByName(lists.select("doc")).distinct()
-    texts = filtered_join(docs.withColumnRenamed("doc_id", "doc"), wanted, ["doc"], "left_semi", salts=1)
+    texts = filtered_join(docs.withColumnRenamed("doc_id", "doc"), wanted.hint("merge"), ["doc"], "left_semi", salts=1)
     texts = stored(texts, "texts", compression="zstd")
 
     # an id that comes with several sets links their classes
     several = member.groupBy("doc").agg(F.count("*").alias("sets")).where("sets > 1").select("doc")
     same = member.join(several, "doc", "left_semi").where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
-    links = stored(_verify(pairs, texts, size).unionByName(same), "links")
-    joined = close_lists(lists, texts, size, pairs, links, short)
+    links = stored(_verify(pairs, texts, size, True).unionByName(same), "links")
+    joined = close_lists(lists, texts, size, pairs, links, short, merge=True)
 
     top = member.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     of_set = top.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
