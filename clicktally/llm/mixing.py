@@ -12,7 +12,7 @@ counts per range of hashes and a rank inside a range, so that no source has to b
 Everything is made of built-in functions. Defined results: a null source is the empty one; a source
 without a given weight is not wanted and its documents have no slot; repeated ids are placed one
 after the other; a source that has ended leaves its slots free, nothing is repeated or dropped; rows
-without id come first in their source. Texts are not read.
+without id come first in their source. Texts are not read, unless they are to be carried along.
 """
 
 from __future__ import annotations
@@ -65,11 +65,16 @@ def one_cycle(parts: Mapping[str, int]) -> list[tuple[str, int, int]]:
     return slots
 
 
-def _ranked(docs: DataFrame, range_rows: int) -> DataFrame:
-    """Documents with their rank in their source, from 0, in the order of a hash of the id."""
+def _ranked(docs: DataFrame, range_rows: int, row: list[str]) -> DataFrame:
+    """Documents with their rank in their source, from 0, in the order of a hash of the id.
+
+    Columns ``row`` are carried along, and order rows of one id: a task that runs again gives the same.
+    """
     keyed = docs.select(
         "doc_id",
         "source",
+        *row,
+        *(F.xxhash64(F.to_json(c)).alias("tie") for c in row),
         F.coalesce("source", F.lit("")).alias("name"),
         F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("")).alias("mixed"),
     )
@@ -77,25 +82,34 @@ def _ranked(docs: DataFrame, range_rows: int) -> DataFrame:
     ranges = keyed.agg(n.alias("n")).first().n
     place = F.coalesce(F.conv(F.substring("mixed", 1, 8), 16, 10).cast("bigint"), F.lit(0))
     keyed = keyed.withColumn("range", F.shiftright(place * F.lit(ranges), 32))
-    sizes = keyed.groupBy("name", "range").agg(F.count("*").alias("size"))
+    sizes = keyed.drop(*row).groupBy("name", "range").agg(F.count("*").alias("size"))
     before = F.sum("size").over(Window.partitionBy("name").orderBy("range")) - F.col("size")
     offsets = sizes.select("name", "range", before.alias("offset"))
-    inside = F.row_number().over(Window.partitionBy("name", "range").orderBy("mixed", "doc_id"))
+    inside = F.row_number().over(Window.partitionBy("name", "range").orderBy("mixed", "doc_id", *("tie" for _ in row)))
     ranked = keyed.withColumn("inside", inside).join(offsets, ["name", "range"])
-    return ranked.select("doc_id", "source", "name", (F.col("offset") + F.col("inside") - 1).alias("rank"))
+    return ranked.select("doc_id", "source", *row, "name", (F.col("offset") + F.col("inside") - 1).alias("rank"))
 
 
 def mix(
-    docs: DataFrame, parts: Mapping[str, int] | None = None, block: int = BLOCK, range_rows: int = RANGE_ROWS
+    docs: DataFrame,
+    parts: Mapping[str, int] | None = None,
+    block: int = BLOCK,
+    range_rows: int = RANGE_ROWS,
+    carry: bool = False,
 ) -> DataFrame:
     """Every document's place in the mixture: sorted by ``slot`` and ``place`` it is the order to train in.
 
     ``parts`` are whole numbers by source; without them ``tempered_parts`` are taken. The columns are
     ``doc_id``, ``source``, ``block`` (of the source), ``place`` (in the block), ``release``,
-    ``deadline`` and ``slot``.
+    ``deadline`` and ``slot``. With ``carry`` the documents' other columns follow, as they are; one that
+    has the name of a column of the mixture follows as ``given_`` and that name.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint"), "source")
     parts = dict(parts) if parts is not None else tempered_parts(docs)
+    others = [c for c in docs.columns if c.lower() not in ("doc_id", "source")] if carry else []
+    row = ["row"] if others else []
+    docs = docs.select(
+        F.col("doc_id").cast("bigint"), "source", *(F.struct(*(F.col(f"`{c}`") for c in others)).alias(r) for r in row)
+    )
     length = sum(parts.values())
     cycle = json.dumps([{"name": name, "step": b, "at": slot, "parts": parts[name]} for name, b, slot in one_cycle(parts)])
     schedule = docs.sparkSession.range(1).select(
@@ -103,12 +117,14 @@ def mix(
     )
     shares = schedule.where("step = 0").select("name", "parts")
     blocks = (
-        _ranked(docs, range_rows)
-        .select("doc_id", "source", "name", F.expr(f"rank div {block}").alias("block"), F.expr(f"rank % {block}").alias("place"))
+        _ranked(docs, range_rows, row)
+        .select("doc_id", "source", *row, "name", F.expr(f"rank div {block}").alias("block"), F.expr(f"rank % {block}").alias("place"))
         .join(shares, "name", "left")
         .withColumn("step", F.col("block") % F.col("parts"))
     )
     placed = blocks.join(schedule.drop("parts"), ["name", "step"], "left")
+    taken = {"block", "place", "release", "deadline", "slot"}
+    follow = [F.col(f"row.`{c}`").alias(f"given_{c}" if c.lower() in taken else c) for c in others]
     return placed.select(
         "doc_id",
         "source",
@@ -117,4 +133,5 @@ def mix(
         F.expr(f"block * {length} div parts").alias("release"),
         F.expr(f"((block + 1) * {length} + parts - 1) div parts").alias("deadline"),
         F.expr(f"(block div parts) * {length} + at").alias("slot"),
+        *follow,
     )

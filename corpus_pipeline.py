@@ -94,11 +94,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's slot in the mixture of sources, a row each; texts are not read.
+    """Every document's slot in the mixture of sources, a row each, with the text and all other columns.
 
-    A null source is the empty one; equal ids are placed one after the other.
+    A null source is the empty one; equal ids are placed one after the other. A column that has the name
+    of one of the mixture comes through as ``given_`` and that name.
     """
-    return mixing.mix(docs)
+    return mixing.mix(docs, carry=True)
 
 
 STAGES = [

@@ -49,6 +49,26 @@ def test_run(spark):
     assert rows and len({r.doc_id for r in rows}) == len(rows)
 
 
+def test_what_the_stages_do_to_texts_is_in_the_result(spark, tmp_path, monkeypatch):
+    """A passage cut out and a secret replaced show in the last stage's rows, repeated ids and odd names too."""
+    passage = " ".join(f"benchmark{i}" for i in range(12))
+    texts = [(1, f"before {passage} after"), (1, "password = abcdef123456 here"), (2, None), (None, "no id"), (None, "none")]
+    docs = documents(spark, texts, extra=True).selectExpr("*", "'y' AS slot", "'z' AS `odd d`")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[1:])  # no labels to learn from
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns[:7] == ["doc_id", "source", "block", "place", "release", "deadline", "slot"]
+    assert set(out.columns[7:]) == set(docs.columns) - {"doc_id", "source", "slot"} | {"given_slot"}
+    rows = out.collect()
+    assert sorted(str(r.doc_id) for r in rows) == ["1", "1", "2", "None", "None"]
+    text = " ".join(r.text for r in rows if r.doc_id == 1)
+    assert all(w in text for w in ("before", "after", "here")) and "benchmark" not in text and "abcdef123456" not in text
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in rows)
+    assert all((r.given_slot, r["odd d"], r.rank) == ("y", "z", "x") for r in rows)
+
+
 def test_hard_rows_pass_all_stages(spark):
     texts = [*HARD_TEXTS, (3, "one"), (3, "one"), (None, "no id"), (None, None)]
     for docs in (documents(spark, texts, extra=True), documents(spark, [], extra=True)):
