@@ -21,19 +21,24 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    others = down.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return others.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    to_least = F.inline(F.array(*(F.struct(F.col(c).alias("a"), F.col("m").alias("b")) for c in ("a", "b"))))
+    return down.join(least, "a").select(to_least).where("a > b").distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is only ever the smaller end, or only once the larger one: a turn changes nothing then."""
+    ends = F.inline(F.array(*(F.struct(F.col(c).alias("node"), F.lit(up).alias("up")) for c, up in (("a", 1), ("b", 0)))))
+    nodes = edges.select(ends).groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("ends"))
+    return nodes.where("up > 1 OR up = 1 AND ends > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Every node of the edges ``(a, b)``, as ``node``, with the smallest node it reaches, as ``component``."""
     edges = edges.where("a <> b").select("a", "b")  # a null is unequal to nothing
-    seen = None
     while True:
-        edges = stored(_small_star(_large_star(edges)), "stars")
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen:
+        # each kind of step is stored, so that none is computed twice in one plan
+        edges = stored(_small_star(stored(_large_star(edges), "stars")), "stars")
+        if _are_stars(edges):
             break
-        seen = mark
     found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return found.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+    return found.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -283,14 +283,19 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int, merge: bool = False)
                     good.append(100 * shared >= 80 * (len(x) + len(y) - shared))
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    wanted, busy = pairs, {}
-    for side, other in (("a", "b"), ("b", "a")):
-        sizes = pairs.groupBy(side).agg(F.ceil(F.count("*") / PAIRS).alias("salts"))
-        busy[side] = stored(sizes.where("salts > 1"), "busy")
-        salt = F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1)))
-        pairs = pairs.join(busy[side], side, "left").withColumn(f"salt_{side}", salt).drop("salts")
-    for side in ("b", "a"):
-        pairs = _with_texts(pairs, texts, side, wanted, busy[side], merge)
+    side = F.inline(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("doc")) for c in ("a", "b"))))
+    ends = pairs.select(side).groupBy("side", "doc").agg(F.ceil(F.count("*") / PAIRS).alias("salts"))
+    ends = stored(ends, "ends")
+    named = texts.select("doc", "text", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("side"))
+    named = may_be_in(named, ends, ["side", "doc"], "_maybe").where("_maybe").drop("_maybe")
+    busy = ends.where("salts > 1")
+    if salted := not busy.isEmpty():
+        for c, other in (("a", "b"), ("b", "a")):
+            salt = F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1)))
+            own = busy.where(F.col("side") == c).select(F.col("doc").alias(c), "salts")
+            pairs = pairs.join(own, c, "left").withColumn(f"salt_{c}", salt).drop("salts")
+    for c in ("b", "a"):
+        pairs = _with_texts(pairs, named, c, busy if salted else None, merge)
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
@@ -300,14 +305,16 @@ def _found(entries: DataFrame, short: int) -> DataFrame:
     return stored(dealt.mapInArrow(_candidates(short), kinds), "candidates")
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame, side: str, wanted: DataFrame, busy: DataFrame, merge: bool) -> DataFrame:
-    """The pairs with the texts of one side; of all texts only these are moved, and once.
+def _with_texts(pairs: DataFrame, texts: DataFrame, side: str, busy: DataFrame | None, merge: bool) -> DataFrame:
+    """The pairs with the ``texts`` of one side; only these are moved, and once.
 
     ``busy`` documents, the head of a long list for example, have many pairs: these are spread over
     salts, and the text is sent to each.
     """
-    named = texts.select(F.col("doc").alias(side), F.col("text").alias(f"text_{side}"))
-    named = may_be_in(named, wanted.select(side), [side], "_maybe").where("_maybe").drop("_maybe")
+    named = texts.where(F.col("side") == side).select(F.col("doc").alias(side), F.col("text").alias(f"text_{side}"))
+    if busy is None:
+        return pairs.join(named.hint("merge") if merge else named, side)
+    busy = busy.where(F.col("side") == side).select(F.col("doc").alias(side), "salts")
     salts = F.coalesce("salts", F.lit(1).cast("bigint"))
     salt = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias(f"salt_{side}")
     sent = named.join(busy, side, "left").select(side, f"text_{side}", salt)
@@ -387,18 +394,20 @@ def close_lists(
     """
     spark = lists.sparkSession
     nothing = spark.createDataFrame([], "a bigint, b bigint")
-    tried, links = tried if tried is not None else nothing, links if links is not None else nothing
+    joined = components(links) if links is not None else nothing.toDF("node", "component")
+    tried = tried if tried is not None else nothing
     most_across = MOST_ACROSS if most_across is None else most_across
-    joined = components(links) if tried is not nothing else spark.createDataFrame([], "node bigint, component bigint")
     for turn in range(rounds + 2):
         lists = stored(_open_lists(lists, joined), "open")
         if lists.isEmpty():
             break
         if turn < rounds:
             more, lists = _star(lists, turn), lists.select("key", "doc", "n", "rest")
+        elif turn > rounds:
+            more = _across(lists)
         else:
             sizes = lists.groupBy("key").agg(F.count("*").alias("members"))
-            large = stored(sizes.where(F.col("members") > (most_across if turn == rounds else 1 << 62)), "large")
+            large = stored(sizes.where(F.col("members") > most_across), "large")
             more = _across(lists.join(large, "key", "left_anti"))
             lists = lists.join(large, "key", "left_semi").select("key", "doc", "n", "rest")
             if not large.isEmpty():
@@ -406,9 +415,13 @@ def close_lists(
                 more = more.unionByName(found.where("kind = 0").select("a", "b")).distinct()
                 lists = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc"), "n", "rest")
         more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(stored(_verify(more, texts, size, merge), "links"))
+        if more.isEmpty():
+            continue
         tried = tried.unionByName(more)
-        joined = stored(components(links), "components")
+        links = stored(_verify(more, texts, size, merge), "links")
+        if not links.isEmpty():  # what is together stays together: its stars stand for its links
+            links = links.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            joined = stored(components(links), "components")
     return joined
 
 
@@ -445,7 +458,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, ordered: int = ORDE
     lists = stored(representatives(lists, "doc").select("key", "doc", "n", "rest").distinct(), "lists")
 
     wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
-    wanted = wanted.unionByName(lists.select("doc")).distinct()
+    wanted = stored(wanted.unionByName(lists.select("doc")).distinct(), "wanted")
     texts = filtered_join(docs.withColumnRenamed("doc_id", "doc"), wanted.hint("merge"), ["doc"], "left_semi", salts=1)
     texts = stored(texts, "texts", compression="zstd")
 

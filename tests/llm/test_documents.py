@@ -68,6 +68,18 @@ def test_jaccard_components(spark, short, monkeypatch):
         assert r.component_id == want[r.doc_id], r
 
 
+def test_few_stages(spark):
+    """Each stage costs the driver memory: the join keeps to a number of them, also where copies form long lists."""
+    rng = random.Random(8)
+    opening, base = sentence(rng, 14), sentence(rng, 60, 10**6)
+    texts = [f"{opening} {sentence(rng, 25, 10**6)}" for _ in range(700)] + [changed(rng, base, 1) for _ in range(300)]
+    scheduler = spark.sparkContext._jsc.sc().dagScheduler()
+    before = scheduler.nextStageId()
+    found = ngram_join.jaccard_components(documents(spark, texts)).collect()
+    assert len({r.component_id for r in found}) == len(set(linked_components(list(enumerate(texts))).values()))
+    assert scheduler.nextStageId() - before < 130
+
+
 def test_jaccard_components_of_odd_rows(spark):
     a, b = sentence(random.Random(1), 50), sentence(random.Random(2), 50)
     rows = [(7, a), (3, b), (7, b), (9, a), (9, a), (None, a), (None, None), (12, None)]
